@@ -41,9 +41,13 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = stream.withColumn("_m", F.last("_pay", ignorenulls=True).over(w)).where(F.col("_side") == l_side)
     if hot is not None:
-        summary = (stream.where(F.col(HOT) & F.col("_pay").isNotNull())
+        # every hot chunk gets a row (also chunks holding only left rows),
+        # so each one can receive the carry of the chunks before it
+        has = F.col("_pay").isNotNull()
+        summary = (stream.where(F.col(HOT))
                          .groupBy("_k", CHUNK)
-                         .agg(F.max_by("_pay", F.struct("_time", "_tie")).alias("_lp")))
+                         .agg(F.max_by(F.when(has, F.col("_pay")),
+                                       F.when(has, F.struct("_time", "_tie"))).alias("_lp")))
         before = Window.partitionBy("_k").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         carry = summary.select("_k", CHUNK, F.last("_lp", ignorenulls=True).over(before).alias("_cp"))
         out = (out.join(F.broadcast(carry), ["_k", CHUNK], "left")

@@ -58,13 +58,17 @@ def running_totals(st: DataFrame, score: str, group_by=(), buckets: int = 64) ->
     """Add ``cum_pos`` / ``cum_neg``: totals over scores >= this score, and
     ``above_pos``: positives with strictly greater score (same group)."""
     g = list(group_by)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = (st.groupBy(*g).agg(F.percentile_approx(score, probs, 10000).alias("_bounds"))
-              if g else st.agg(F.percentile_approx(score, probs, 10000).alias("_bounds")))
-    # bucket b holds scores in (bound[b-1], bound[b]]; higher bucket = higher score
-    bucketed = (st.crossJoin(F.broadcast(bounds)) if not g else st.join(F.broadcast(bounds), g))
-    bucketed = bucketed.withColumn(
-        "_b", F.size(F.filter("_bounds", lambda b: b < F.col(score)))).drop("_bounds")
+    if buckets <= 1:
+        bucketed = st.withColumn("_b", F.lit(0))
+    else:
+        probs = [i / buckets for i in range(1, buckets)]
+        bounds = (st.groupBy(*g).agg(F.percentile_approx(score, probs, 10000).alias("_bounds"))
+                  if g else st.agg(F.percentile_approx(score, probs, 10000).alias("_bounds")))
+        # bucket b holds scores in (bound[b-1], bound[b]]; higher bucket = higher
+        # score.  bounds: one row per group, (buckets - 1) values each.
+        bucketed = st.crossJoin(F.broadcast(bounds)) if not g else st.join(F.broadcast(bounds), g)
+        bucketed = bucketed.withColumn(
+            "_b", F.size(F.filter("_bounds", lambda b: b < F.col(score)))).drop("_bounds")
     tot = bucketed.groupBy(*g, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     wo = Window.partitionBy(*g).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select(*g, "_b", F.coalesce(F.sum("_bp").over(wo), F.lit(0)).alias("_op"),
