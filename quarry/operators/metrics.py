@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 EPS_LOGLOSS = 1e-15
 
 
@@ -87,7 +89,10 @@ def running_totals(st: DataFrame, score: str, group_by=(), buckets: int = 64) ->
 def ranking_metrics(df: DataFrame, truth: str, score: str, group_by=(), buckets: int = 64) -> DataFrame:
     """``average_precision`` and ``roc_auc`` (NULL if one class is absent)."""
     g = list(group_by)
-    rt = running_totals(score_table(df, truth, score, g), score, g, buckets)
+    # the grouped score table feeds three branches (bounds, bucket totals,
+    # local running sums): cut lineage so the input is scanned once
+    st = cut_lineage(score_table(df, truth, score, g))
+    rt = running_totals(st, score, g, buckets)
     totals = rt.groupBy(*g).agg(
         F.sum("pos").alias("_P"), F.sum("neg").alias("_N"),
         F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("_ap_num"),

@@ -39,28 +39,37 @@ def stable_split(df: DataFrame, id_col: str, validation_fraction: float, test_fr
     return df.withColumn(SPLIT, split)
 
 
-def _select_cut(hashed: DataFrame, target: str, quotas: DataFrame, qcol: str) -> DataFrame:
-    """Per class, the (hash, id) of the row with rank ``qcol`` (1-based) in
-    (hash, id) order; classes with quota 0 get no row."""
+def _select_cuts(keys: DataFrame, target: str, quotas: DataFrame, qcols: list[str]) -> DataFrame:
+    """Per class and quota column, the (hash, id) of the row whose 1-based
+    rank in (hash, id) order equals the quota (no row when the quota is 0).
+
+    Three passes over the narrow keys regardless of the number of cuts: a
+    16-bit histogram per class (partial aggregate), a second 16-bit histogram
+    over the rows of the selected buckets only, and a ranking of the few rows
+    (~n / 2^32 per cut) of the final buckets.  Every intermediate table has
+    at most classes × cuts × 65536 rows.
+    """
     b1 = F.shiftright("_h", 44)
     b2 = F.shiftright("_h", 28).bitwiseAND(F.lit(0xFFFF))
-    hist1 = hashed.groupBy(target, b1.alias("_b1")).agg(F.count(F.lit(1)).alias("_c"))
+    q = quotas.select(target, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("cut"), F.col(c).alias("q")) for c in qcols])).alias("_q")).select(
+        target, "_q.cut", "_q.q").where(F.col("q") > 0)
+    hist1 = keys.groupBy(target, b1.alias("_b1")).agg(F.count(F.lit(1)).alias("_c"))
     w1 = Window.partitionBy(target).orderBy("_b1").rowsBetween(Window.unboundedPreceding, 0)
-    pick1 = (hist1.withColumn("_cum", F.sum("_c").over(w1))
-                  .join(quotas.select(target, qcol), target)
-                  .where((F.col(qcol) > 0) & (F.col("_cum") >= F.col(qcol)) & (F.col("_cum") - F.col("_c") < F.col(qcol)))
-                  .select(target, "_b1", (F.col(qcol) - (F.col("_cum") - F.col("_c"))).alias("_r1")))
-    in1 = hashed.withColumn("_b1", b1).join(F.broadcast(pick1), [target, "_b1"])
-    hist2 = in1.groupBy(target, "_b1", "_r1", b2.alias("_b2")).agg(F.count(F.lit(1)).alias("_c"))
-    w2 = Window.partitionBy(target).orderBy("_b2").rowsBetween(Window.unboundedPreceding, 0)
+    pick1 = (hist1.withColumn("_cum", F.sum("_c").over(w1)).join(F.broadcast(q), target)
+                  .where((F.col("_cum") >= F.col("q")) & (F.col("_cum") - F.col("_c") < F.col("q")))
+                  .select(target, "cut", "_b1", (F.col("q") - (F.col("_cum") - F.col("_c"))).alias("_r1")))
+    in1 = keys.withColumn("_b1", b1).join(F.broadcast(pick1), [target, "_b1"])
+    hist2 = in1.groupBy(target, "cut", "_r1", "_b1", b2.alias("_b2")).agg(F.count(F.lit(1)).alias("_c"))
+    w2 = Window.partitionBy(target, "cut").orderBy("_b2").rowsBetween(Window.unboundedPreceding, 0)
     pick2 = (hist2.withColumn("_cum", F.sum("_c").over(w2))
                   .where((F.col("_cum") >= F.col("_r1")) & (F.col("_cum") - F.col("_c") < F.col("_r1")))
-                  .select(target, "_b1", "_b2", (F.col("_r1") - (F.col("_cum") - F.col("_c"))).alias("_r2")))
-    in2 = in1.withColumn("_b2", b2).join(F.broadcast(pick2), [target, "_b1", "_b2"])
-    w3 = Window.partitionBy(target).orderBy("_h", "_id")
-    return (in2.withColumn("_rk", F.row_number().over(w3))
-               .where(F.col("_rk") == F.col("_r2"))
-               .select(target, F.struct("_h", "_id").alias(f"{qcol}_cut")))
+                  .select(target, "cut", "_b1", "_b2", (F.col("_r1") - (F.col("_cum") - F.col("_c"))).alias("_r2")))
+    in2 = keys.withColumns({"_b1": b1, "_b2": b2}).join(F.broadcast(pick2), [target, "_b1", "_b2"])
+    w3 = Window.partitionBy(target, "cut").orderBy("_h", "_id")
+    found = (in2.withColumn("_rk", F.row_number().over(w3)).where(F.col("_rk") == F.col("_r2"))
+                .select(target, "cut", F.struct("_h", "_id").alias("_at")))
+    return found.groupBy(target).pivot("cut", qcols).agg(F.first("_at"))
 
 
 def stratified_split(df: DataFrame, id_col: str, target: str, validation_fraction: float,
@@ -72,20 +81,18 @@ def stratified_split(df: DataFrame, id_col: str, target: str, validation_fractio
     keys = hashed.select(target, "_h", "_id")
     counts = keys.groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
     quotas = counts.select(
-        target, "_n",
+        target,
         F.floor(F.col("_n") * F.lit(train_f) + F.lit(0.5)).alias("_q_train"),
         F.floor(F.col("_n") * F.lit(1.0 - test_fraction) + F.lit(0.5)).alias("_q_val"))
-    cut_t = _select_cut(keys, target, quotas, "_q_train")
-    cut_v = _select_cut(keys, target, quotas, "_q_val")
-    cuts = (quotas.select(target).join(cut_t, target, "left").join(cut_v, target, "left"))
+    cuts = _select_cuts(keys, target, quotas, ["_q_train", "_q_val"])
     me = F.struct("_h", "_id")
-    split = (F.when(F.col("_q_train_cut").isNotNull() & (me <= F.col("_q_train_cut")), F.lit("train"))
-              .when(F.col("_q_val_cut").isNotNull() & (me <= F.col("_q_val_cut")), F.lit("validation"))
+    split = (F.when(F.col("_q_train").isNotNull() & (me <= F.col("_q_train")), F.lit("train"))
+              .when(F.col("_q_val").isNotNull() & (me <= F.col("_q_val")), F.lit("validation"))
               .otherwise(F.lit("test")))
-    # cuts has one row per class: bounded, broadcast.
+    # cuts: one row per class — bounded, broadcast.
     return (hashed.join(F.broadcast(cuts), target, "left")
                   .withColumn(SPLIT, split)
-                  .drop("_h", "_id", "_q_train_cut", "_q_val_cut"))
+                  .drop("_h", "_id", "_q_train", "_q_val"))
 
 
 def split_part(split_df: DataFrame, name: str, test_fraction: float) -> DataFrame:

@@ -190,48 +190,106 @@ def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col
 
 def interval_counts(df: DataFrame, order: EventOrder, widths: dict[str, int], *,
                     hot_threshold: int | None = None) -> DataFrame:
-    """Events of the same key in ``[ts - width, ts]`` for each named width (s).
-
-    Arrivals count +1 at ``ts``; each arrival also emits an expiry at
-    ``ts + width`` that counts -1 for that width.  Ordering by
-    ``(time, kind)`` with a RANGE running sum includes ties on ``ts`` and
-    leaves out only expiries strictly before ``ts``.
+    """Events of the same key in ``[ts - width, ts]`` for each named width (s)."""
+    specs = {name: ("count", secs) for name, secs in widths.items()}
+    return interval_stats(df, order, None, specs, hot_threshold=hot_threshold)
+
+
+def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: dict[str, tuple[str, int]], *,
+                   hot_threshold: int | None = None) -> DataFrame:
+    """Moving-frame count / sum / mean / std (population) over ``[ts - w, ts]``.
+
+    ``specs``: ``{out_name: (stat, width_seconds)}``.  Arrivals add
+    ``(1, v, v²)`` at ``ts``; each arrival also emits one expiry per distinct
+    width at ``ts + w`` that subtracts the same triple for that width.
+    Ordering by ``(time, kind)`` with a RANGE running sum includes ties on
+    ``ts`` and removes only expiries strictly before ``ts``.  Running sums
+    restart in every hot-key chunk and the carry of earlier chunks is the
+    frame content at the chunk start, so magnitudes stay near the frame's.
+    NULL values are not counted (as SQL aggregates skip them).
     """
     spark = df.sparkSession
     threshold = hot_key_rows(spark, hot_threshold)
     hot = hot_key_chunks(df, order, threshold)
     in_cols = df.columns
-    names = list(widths)
+    wlist = sorted({int(secs) for st, secs in specs.values() if st not in ("max", "min")}) or [0]
     ts_us = epoch_micros(order.ts)
+    v = F.col(value).cast("double") if value else None
 
     arrivals = df.withColumns({"_time": ts_us, "_kind": F.lit(0), "_w": F.lit(-1)})
+    if value:
+        arrivals = arrivals.withColumn("_v", v)
     expiries = None
-    for j, name in enumerate(names):
-        e = df.select(order.key, (ts_us + F.lit(int(widths[name]) * 1_000_000)).alias("_time"),
-                      F.lit(1).alias("_kind"), F.lit(j).alias("_w"))
+    for j, secs in enumerate(wlist):
+        e = df.select(order.key, (ts_us + F.lit(secs * 1_000_000)).alias("_time"), F.lit(1).alias("_kind"),
+                      F.lit(j).alias("_w"), *([v.alias("_v")] if value else []))
         expiries = e if expiries is None else expiries.unionByName(e)
     stream = arrivals.unionByName(expiries, allowMissingColumns=True)
     stream = with_chunks(stream, order, hot, time_us=F.col("_time"))
 
-    contrib = {f"_c{j}": F.when(F.col("_kind") == 0, F.lit(1))
-                          .when(F.col("_w") == j, F.lit(-1)).otherwise(F.lit(0)).cast("long")
-               for j in range(len(names))}
+    def sign(j):
+        return F.when(F.col("_kind") == 0, F.lit(1)).when(F.col("_w") == j, F.lit(-1)).otherwise(F.lit(0))
+
+    contrib = {}
+    for j in range(len(wlist)):
+        if value:
+            present = F.col("_v").isNotNull()
+            contrib[f"_c{j}"] = F.when(present, sign(j)).otherwise(F.lit(0)).cast("long")
+            contrib[f"_s{j}"] = F.coalesce(sign(j) * F.col("_v"), F.lit(0.0))
+            contrib[f"_q{j}"] = F.coalesce(sign(j) * F.col("_v") * F.col("_v"), F.lit(0.0))
+        else:
+            contrib[f"_c{j}"] = sign(j).cast("long")
     stream = stream.withColumns(contrib)
-    w = (Window.partitionBy(order.key, CHUNK).orderBy("_time", "_kind")
-         .rangeBetween(UNB, CUR))
-    running = stream.withColumns({f"_r{j}": F.sum(f"_c{j}").over(w) for j in range(len(names))})
+    names = list(contrib)
+    w = Window.partitionBy(order.key, CHUNK).orderBy("_time", "_kind").rangeBetween(UNB, CUR)
+    running = stream.withColumns({f"_r{n}": F.sum(n).over(w) for n in names})
     out = running.where(F.col("_kind") == 0)
     if hot is not None:
-        summary = (stream.where(F.col(HOT)).groupBy(order.key, CHUNK)
-                         .agg(*[F.sum(f"_c{j}").alias(f"_t{j}") for j in range(len(names))]))
+        summary = stream.where(F.col(HOT)).groupBy(order.key, CHUNK).agg(*[F.sum(n).alias(f"_t{n}") for n in names])
         before = Window.partitionBy(order.key).orderBy(CHUNK).rowsBetween(UNB, -1)
-        carry = summary.select(order.key, CHUNK,
-                               *[F.sum(f"_t{j}").over(before).alias(f"_k{j}")
-                                 for j in range(len(names))])
+        carry = summary.select(order.key, CHUNK, *[F.sum(f"_t{n}").over(before).alias(f"_k{n}") for n in names])
         out = out.join(F.broadcast(carry), [order.key, CHUNK], "left")
-        out = out.withColumns({f"_r{j}": F.col(f"_r{j}") + F.coalesce(F.col(f"_k{j}"), F.lit(0))
-                               for j in range(len(names))})
-    return out.select(*in_cols, *[F.col(f"_r{j}").alias(name) for j, name in enumerate(names)])
+        zero = {n: (F.lit(0) if n.startswith("_c") else F.lit(0.0)) for n in names}
+        out = out.withColumns({f"_r{n}": F.col(f"_r{n}") + F.coalesce(F.col(f"_k{n}"), zero[n]) for n in names})
+    res = {}
+    extremes = {n: sp for n, sp in specs.items() if sp[0] in ("max", "min")}
+    if extremes and hot is None:
+        # no hot key: every key is one partition, so a RANGE frame over the
+        # arrivals (expiries are NULL in it) sees the whole window; same
+        # Exchange as the running sums, one more Sort.
+        arrival_v = F.when(F.col("_kind") == 0, F.col("_v"))
+        for name, (stat, secs) in extremes.items():
+            wx = Window.partitionBy(order.key, CHUNK).orderBy("_time").rangeBetween(-int(secs) * 1_000_000, 0)
+            fn = F.max if stat == "max" else F.min
+            out = out.withColumn(f"_x_{name}", fn(arrival_v).over(wx))
+            res[name] = F.col(f"_x_{name}")
+    elif extremes:
+        # hot keys present: moving max/min has no additive form; computed
+        # exactly per key with Spark's frame and joined back on the row key.
+        ext = (interval_values(df.select(order.key, order.ts, order.tie, value), order, value, extremes)
+               .select(order.key, order.ts, order.tie, *extremes))
+        out = out.join(ext, [order.key, order.ts, order.tie], "left")
+        for name in extremes:
+            res[name] = F.col(name)
+    for name, (stat, secs) in specs.items():
+        if name in extremes:
+            continue
+        j = wlist.index(int(secs))
+        cnt = F.col(f"_r_c{j}")
+        if stat == "count":
+            res[name] = cnt
+            continue
+        ssum, ssq = F.col(f"_r_s{j}"), F.col(f"_r_q{j}")
+        if stat == "sum":
+            res[name] = F.when(cnt > 0, ssum)
+        elif stat == "mean":
+            res[name] = F.when(cnt > 0, ssum / cnt)
+        elif stat == "std":
+            mean = ssum / cnt
+            res[name] = F.when(cnt > 0, F.sqrt(F.greatest(ssq / cnt - mean * mean, F.lit(0.0))))
+        else:
+            raise ValueError(f"unsupported interval stat {stat!r}")
+    return out.select(*in_cols, *[res[n].alias(n) for n in specs])
 
 
 def interval_values(df: DataFrame, order: EventOrder, value: str,

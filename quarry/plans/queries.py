@@ -107,10 +107,12 @@ def feat_window_counts(spark, d):
 
 
 def feat_window_values(spark, d):
-    f = W.interval_values(tb.transactions(spark, d), EV, "value", {
-        "sum_24h": ("sum", 86400), "mean_30d": ("mean", 30 * 86400),
-        "std_30d": ("std", 30 * 86400), "max_30d": ("max", 30 * 86400)})
-    return f.select("event_id", *[r6(c).alias(c) for c in ("sum_24h", "mean_30d", "std_30d", "max_30d")])
+    ev = tb.transactions(spark, d)
+    f = W.interval_stats(ev, EV, "value", {
+        "sum_24h": ("sum", 86400), "mean_30d": ("mean", 30 * 86400), "std_30d": ("std", 30 * 86400),
+        "max_30d": ("max", 30 * 86400)})
+    return f.select(
+        "event_id", *[r6(c).alias(c) for c in ("sum_24h", "mean_30d", "std_30d", "max_30d")])
 
 
 def feat_p95_flag(spark, d):

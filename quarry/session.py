@@ -61,3 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint directory."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` to the shared checkpoint folder and continue from it
+    (reliable checkpoint: survives executor loss; never a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -59,3 +59,13 @@ def test_one_hot_key_with_third_of_rows(spark):
     a = W.sequence_features(skewed, EV, "value", hot_threshold=500).select("event_id", Q.r6("exp_std").alias("s"), "exp_count")
     b = W.sequence_features(skewed, EV, "value").select("event_id", Q.r6("exp_std").alias("s"), "exp_count")
     assert_same(a.toPandas(), b.toPandas())
+
+
+def test_interval_stats_chunked_equal(spark):
+    ev = tb.transactions(spark, SF_MID)
+    specs = {"s24": ("sum", 86400), "m30": ("mean", 30 * 86400), "d30": ("std", 30 * 86400),
+             "x30": ("max", 30 * 86400), "n7": ("count", 7 * 86400)}
+    cols = ["event_id", *[Q.r6(c).alias(c) for c in ("s24", "m30", "d30", "x30")], "n7"]
+    a = W.interval_stats(ev, EV, "value", specs, hot_threshold=6).select(*cols)
+    b = W.interval_stats(ev, EV, "value", specs).select(*cols)
+    assert_same(a.toPandas(), b.toPandas())
