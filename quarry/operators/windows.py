@@ -253,24 +253,18 @@ def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: d
         out = out.withColumns({f"_r{n}": F.col(f"_r{n}") + F.coalesce(F.col(f"_k{n}"), zero[n]) for n in names})
     res = {}
     extremes = {n: sp for n, sp in specs.items() if sp[0] in ("max", "min")}
-    if extremes and hot is None:
-        # no hot key: every key is one partition, so a RANGE frame over the
-        # arrivals (expiries are NULL in it) sees the whole window; same
-        # Exchange as the running sums, one more Sort.
+    if extremes:
+        # A RANGE frame over the arrivals (expiries are NULL in it) inside the
+        # (key, _chunk) partition: exact for ordinary keys (one chunk per
+        # key); for hot keys it is the in-chunk part, completed below.
         arrival_v = F.when(F.col("_kind") == 0, F.col("_v"))
         for name, (stat, secs) in extremes.items():
             wx = Window.partitionBy(order.key, CHUNK).orderBy("_time").rangeBetween(-int(secs) * 1_000_000, 0)
             fn = F.max if stat == "max" else F.min
             out = out.withColumn(f"_x_{name}", fn(arrival_v).over(wx))
             res[name] = F.col(f"_x_{name}")
-    elif extremes:
-        # hot keys present: moving max/min has no additive form; computed
-        # exactly per key with Spark's frame and joined back on the row key.
-        ext = (interval_values(df.select(order.key, order.ts, order.tie, value), order, value, extremes)
-               .select(order.key, order.ts, order.tie, *extremes))
-        out = out.join(ext, [order.key, order.ts, order.tie], "left")
-        for name in extremes:
-            res[name] = F.col(name)
+        if hot is not None:
+            out = _cross_chunk_extremes(out, order, hot, extremes)
     for name, (stat, secs) in specs.items():
         if name in extremes:
             continue
@@ -292,6 +286,62 @@ def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: d
     return out.select(*in_cols, *[res[n].alias(n) for n in specs])
 
 
+def _cross_chunk_extremes(out: DataFrame, order: EventOrder, hot: DataFrame,
+                          extremes: dict[str, tuple[str, int]]) -> DataFrame:
+    """Complete hot-key moving max/min with the rows of earlier chunks.
+
+    For an arrival at ``t`` in chunk ``c`` the frame part before the chunk is
+    ``[t - w, chunk start)``.  With ``c'`` the chunk of ``t - w`` it is the
+    maximum of (a) the whole chunks ``c'+1 … c-1`` — from the per-chunk
+    summary, which is bounded; ``c'`` takes at most two values per chunk —
+    and (b) the suffix of chunk ``c'`` from ``t - w`` — a probe row placed in
+    chunk ``c'`` and ordered with its arrivals (time descending) picks up the
+    running extreme.  Probe results return to their row by (key, ts, tie).
+    """
+    t_us = F.col("_time")
+    arr = (out.where(F.col(HOT)).join(F.broadcast(hot), order.key)
+              .select(order.key, CHUNK, order.ts, order.tie, "_time", "_v", "_t0", "_width"))
+    result_cols = {}
+    for name, (stat, secs) in extremes.items():
+        fn = F.max if stat == "max" else F.min
+        w_us = int(secs) * 1_000_000
+        c_lo = F.floor((t_us - F.lit(w_us) - F.col("_t0")) / F.col("_width")).cast("long")
+        rows = arr.withColumn("_clo", c_lo)
+        # (a) whole chunks strictly between c' and c — bounded tables
+        summ = arr.groupBy(order.key, CHUNK).agg(fn("_v").alias("_m"))
+        pairs = rows.where(F.col("_clo") + 1 < F.col(CHUNK)).select(order.key, CHUNK, "_clo").distinct()
+        s2 = summ.select(F.col(order.key).alias("_k2"), F.col(CHUNK).alias("_c2"), "_m")
+        mid = (pairs.join(F.broadcast(s2), (F.col(order.key) == F.col("_k2"))
+                          & (F.col("_c2") > F.col("_clo")) & (F.col("_c2") < F.col(CHUNK)))
+                    .groupBy(order.key, CHUNK, "_clo").agg(fn("_m").alias("_mid")))
+        # (b) suffix of chunk c' from t - w: probes ordered with that chunk's rows
+        probes = rows.where((F.col("_clo") >= 0) & (F.col("_clo") < F.col(CHUNK))).select(
+            order.key, F.col("_clo").alias(CHUNK), (t_us - F.lit(w_us)).alias("_time"),
+            F.lit(1).alias("_pk"), F.lit(None).cast("double").alias("_v"),
+            F.col(order.ts).alias("_ots"), F.col(order.tie).alias("_otie"), F.col(CHUNK).alias("_oc"))
+        data = arr.select(order.key, CHUNK, "_time", F.lit(0).alias("_pk"), "_v")
+        u = data.unionByName(probes, allowMissingColumns=True)
+        wd = (Window.partitionBy(order.key, CHUNK).orderBy(F.desc("_time"), F.asc("_pk"))
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        suffix = (u.withColumn("_suf", fn("_v").over(wd)).where(F.col("_pk") == 1)
+                   .select(order.key, F.col("_ots").alias(order.ts), F.col("_otie").alias(order.tie),
+                           F.col("_oc").alias(CHUNK), "_suf"))
+        cross = (rows.select(order.key, CHUNK, order.ts, order.tie, "_clo")
+                     .join(mid, [order.key, CHUNK, "_clo"], "left")
+                     .join(suffix, [order.key, CHUNK, order.ts, order.tie], "left")
+                     .select(order.key, CHUNK, order.ts, order.tie,
+                             (F.greatest if stat == "max" else F.least)("_mid", "_suf").alias(f"_y_{name}")))
+        result_cols[name] = cross
+    merged = None
+    for name, cross in result_cols.items():
+        merged = cross if merged is None else merged.join(cross, [order.key, CHUNK, order.ts, order.tie])
+    joined = out.join(merged, [order.key, CHUNK, order.ts, order.tie], "left")
+    for name, (stat, _) in extremes.items():
+        comb = F.greatest if stat == "max" else F.least
+        joined = joined.withColumn(f"_x_{name}", comb(f"_x_{name}", f"_y_{name}"))
+    return joined
+
+
 def interval_values(df: DataFrame, order: EventOrder, value: str,
                     specs: dict[str, tuple[str, int]]) -> DataFrame:
     """Moving RANGE-frame aggregates: ``{out_name: (agg, width_seconds)}``.

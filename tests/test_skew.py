@@ -64,8 +64,9 @@ def test_one_hot_key_with_third_of_rows(spark):
 def test_interval_stats_chunked_equal(spark):
     ev = tb.transactions(spark, SF_MID)
     specs = {"s24": ("sum", 86400), "m30": ("mean", 30 * 86400), "d30": ("std", 30 * 86400),
-             "x30": ("max", 30 * 86400), "n7": ("count", 7 * 86400)}
-    cols = ["event_id", *[Q.r6(c).alias(c) for c in ("s24", "m30", "d30", "x30")], "n7"]
+             "x30": ("max", 30 * 86400), "n7": ("count", 7 * 86400), "x1": ("max", 86400),
+             "lo7": ("min", 7 * 86400)}
+    cols = ["event_id", *[Q.r6(c).alias(c) for c in ("s24", "m30", "d30", "x30", "x1", "lo7")], "n7"]
     a = W.interval_stats(ev, EV, "value", specs, hot_threshold=6).select(*cols)
     b = W.interval_stats(ev, EV, "value", specs).select(*cols)
     assert_same(a.toPandas(), b.toPandas())
