@@ -50,7 +50,7 @@ def feature_profile(df: DataFrame, columns) -> DataFrame:
             for c in columns]
     long = wide.select("_n", F.explode(F.array(*rows)).alias("r"))
     return long.select("r.column_name", F.col("_n").alias("n_rows"),
-                       ((F.col("_n") - F.col("r.nn")) / F.col("_n")).alias("null_rate"),
+                       F.try_divide(F.col("_n") - F.col("r.nn"), F.col("_n")).alias("null_rate"),
                        F.col("r.min").alias("min_value"), F.col("r.max").alias("max_value"),
                        F.col("r.mean").alias("mean_value"), F.col("r.n_distinct").alias("n_distinct"))
 
@@ -73,8 +73,8 @@ def psi(df: DataFrame, value: str, period_col: str, baseline: str, current: str,
                     F.sum((F.col(period_col) == current).cast("long")).alias("n_cur")))
     tot = counts.agg(F.sum("n_base").alias("tb"), F.sum("n_cur").alias("tc"))
     shares = counts.crossJoin(tot).select(
-        "bin", F.greatest(F.col("n_base") / F.col("tb"), F.lit(PSI_EPS)).alias("p"),
-        F.greatest(F.col("n_cur") / F.col("tc"), F.lit(PSI_EPS)).alias("q"))
+        "bin", F.greatest(F.try_divide(F.col("n_base"), F.col("tb")), F.lit(PSI_EPS)).alias("p"),
+        F.greatest(F.try_divide(F.col("n_cur"), F.col("tc")), F.lit(PSI_EPS)).alias("q"))
     return shares.agg(F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))).alias("psi")) \
                  .select(F.lit(value).alias("column_name"), "psi",
                          (F.col("psi") > F.lit(DRIFT_THRESHOLD)).alias("drift"))

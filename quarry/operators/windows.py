@@ -80,15 +80,20 @@ def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
     withc = _attach_carry(loc, order, value, lat, lon, k_col, tail_len) if carry else loc
 
     if carry:
+        # merge (n, mean, M2) of earlier chunks with the in-chunk running
+        # state (Chan et al.); try_divide: chunks may hold only NULL values
         n_b = F.col("_cn")
-        n_tot = F.coalesce(n_b, F.lit(0)) + F.col("_n")
+        n_l = F.col("_n")
+        n_tot = F.coalesce(n_b, F.lit(0)) + n_l
+        sum_l = F.coalesce(F.col("_mean") * n_l, F.lit(0.0))
+        m2_l = F.coalesce(F.col("_var") * n_l, F.lit(0.0))
         mean = F.when(n_b.isNull(), F.col("_mean")).otherwise(
-            (F.col("_cs") + F.col("_n") * F.col("_mean")) / n_tot)
-        delta = F.col("_mean") - F.col("_cs") / n_b
-        m2 = (F.col("_cm2") + F.col("_var") * F.col("_n")
-              + delta * delta * n_b * F.col("_n") / n_tot)
-        std = F.when(n_b.isNull(), F.sqrt(F.col("_var"))).otherwise(
-            F.sqrt(F.greatest(m2 / n_tot, F.lit(0.0))))
+            F.try_divide(F.coalesce(F.col("_cs"), F.lit(0.0)) + sum_l, n_tot))
+        delta = F.coalesce(F.col("_mean") - F.try_divide(F.col("_cs"), n_b), F.lit(0.0))
+        m2 = (F.coalesce(F.col("_cm2"), F.lit(0.0)) + m2_l
+              + F.coalesce(F.try_divide(delta * delta * n_b * n_l, n_tot), F.lit(0.0)))
+        std = F.when(n_b.isNull(), F.sqrt(F.col("_var"))).when(
+            n_tot > 0, F.sqrt(F.greatest(F.try_divide(m2, n_tot), F.lit(0.0))))
         vmax = F.greatest(F.col("_max"), F.col("_cmax"))
         rows = F.coalesce(F.col("_crows"), F.lit(0)) + F.col("_rows")
         first = F.col("_rows") == 1
@@ -172,15 +177,15 @@ def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col
         order.key, CHUNK,
         F.sum("n").over(before).alias("_cn"),
         F.sum("rows").over(before).alias("_crows"),
-        F.sum(F.col("n") * F.col("mean")).over(before).alias("_cs"),
-        F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean")).over(before).alias("_cq"),
+        F.sum(F.coalesce(F.col("n") * F.col("mean"), F.lit(0.0))).over(before).alias("_cs"),
+        F.sum(F.coalesce(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean"), F.lit(0.0))).over(before).alias("_cq"),
         F.max("mx").over(before).alias("_cmax"),
         F.lag("last", 1).over(pw).alias("_cprev"),
         F.flatten(F.collect_list("tail").over(pw.rowsBetween(-tail_len, -1))).alias("_tails"),
     )
     carry = carry.select(
         order.key, CHUNK, "_cn", "_crows", "_cs",
-        (F.col("_cq") - F.col("_cs") * F.col("_cs") / F.col("_cn")).alias("_cm2"),
+        (F.col("_cq") - F.try_divide(F.col("_cs") * F.col("_cs"), F.col("_cn"))).alias("_cm2"),
         "_cmax", "_cprev",
         F.when(F.size("_tails") > tail_len,
                F.slice("_tails", (F.size("_tails") - tail_len + 1).cast("int"), tail_len))

@@ -70,3 +70,14 @@ def test_interval_stats_chunked_equal(spark):
     a = W.interval_stats(ev, EV, "value", specs, hot_threshold=6).select(*cols)
     b = W.interval_stats(ev, EV, "value", specs).select(*cols)
     assert_same(a.toPandas(), b.toPandas())
+
+
+def test_hot_chunks_with_null_values(spark):
+    """A hot key whose early chunks hold only NULL values (ANSI: no division by zero)."""
+    ev = tb.transactions(spark, SF_MID)
+    nulled = ev.withColumn("value", F.when(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"),
+                                           F.lit(None).cast("double")).otherwise(F.col("value")))
+    cols = ["event_id", "exp_count", Q.r6("exp_mean").alias("m"), Q.r6("exp_std").alias("s"), "exp_max"]
+    a = W.sequence_features(nulled, EV, "value", hot_threshold=7).select(*cols)
+    b = W.sequence_features(nulled, EV, "value").select(*cols)
+    assert_same(a.toPandas(), b.toPandas())
