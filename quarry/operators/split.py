@@ -39,7 +39,12 @@ def stable_split(df: DataFrame, id_col: str, validation_fraction: float, test_fr
     return df.withColumn(SPLIT, split)
 
 
-def _select_cuts(keys: DataFrame, target: str, quotas: DataFrame, qcols: list[str]) -> DataFrame:
+def _hist1(keys: DataFrame, target: str) -> DataFrame:
+    return keys.groupBy(target, F.shiftright("_h", 44).alias("_b1")).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _select_cuts(keys: DataFrame, target: str, quotas: DataFrame, qcols: list[str],
+                 hist1: DataFrame | None = None) -> DataFrame:
     """Per class and quota column, the (hash, id) of the row whose 1-based
     rank in (hash, id) order equals the quota (no row when the quota is 0).
 
@@ -54,7 +59,7 @@ def _select_cuts(keys: DataFrame, target: str, quotas: DataFrame, qcols: list[st
     q = quotas.select(target, F.explode(F.array(*[
         F.struct(F.lit(c).alias("cut"), F.col(c).alias("q")) for c in qcols])).alias("_q")).select(
         target, "_q.cut", "_q.q").where(F.col("q") > 0)
-    hist1 = keys.groupBy(target, b1.alias("_b1")).agg(F.count(F.lit(1)).alias("_c"))
+    hist1 = _hist1(keys, target) if hist1 is None else hist1
     w1 = Window.partitionBy(target).orderBy("_b1").rowsBetween(Window.unboundedPreceding, 0)
     pick1 = (hist1.withColumn("_cum", F.sum("_c").over(w1)).join(F.broadcast(q), target)
                   .where((F.col("_cum") >= F.col("q")) & (F.col("_cum") - F.col("_c") < F.col("q")))
@@ -79,12 +84,14 @@ def stratified_split(df: DataFrame, id_col: str, target: str, validation_fractio
     train_f = 1.0 - validation_fraction - test_fraction
     hashed = df.withColumns({"_h": _hash60(id_col, seed), "_id": F.col(id_col)})
     keys = hashed.select(target, "_h", "_id")
-    counts = keys.groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
+    hist1 = _hist1(keys, target)
+    # class sizes from the level-1 histogram: no separate counting pass
+    counts = hist1.groupBy(target).agg(F.sum("_c").alias("_n"))
     quotas = counts.select(
         target,
         F.floor(F.col("_n") * F.lit(train_f) + F.lit(0.5)).alias("_q_train"),
         F.floor(F.col("_n") * F.lit(1.0 - test_fraction) + F.lit(0.5)).alias("_q_val"))
-    cuts = _select_cuts(keys, target, quotas, ["_q_train", "_q_val"])
+    cuts = _select_cuts(keys, target, quotas, ["_q_train", "_q_val"], hist1)
     me = F.struct("_h", "_id")
     split = (F.when(F.col("_q_train").isNotNull() & (me <= F.col("_q_train")), F.lit("train"))
               .when(F.col("_q_val").isNotNull() & (me <= F.col("_q_val")), F.lit("validation"))

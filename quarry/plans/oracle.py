@@ -344,6 +344,17 @@ t as (select doc_id, 'lang_null' as column_name, lang_c as value from ti
 select t.doc_id, t.column_name, v.slot::INTEGER as slot from t join vocab v using (column_name, value)
 """
 
+FEATURE_MATRIX = """
+with v_lang as (select lang, row_number() over (order by lang) - 1 as r from (select distinct lang from documents)),
+v_src as (select source, row_number() over (order by source) - 1 as r from (select distinct source from documents)),
+n_lang as (select count(*) as n from v_lang)
+select doc_id, 0::INTEGER as slot, n_chars::DOUBLE as value from documents where n_chars <> 0
+union all
+select d.doc_id, (1 + l.r)::INTEGER, 1.0::DOUBLE from documents d join v_lang l using (lang)
+union all
+select d.doc_id, (1 + (select n from n_lang) + s.r)::INTEGER, 1.0::DOUBLE from documents d join v_src s using (source)
+"""
+
 _P = Q.BATCH_PROVENANCE
 BATCH_SCORE = f"""
 with u as ({UNLABELED}),
@@ -472,6 +483,7 @@ ORACLE = {
     "impute_mode": IMPUTE_MODE,
     "category_vocab": VOCAB,
     "one_hot": ONE_HOT,
+    "feature_matrix": FEATURE_MATRIX,
     "batch_score": BATCH_SCORE,
     "row_digest": ROW_DIGEST,
     "dataset_digest": DATASET_DIGEST,

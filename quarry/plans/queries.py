@@ -432,12 +432,15 @@ def one_hot(spark, d):
 
 
 def feature_matrix(spark, d):
+    """Assembled feature vectors (numeric, then one-hot slots) as long-form
+    non-zero entries (doc_id, slot, value)."""
     spec = FeatureSpec(metadata=("doc_id",), numeric=("n_chars",), categorical=("lang", "source"))
     docs = tb.read_table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
     modes = prep.fit_modes(docs, spec.categorical)
     from pyspark.ml import Pipeline
     pm = Pipeline(stages=preprocessing_stages(spec, modes)).fit(docs)
-    return pm.transform(docs).select("doc_id", vector_to_array("features").alias("features"))
+    t = pm.transform(docs).select("doc_id", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return t.where(F.col("value") != 0).select("doc_id", F.col("slot").cast("int").alias("slot"), "value")
 
 
 # ---------------------------------------------------------------- model + scoring

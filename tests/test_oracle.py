@@ -9,7 +9,7 @@ from conftest import SF_MID
 
 ORACLE = E.oracle_sql()
 QUERIES = E.queries()
-SLOW = {"gbt_train_score", "importance_topk", "feature_matrix"}
+SLOW = {"gbt_train_score", "importance_topk"}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
