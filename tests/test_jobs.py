@@ -1,6 +1,7 @@
 """End-to-end: publish a feature table, train twice, batch score, stream score."""
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -51,11 +52,12 @@ def test_stream_scoring_processes_each_file_once(spark, tmp_dir):
     os.makedirs(flat)
     for i, f in enumerate(glob.glob(src + "/a/*.parquet")):
         shutil.copy(f, f"{flat}/a{i}.parquet")
-    r1 = score_new_files(spark, flat, schema, Q.DOC_SPEC, Q._doc_score, prov, tmp_dir + "/out", name="t1")
+    name = "t-" + uuid.uuid4().hex  # progress persists in the shared checkpoint folder
+    r1 = score_new_files(spark, flat, schema, Q.DOC_SPEC, Q._doc_score, prov, tmp_dir + "/out", name=name)
     want1 = docs.where((F.col("doc_id") < 500) & F.col("label").isNull()).count()
     assert r1["rows_written"] == want1
     docs.where(F.col("doc_id") >= 500).write.parquet(src + "/b")
     for i, f in enumerate(glob.glob(src + "/b/*.parquet")):
         shutil.copy(f, f"{flat}/b{i}.parquet")
-    r2 = score_new_files(spark, flat, schema, Q.DOC_SPEC, Q._doc_score, prov, tmp_dir + "/out", name="t1")
+    r2 = score_new_files(spark, flat, schema, Q.DOC_SPEC, Q._doc_score, prov, tmp_dir + "/out", name=name)
     assert r2["rows_written"] == docs.where((F.col("doc_id") >= 500) & F.col("label").isNull()).count()
