@@ -1,6 +1,7 @@
 """Split invariants and guards."""
 
 import pytest
+import pytest as _pt
 from pyspark.sql import functions as F
 
 from quarry.operators import split as sp
@@ -11,9 +12,10 @@ def data(spark, n=2000):
     return spark.range(n).select(F.col("id").alias("rid"), (F.col("id") % 5 == 0).cast("int").alias("y"))
 
 
-def test_exact_split_partitions_and_quotas(spark):
+@_pt.mark.parametrize("small", [0, 10**9])
+def test_exact_split_partitions_and_quotas(spark, small):
     df = data(spark)
-    s = sp.stratified_split(df, "rid", "y", 0.2, 0.1, seed=7)
+    s = sp.stratified_split(df, "rid", "y", 0.2, 0.1, seed=7, small_class_rows=small)
     assert s.count() == 2000
     counts = {(r["split"], r["y"]): r["n_rows"] for r in sp.split_counts(s, "y").collect()}
     # class 1: 400 rows → 280/80/40 ; class 0: 1600 → 1120/320/160
@@ -21,9 +23,12 @@ def test_exact_split_partitions_and_quotas(spark):
     assert counts[("train", 0)] == 1120 and counts[("validation", 0)] == 320 and counts[("test", 0)] == 160
 
 
-def test_exact_split_matches_rank_definition(spark):
+@_pt.mark.parametrize("small", [0, 10**9])
+def test_exact_split_matches_rank_definition(spark, small):
+    """Histogram path (small=0) and ranked path give the rank definition."""
     df = data(spark, 500)
-    got = {r["rid"]: r["split"] for r in sp.stratified_split(df, "rid", "y", 0.25, 0.15, seed=3).collect()}
+    got = {r["rid"]: r["split"] for r in
+           sp.stratified_split(df, "rid", "y", 0.25, 0.15, seed=3, small_class_rows=small).collect()}
     import hashlib
     want = {}
     rows = [(r["rid"], r["y"]) for r in df.collect()]
