@@ -42,6 +42,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    AQE starts from enough partitions for ~``target_partition_bytes`` per
+    task (so sort / window buffers fit the executor memory and spill rarely)
+    and coalesces small ones at run time; skewed sort-merge partitions are
+    split by AQE, skewed window keys by ``quarry.skew.hotKeyRows``.
+    """
+    initial = max(executor_cores * 3, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "quarry.skew.hotKeyRows": str(2_000_000),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
