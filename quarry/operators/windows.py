@@ -20,8 +20,8 @@ moving frame per row, each event also emits one *expiry* event per width at
 and ``-1`` (expiries strictly before ``ts``), an O(n log n) single window that
 is also additive across chunks.
 
-``interval_values`` (24 h sum, 30 d mean/stddev/max) and ``prior_quantile_flag``
-use Spark's moving RANGE / growing frames over ``partitionBy(key)``.
+``prior_quantile_flag`` compares each value with the exact quantile of the
+key's earlier values, found by radix descent over value ranks (``orderstat``).
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.scalar import epoch_micros
 from quarry.operators.keyed import CHUNK, HOT, EventOrder, hot_key_chunks, hot_key_rows, with_chunks
+from quarry.operators.orderstat import prior_quantile
 
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
@@ -348,32 +349,25 @@ def _cross_chunk_extremes(out: DataFrame, order: EventOrder, hot: DataFrame,
 
 
 def interval_values(df: DataFrame, order: EventOrder, value: str,
-                    specs: dict[str, tuple[str, int]]) -> DataFrame:
-    """Moving RANGE-frame aggregates: ``{out_name: (agg, width_seconds)}``.
-
-    ``agg`` in sum / mean / std (population) / max / min / count.  Frames are
-    ``[ts - width, ts]`` on microsecond time, ties included.
-    """
-    t = "_t_us"
-    base = df.withColumn(t, epoch_micros(order.ts))
-    fns = {"sum": F.sum, "mean": F.avg, "std": F.stddev_pop, "max": F.max,
-           "min": F.min, "count": F.count}
-    cols = {}
-    for name, (agg, secs) in specs.items():
-        w = (Window.partitionBy(order.key).orderBy(t)
-             .rangeBetween(-int(secs) * 1_000_000, 0))
-        cols[name] = fns[agg](F.col(value)).over(w)
-    return base.withColumns(cols).drop(t)
+                    specs: dict[str, tuple[str, int]], *, hot_threshold: int | None = None) -> DataFrame:
+    """Moving RANGE-frame aggregates ``{out_name: (agg, width_seconds)}``,
+    ``agg`` in sum / mean / std (population) / max / min / count, over
+    ``[ts - width, ts]`` with ties included; see ``interval_stats``."""
+    return interval_stats(df, order, value, specs, hot_threshold=hot_threshold)
 
 
 def prior_quantile_flag(df: DataFrame, order: EventOrder, value: str, q: float = 0.95,
-                        out: str = "above_prior_p95", quantile_col: str | None = "prior_p95") -> DataFrame:
+                        out: str = "above_prior_p95", quantile_col: str | None = "prior_p95", *,
+                        hot_threshold: int | None = None) -> DataFrame:
     """``value`` above the exact q-quantile (linear interpolation) of the key's
-    earlier values; False for a key's first event."""
-    w = (Window.partitionBy(order.key).orderBy(order.ts, order.tie)
-         .rowsBetween(UNB, -1))
-    pq = F.percentile(F.col(value), F.lit(q)).over(w)
-    res = df.withColumn("_pq", pq)
+    earlier values; False for a key's first event.  The quantile is an order
+    statistic found by radix descent over value ranks (``orderstat``), not a
+    growing-frame ``percentile`` re-sorted for every row."""
+    pq = prior_quantile(df, order, value, q, hot_threshold=hot_threshold).select(
+        F.col(order.key).alias("_jk"), F.col(order.ts).alias("_jts"), F.col(order.tie).alias("_jtie"), "_pq")
+    cond = (df[order.key].eqNullSafe(pq["_jk"]) & (df[order.ts] == pq["_jts"])
+            & (df[order.tie] == pq["_jtie"]))
+    res = df.join(pq, cond, "left").drop("_jk", "_jts", "_jtie")
     res = res.withColumn(out, F.coalesce(F.col(value) > F.col("_pq"), F.lit(False)))
     if quantile_col:
         res = res.withColumnRenamed("_pq", quantile_col)

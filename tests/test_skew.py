@@ -81,3 +81,36 @@ def test_hot_chunks_with_null_values(spark):
     a = W.sequence_features(nulled, EV, "value", hot_threshold=7).select(*cols)
     b = W.sequence_features(nulled, EV, "value").select(*cols)
     assert_same(a.toPandas(), b.toPandas())
+
+
+def _prior_pct_brute(df, q):
+    """Spark's growing-frame percentile: O(n²) per key, small fixtures only."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    return (df.select("event_id", Q.r6(F.percentile(F.col("value"), F.lit(q)).over(w)).alias("p"))
+              .where(F.col("p").isNotNull()))
+
+
+def test_prior_quantile_radix_equals_brute_force(spark):
+    """Radix descent over value ranks = growing-frame percentile, with one key
+    holding a third of all rows split into chunks, NULL values, tied values,
+    several value-rank buckets and the extreme quantiles."""
+    from quarry.operators.orderstat import prior_quantile
+    ev = tb.transactions(spark, SF_MID)
+    skewed = (ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+                .withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(None))
+                                      .otherwise(F.round(F.col("value") / 10))))
+    for q in (0.95, 0.5, 0.0, 1.0):
+        a = prior_quantile(skewed, EV, "value", q, hot_threshold=300, values_per_bucket=3)
+        a = a.select("event_id", Q.r6("_pq").alias("p"))
+        assert_same(a.toPandas(), _prior_pct_brute(skewed, q).toPandas())
+
+
+def test_digit_plan():
+    from quarry.operators.orderstat import digit_plan
+    assert digit_plan(1) == (4, 1)
+    assert digit_plan(6583) == (5, 3)          # 13 bits
+    assert digit_plan(10**9) == (6, 5)         # 30 bits
+    for n in (2, 17, 1000, 10**6, 10**12):
+        bits, levels = digit_plan(n)
+        assert bits * levels >= (n - 1).bit_length()
