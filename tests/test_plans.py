@@ -37,3 +37,12 @@ def test_no_python_udf_anywhere(spark):
     for k in ["batch_score", "asof_label_join", "average_precision", "stratified_split", "one_hot"]:
         p = plan(Q.QUERIES[k](spark, SF_MID))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, k
+
+
+def test_prior_quantile_no_frame_percentile(spark):
+    """W11 runs as rank-prefix windows, not a re-sorted growing frame."""
+    p = plan(Q.feat_p95_flag(spark, SF_MID))
+    assert "percentile(" not in p.lower()
+    windows = [line for line in p.splitlines() if "Window [" in line]
+    assert windows and all("_pre#" in line for line in windows)
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
