@@ -3,7 +3,7 @@
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is materialised with a no-op write (``format("noop")``) so the
 whole plan runs without collecting rows to the driver; the best of
-``BENCH_REPEAT`` runs (default 2) is reported after one warm-up of the JVM.
+``BENCH_REPEAT`` runs (default 3) is reported after one warm-up of the JVM.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ HEADLINE = ["feat_all", "feat_expanding", "feat_window_counts", "feat_window_val
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
                         extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")

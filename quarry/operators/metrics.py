@@ -9,6 +9,7 @@
 AP and AUC need running totals over scores in descending order.  Rows are
 first grouped by score (partial aggregation).  The distinct scores are then
 cut into ``buckets`` contiguous score ranges taken from ``percentile_approx``
+(64, or more when there are over 256M distinct scores)
 (boundaries are deterministic data, not partition ids); per-bucket totals
 give each bucket's offset, and a window per bucket gives the local running
 sum.  No step ranks all distinct scores in one task.
@@ -86,12 +87,25 @@ def running_totals(st: DataFrame, score: str, group_by=(), buckets: int = 64) ->
                       (F.col("_op") + F.col("_lp") - F.col("pos")).alias("above_pos"))
 
 
-def ranking_metrics(df: DataFrame, truth: str, score: str, group_by=(), buckets: int = 64) -> DataFrame:
-    """``average_precision`` and ``roc_auc`` (NULL if one class is absent)."""
+# Distinct scores per running-sum bucket when the bucket count is chosen from
+# the data: at least MIN_BUCKETS buckets, at most MAX_BUCKETS.
+SCORES_PER_BUCKET = 4_000_000
+MIN_BUCKETS = 64
+MAX_BUCKETS = 1024
+
+
+def ranking_metrics(df: DataFrame, truth: str, score: str, group_by=(), buckets: int | None = None) -> DataFrame:
+    """``average_precision`` and ``roc_auc`` (NULL if one class is absent).
+
+    ``buckets`` (default: from the number of distinct scores) sets how many
+    score ranges the running sums are split into, so no bucket window holds
+    more than about ``SCORES_PER_BUCKET`` distinct scores below the cap."""
     g = list(group_by)
     # the grouped score table feeds three branches (bounds, bucket totals,
     # local running sums): cut lineage so the input is scanned once
     st = cut_lineage(score_table(df, truth, score, g))
+    if buckets is None:
+        buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, -(-st.count() // SCORES_PER_BUCKET)))
     rt = running_totals(st, score, g, buckets)
     totals = rt.groupBy(*g).agg(
         F.sum("pos").alias("_P"), F.sum("neg").alias("_N"),
@@ -114,7 +128,7 @@ def logloss_accuracy(df: DataFrame, truth: str, score: str, threshold: float = 0
 
 
 def evaluate_binary(df: DataFrame, truth: str, score: str, threshold: float = 0.5,
-                    group_by=(), buckets: int = 64) -> DataFrame:
+                    group_by=(), buckets: int | None = None) -> DataFrame:
     """average_precision, f1, precision, recall, roc_auc (+ counts)."""
     g = list(group_by)
     thr = threshold_metrics(df, truth, score, threshold, g)
