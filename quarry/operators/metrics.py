@@ -103,7 +103,7 @@ def ranking_metrics(df: DataFrame, truth: str, score: str, group_by=(), buckets:
     g = list(group_by)
     # the grouped score table feeds three branches (bounds, bucket totals,
     # local running sums): cut lineage so the input is scanned once
-    st = cut_lineage(score_table(df, truth, score, g))
+    st = cut_lineage(score_table(df, truth, score, g), "score-table")
     if buckets is None:
         buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, -(-st.count() // SCORES_PER_BUCKET)))
     rt = running_totals(st, score, g, buckets)

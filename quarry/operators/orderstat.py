@@ -30,7 +30,8 @@ digit counts (partial aggregates) with a window over ``(key, prefix)``
 ordered by chunk, whose rows are bounded by the number of hot chunks times
 the prefixes their queries use.  With hot keys the query state is read twice
 per level, so it is cut to the shared checkpoint folder after every level;
-otherwise all levels chain in one plan.
+otherwise all levels chain in one plan.  Cuts are Parquet tables in the
+shared checkpoint folder (``session.cut_lineage``).
 """
 
 from __future__ import annotations
@@ -56,7 +57,8 @@ def dense_value_rank(df: DataFrame, col: str,
                      values_per_bucket: int = VALUES_PER_BUCKET) -> tuple[DataFrame, int]:
     """``((_v, _rho), D)``: each distinct non-null value of ``col`` with its
     0-based dense rank, and the number of distinct values."""
-    vals = cut_lineage(df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct())
+    vals = cut_lineage(df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct(),
+                       "rank-values")
     n_vals = vals.count()
     n_buckets = max(1, min(MAX_BUCKETS, -(-n_vals // max(1, values_per_bucket))))
     if n_buckets == 1:
@@ -108,7 +110,7 @@ def prior_quantile(df: DataFrame, order: EventOrder, value: str, q: float, *,
     keys = [order.key, order.ts, order.tie]
 
     base = with_chunks(df.select(*keys, F.col(value).alias("_v")), order, hot)
-    base = cut_lineage(base.join(rho_tab, "_v", "left").select(*keys, CHUNK, HOT, "_v", "_rho"))
+    base = cut_lineage(base.join(rho_tab, "_v", "left").select(*keys, CHUNK, HOT, "_v", "_rho"), "quantile-base")
     # one query row per event; _m: 2 = both ranks (lo, lo + 1) in this
     # prefix group, 0 = lo only, 1 = hi only (after the two ranks part)
     qs = base.select(*keys, CHUNK, HOT, F.lit(2).alias("_m"), F.lit(0).cast("long").alias("_pre"),
@@ -171,7 +173,7 @@ def prior_quantile(df: DataFrame, order: EventOrder, value: str, q: float, *,
                          F.col("_q.k").alias("_k"), "_n"))
         if hot is not None:
             # the carry reads the query state twice (probes and window input)
-            qs = cut_lineage(qs)
+            qs = cut_lineage(qs, f"quantile-level{lvl}")
 
     per_row = qs.groupBy(*keys).agg(F.max("_xlo").cast("double").alias("_lo"),
                                     F.max("_xhi").cast("double").alias("_hi"), F.max("_n").alias("_n"))

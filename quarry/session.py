@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -82,8 +83,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
-def cut_lineage(df):
-    """Materialise ``df`` to the shared checkpoint folder and continue from it
-    (reliable checkpoint: survives executor loss; never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "cut"):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    continue from it.
+
+    Same role as a reliable ``checkpoint()`` (the copy survives executor
+    loss; a local checkpoint is never used), but one job instead of two
+    (count, then write with recomputation), and columnar compressed files
+    instead of serialized rows.  Every call takes a fresh folder.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
