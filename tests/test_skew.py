@@ -114,3 +114,18 @@ def test_digit_plan():
     for n in (2, 17, 1000, 10**6, 10**12):
         bits, levels = digit_plan(n)
         assert bits * levels >= (n - 1).bit_length()
+
+
+def test_dense_value_rank_across_buckets(spark):
+    """Bucketed dense rank = one global dense_rank (small fixture), for one
+    bucket and for many buckets (a few values each)."""
+    from pyspark.sql import Window
+    from quarry.operators.orderstat import dense_value_rank
+    ev = tb.transactions(spark, SF_MID).withColumn("value", F.round(F.col("value")))
+    want = (ev.select("value").where(F.col("value").isNotNull()).distinct()
+              .select(F.col("value").alias("_v"),
+                      (F.dense_rank().over(Window.orderBy("value")) - 1).cast("long").alias("_rho")))
+    for per_bucket in (10**9, 7):
+        got, n = dense_value_rank(ev, "value", values_per_bucket=per_bucket)
+        assert n == want.count()
+        assert_same(got.toPandas(), want.toPandas())
