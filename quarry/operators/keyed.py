@@ -48,6 +48,12 @@ def hot_key_rows(spark: SparkSession, override: int | None = None) -> int:
     return int(spark.conf.get(HOT_KEY_CONF, str(DEFAULT_HOT_KEY_ROWS)))
 
 
+def max_key_rows(df: DataFrame, key: str) -> int:
+    """Rows of the largest key (one partial aggregate; one number returns)."""
+    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
+    return int(r["m"] or 0)
+
+
 def hot_key_chunks(df: DataFrame, order: EventOrder, threshold: int,
                    time_us: Column | None = None) -> DataFrame | None:
     """Small table ``(key, _t0, _width)`` for hot keys, or None if there are none.

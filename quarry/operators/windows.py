@@ -21,7 +21,8 @@ and ``-1`` (expiries strictly before ``ts``), an O(n log n) single window that
 is also additive across chunks.
 
 ``prior_quantile_flag`` compares each value with the exact quantile of the
-key's earlier values, found by radix descent over value ranks (``orderstat``).
+key's earlier values: a growing-frame ``percentile`` when every key is small,
+else radix descent over value ranks (``orderstat``).
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import epoch_micros
-from quarry.operators.keyed import CHUNK, HOT, EventOrder, hot_key_chunks, hot_key_rows, with_chunks
+from quarry.operators.keyed import (CHUNK, HOT, EventOrder, hot_key_chunks, hot_key_rows, max_key_rows,
+                                    with_chunks)
 from quarry.operators.orderstat import prior_quantile
 
 UNB = Window.unboundedPreceding
@@ -356,18 +358,31 @@ def interval_values(df: DataFrame, order: EventOrder, value: str,
     return interval_stats(df, order, value, specs, hot_threshold=hot_threshold)
 
 
+# Largest key (rows) for which W11 uses Spark's growing-frame ``percentile``:
+# that re-sorts each row's history, so its cost per row is bounded by this.
+SMALL_KEY_ROWS = 128
+
+
 def prior_quantile_flag(df: DataFrame, order: EventOrder, value: str, q: float = 0.95,
                         out: str = "above_prior_p95", quantile_col: str | None = "prior_p95", *,
-                        hot_threshold: int | None = None) -> DataFrame:
+                        hot_threshold: int | None = None, small_key_rows: int = SMALL_KEY_ROWS) -> DataFrame:
     """``value`` above the exact q-quantile (linear interpolation) of the key's
-    earlier values; False for a key's first event.  The quantile is an order
-    statistic found by radix descent over value ranks (``orderstat``), not a
-    growing-frame ``percentile`` re-sorted for every row."""
-    pq = prior_quantile(df, order, value, q, hot_threshold=hot_threshold).select(
-        F.col(order.key).alias("_jk"), F.col(order.ts).alias("_jts"), F.col(order.tie).alias("_jtie"), "_pq")
-    cond = (df[order.key].eqNullSafe(pq["_jk"]) & (df[order.ts] == pq["_jts"])
-            & (df[order.tie] == pq["_jtie"]))
-    res = df.join(pq, cond, "left").drop("_jk", "_jts", "_jtie")
+    earlier values; False for a key's first event.
+
+    When every key holds at most ``small_key_rows`` rows (checked with one
+    aggregate) the quantile is Spark's ``percentile`` over the growing frame,
+    whose per-row cost is then bounded.  Otherwise it is an order statistic
+    found by radix descent over value ranks (``orderstat``), linear in the
+    history length and hot-key safe.  Both are exact."""
+    if max_key_rows(df, order.key) <= small_key_rows:
+        w = Window.partitionBy(order.key).orderBy(order.ts, order.tie).rowsBetween(UNB, -1)
+        res = df.withColumn("_pq", F.percentile(F.col(value), F.lit(q)).over(w))
+    else:
+        pq = prior_quantile(df, order, value, q, hot_threshold=hot_threshold).select(
+            F.col(order.key).alias("_jk"), F.col(order.ts).alias("_jts"), F.col(order.tie).alias("_jtie"), "_pq")
+        cond = (df[order.key].eqNullSafe(pq["_jk"]) & (df[order.ts] == pq["_jts"])
+                & (df[order.tie] == pq["_jtie"]))
+        res = df.join(pq, cond, "left").drop("_jk", "_jts", "_jtie")
     res = res.withColumn(out, F.coalesce(F.col(value) > F.col("_pq"), F.lit(False)))
     if quantile_col:
         res = res.withColumnRenamed("_pq", quantile_col)

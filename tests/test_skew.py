@@ -129,3 +129,12 @@ def test_dense_value_rank_across_buckets(spark):
         got, n = dense_value_rank(ev, "value", values_per_bucket=per_bucket)
         assert n == want.count()
         assert_same(got.toPandas(), want.toPandas())
+
+
+def test_prior_quantile_flag_paths_agree(spark):
+    """Small-key path (frame percentile) and radix path give the same rows."""
+    ev = tb.transactions(spark, SF_MID)
+    def run(**kw):
+        f = W.prior_quantile_flag(ev, EV, "value", 0.95, **kw)
+        return f.select("event_id", Q.r6("prior_p95").alias("p"), "above_prior_p95").toPandas()
+    assert_same(run(), run(small_key_rows=0))
