@@ -138,3 +138,21 @@ def test_prior_quantile_flag_paths_agree(spark):
         f = W.prior_quantile_flag(ev, EV, "value", 0.95, **kw)
         return f.select("event_id", Q.r6("prior_p95").alias("p"), "above_prior_p95").toPandas()
     assert_same(run(), run(small_key_rows=0))
+
+
+def test_prior_quantile_edge_inputs(spark):
+    """Radix path (chunked) = frame path on all-NULL values, one-event keys,
+    integer and float32 values and a single distinct value."""
+    from conftest import SF_SMALL
+    ev = tb.transactions(spark, SF_SMALL)
+    cases = [ev.withColumn("value", F.lit(None).cast("double")),
+             ev.withColumn("user_id", F.col("event_id")),
+             ev.withColumn("value", F.floor("value").cast("int")),
+             ev.withColumn("value", F.col("value").cast("float")),
+             ev.withColumn("value", F.lit(3.5))]
+    for df in cases:
+        def run(**kw):
+            f = W.prior_quantile_flag(df, EV, "value", 0.95, **kw)
+            return f.select("event_id", Q.r6(F.col("prior_p95").cast("double")).alias("p"),
+                            "above_prior_p95").toPandas()
+        assert_same(run(small_key_rows=0, hot_threshold=40), run(small_key_rows=10**9))
