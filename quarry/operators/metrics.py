@@ -10,13 +10,17 @@ AP and AUC need running totals over scores in descending order.  Rows are
 first grouped by score (partial aggregation).  The distinct scores are then
 cut into ``buckets`` contiguous score ranges taken from ``percentile_approx``
 (64, or more when there are over 256M distinct scores)
-(boundaries are deterministic data, not partition ids); per-bucket totals
+(boundaries are deterministic data, not partition ids; without groups a
+``Bucketizer`` places each score by binary search); per-bucket totals
 give each bucket's offset, and a window per bucket gives the local running
 sum.  No step ranks all distinct scores in one task.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,21 +61,35 @@ def score_table(df: DataFrame, truth: str, score: str, group_by=()) -> DataFrame
               .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame (a global aggregate) to every row of
+    ``df``.  The one-row side is broadcast, so each row meets exactly one row:
+    a column lookup, not a pair product."""
+    return df.crossJoin(F.broadcast(one_row))
+
+
 def running_totals(st: DataFrame, score: str, group_by=(), buckets: int = 64) -> DataFrame:
     """Add ``cum_pos`` / ``cum_neg``: totals over scores >= this score, and
     ``above_pos``: positives with strictly greater score (same group)."""
     g = list(group_by)
+    probs = [i / buckets for i in range(1, buckets)]
     if buckets <= 1:
-        bucketed = st.withColumn("_b", F.lit(0))
+        bucketed = st.withColumn("_b", F.lit(0.0))
+    elif not g:
+        # at most buckets - 1 boundaries reach the driver; Bucketizer places
+        # each score by binary search (equal scores share a bucket)
+        cuts = st.agg(F.percentile_approx(F.col(score).cast("double"), probs, 10000)).first()[0] or []
+        splits = sorted({float(c) for c in cuts if c is not None and not math.isnan(c)})
+        bucketizer = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="_sd", outputCol="_b",
+                                handleInvalid="keep")
+        bucketed = bucketizer.transform(st.withColumn("_sd", F.col(score).cast("double"))).drop("_sd")
     else:
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = (st.groupBy(*g).agg(F.percentile_approx(score, probs, 10000).alias("_bounds"))
-                  if g else st.agg(F.percentile_approx(score, probs, 10000).alias("_bounds")))
+        bounds = st.groupBy(*g).agg(F.percentile_approx(score, probs, 10000).alias("_bounds"))
         # bucket b holds scores in (bound[b-1], bound[b]]; higher bucket = higher
         # score.  bounds: one row per group, (buckets - 1) values each.
-        bucketed = st.crossJoin(F.broadcast(bounds)) if not g else st.join(F.broadcast(bounds), g)
+        bucketed = st.join(F.broadcast(bounds), g)
         bucketed = bucketed.withColumn(
-            "_b", F.size(F.filter("_bounds", lambda b: b < F.col(score)))).drop("_bounds")
+            "_b", F.size(F.filter("_bounds", lambda b: b < F.col(score))).cast("double")).drop("_bounds")
     tot = bucketed.groupBy(*g, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     wo = Window.partitionBy(*g).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select(*g, "_b", F.coalesce(F.sum("_bp").over(wo), F.lit(0)).alias("_op"),
@@ -133,6 +151,6 @@ def evaluate_binary(df: DataFrame, truth: str, score: str, threshold: float = 0.
     g = list(group_by)
     thr = threshold_metrics(df, truth, score, threshold, g)
     rk = ranking_metrics(df, truth, score, g, buckets)
-    joined = thr.crossJoin(rk) if not g else thr.join(rk, g)
+    joined = attach_row(thr, rk) if not g else thr.join(rk, g)
     return joined.select(*g, "average_precision", "f1", "precision", "recall", "roc_auc",
                          "tp", "fp", "fn", "tn")

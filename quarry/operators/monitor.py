@@ -3,11 +3,11 @@ profiles, drift, retraining trigger, lookups (A10–A13, A15, J2, J3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.metrics import evaluate_binary
+from quarry.operators.metrics import attach_row, evaluate_binary
 
 # Retraining defaults of the reference configuration (fixed values).
 MIN_NEW_LABELS = 30
@@ -71,10 +71,12 @@ def psi(df: DataFrame, value: str, period_col: str, baseline: str, current: str,
                 .groupBy(b.alias("bin")).agg(
                     F.sum((F.col(period_col) == baseline).cast("long")).alias("n_base"),
                     F.sum((F.col(period_col) == current).cast("long")).alias("n_cur")))
-    tot = counts.agg(F.sum("n_base").alias("tb"), F.sum("n_cur").alias("tc"))
-    shares = counts.crossJoin(tot).select(
-        "bin", F.greatest(F.try_divide(F.col("n_base"), F.col("tb")), F.lit(PSI_EPS)).alias("p"),
-        F.greatest(F.try_divide(F.col("n_cur"), F.col("tc")), F.lit(PSI_EPS)).alias("q"))
+    # counts: one row per bin (bounded by ``edges``), so period totals are a
+    # window over that small table
+    whole = Window.partitionBy()
+    shares = counts.select(
+        "bin", F.greatest(F.try_divide(F.col("n_base"), F.sum("n_base").over(whole)), F.lit(PSI_EPS)).alias("p"),
+        F.greatest(F.try_divide(F.col("n_cur"), F.sum("n_cur").over(whole)), F.lit(PSI_EPS)).alias("q"))
     return shares.agg(F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))).alias("psi")) \
                  .select(F.lit(value).alias("column_name"), "psi",
                          (F.col("psi") > F.lit(DRIFT_THRESHOLD)).alias("drift"))
@@ -89,11 +91,11 @@ def retrain_trigger(new_label_count: DataFrame, drift: DataFrame | None = None,
                                  (F.col("n_new_labels") >= F.lit(min_new_labels)).alias("enough_new_labels"))
     reasons = [F.col("enough_new_labels")]
     if drift is not None:
-        out = out.crossJoin(drift.agg(F.max("psi").alias("max_psi")))
+        out = attach_row(out, drift.agg(F.max("psi").alias("max_psi")))
         out = out.withColumn("drift_detected", F.coalesce(F.col("max_psi") > F.lit(DRIFT_THRESHOLD), F.lit(False)))
         reasons.append(F.col("drift_detected"))
     if performance is not None:
-        out = out.crossJoin(performance.agg(F.min(metric).alias("perf")))
+        out = attach_row(out, performance.agg(F.min(metric).alias("perf")))
         out = out.withColumn("below_floor", F.coalesce(F.col("perf") < F.lit(PERFORMANCE_FLOOR), F.lit(False)))
         reasons.append(F.col("below_floor"))
     r = reasons[0]

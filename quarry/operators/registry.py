@@ -22,6 +22,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.metrics import attach_row
+
 CHAMPION = "champion"
 CHALLENGER = "challenger"
 PRIMARY_METRIC = "average_precision"
@@ -59,7 +61,7 @@ def compare_scores(metrics: DataFrame, metric_name: str = PRIMARY_METRIC) -> Dat
     computed over the same rows, one decision row."""
     ch = metrics.where(F.col("role") == CHALLENGER).select(F.col(metric_name).alias("challenger_score"))
     cp = metrics.where(F.col("role") == CHAMPION).select(F.col(metric_name).alias("champion_score"))
-    both = ch.crossJoin(cp.agg(F.max("champion_score").alias("champion_score")))
+    both = attach_row(ch, cp.agg(F.max("champion_score").alias("champion_score")))
     promoted = (F.col("challenger_score").isNotNull()
                 & (F.col("champion_score").isNull() | (F.col("challenger_score") > F.col("champion_score"))))
     return both.select(F.lit(metric_name).alias("metric_name"), "challenger_score", "champion_score",
@@ -86,7 +88,7 @@ def promotion_gate(challenger: DataFrame, champion: DataFrame, min_accuracy_gain
     """Both inputs: one row with ``accuracy`` and ``log_loss``."""
     c = challenger.select(F.col("accuracy").alias("ch_acc"), F.col("log_loss").alias("ch_ll"))
     p = champion.select(F.col("accuracy").alias("cp_acc"), F.col("log_loss").alias("cp_ll"))
-    j = c.crossJoin(p)
+    j = attach_row(c, p)
     gain = F.col("ch_acc") - F.col("cp_acc")
     ll_inc = F.col("ch_ll") - F.col("cp_ll")
     return j.select(gain.alias("accuracy_gain"), ll_inc.alias("log_loss_increase"),
