@@ -96,14 +96,20 @@ def digit_plan(n_vals: int) -> tuple[int, int]:
 
 def prior_quantile(df: DataFrame, order: EventOrder, value: str, q: float, *,
                    hot_threshold: int | None = None,
-                   values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+                   values_per_bucket: int = VALUES_PER_BUCKET,
+                   max_rows: int | None = None) -> DataFrame:
     """``(key, ts, tie, _pq)``: the q-quantile (linear interpolation, as
     ``percentile``) of the key's non-null values strictly before each row in
-    ``(ts, tie)`` order; rows without earlier values are absent."""
+    ``(ts, tie)`` order; rows without earlier values are absent.
+
+    ``max_rows``: the largest key's row count when the caller has it; at or
+    below the hot-key threshold the hot-key scan is skipped."""
     if not 0.0 <= q <= 1.0:
         raise ValueError(f"quantile must be in [0, 1], got {q}")
     spark = df.sparkSession
-    hot = hot_key_chunks(df, order, hot_key_rows(spark, hot_threshold))
+    threshold = hot_key_rows(spark, hot_threshold)
+    no_hot = max_rows is not None and max_rows <= threshold
+    hot = None if no_hot else hot_key_chunks(df, order, threshold)
     rho_tab, n_vals = dense_value_rank(df, value, values_per_bucket)
     bits, levels = digit_plan(n_vals)
     fan = 1 << bits

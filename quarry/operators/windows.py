@@ -374,11 +374,12 @@ def prior_quantile_flag(df: DataFrame, order: EventOrder, value: str, q: float =
     whose per-row cost is then bounded.  Otherwise it is an order statistic
     found by radix descent over value ranks (``orderstat``), linear in the
     history length and hot-key safe.  Both are exact."""
-    if max_key_rows(df, order.key) <= small_key_rows:
+    largest = max_key_rows(df, order.key)
+    if largest <= small_key_rows:
         w = Window.partitionBy(order.key).orderBy(order.ts, order.tie).rowsBetween(UNB, -1)
         res = df.withColumn("_pq", F.percentile(F.col(value), F.lit(q)).over(w))
     else:
-        pq = prior_quantile(df, order, value, q, hot_threshold=hot_threshold).select(
+        pq = prior_quantile(df, order, value, q, hot_threshold=hot_threshold, max_rows=largest).select(
             F.col(order.key).alias("_jk"), F.col(order.ts).alias("_jts"), F.col(order.tie).alias("_jtie"), "_pq")
         cond = (df[order.key].eqNullSafe(pq["_jk"]) & (df[order.ts] == pq["_jts"])
                 & (df[order.tie] == pq["_jtie"]))

@@ -48,3 +48,14 @@ def test_exact_quantiles_small_buckets(spark, n):
 def test_mode_ties_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "c string")
     assert prep.fit_modes(df, ["c"]) == {"c": "a"}
+
+
+def test_lineage_cut_lands_in_session_checkpoint_dir(spark):
+    """Cuts are written under the folder the session names in
+    spark.checkpoint.dir (set by the cluster; by conftest in tests)."""
+    from quarry.session import cut_lineage
+    root = spark.conf.get("spark.checkpoint.dir")
+    cut = cut_lineage(spark.range(10), "probe")
+    files = cut.inputFiles()
+    assert files and all(root.rstrip("/") in f for f in files)
+    assert cut.count() == 10
