@@ -7,8 +7,8 @@ from helpers import assert_same
 
 from conftest import SF_MID
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k not in E.LLM_QUERIES}
+QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
 SLOW = {"gbt_train_score", "importance_topk"}
 
 
