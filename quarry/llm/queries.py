@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate
+from quarry.llm import chat, decontaminate, language, pieces, pii, secrets, token_count, unigram
 from quarry.llm.common import read
+from quarry.llm.spans import count_of, digest, joined
+
+#: A SentencePiece model with byte fallback; its piece table is the vocabulary.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"] != "novel")
+    return secrets.find_secrets(docs, secrets.identifier_dictionary(docs)).select(
+        "doc_id", count_of(spans, "assign").alias("n_assign"), count_of(spans, "access").alias("n_access"),
+        count_of(spans, "hex").alias("n_hex"), digest(joined(base)).alias("base_sha256"), joined(spans).alias("spans"))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +31,37 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_pieces(docs, unigram.load_pieces(PIECE_MODEL)).select("doc_id", "n_tokens")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [count_of(F.col("base"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, digest(joined(F.col("base"))).alias("base_sha256"),
+                        joined(F.concat("base", "terms")).alias("spans"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from the documents that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = language.train(docs.filter(fold != 2).select("doc_id", "text", "lang"))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids, and whether they decode to its text."""
+    table = unigram.load_pieces(PIECE_MODEL)
+    coded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), table), table)
+    return coded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
+                        (F.col("decoded") == F.replace("text", F.lit(unigram.SPACE), F.lit(" "))).alias("exact"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, plus one whose texts hold control strings; read back from the output."""
     planted = spark.range(2).select(
@@ -33,7 +78,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op4_decontaminate, op10_chat)}
+QUERIES = {f.__name__: f for f in (op3_secrets, op4_decontaminate, op5_token_count, op6_pii, op8_language, op9_pieces, op10_chat)}
 
 ORACLE = {
     "op4_decontaminate": r"""
