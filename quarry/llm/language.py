@@ -137,12 +137,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     rows each get their row; columns with the new names are replaced; an empty
     table stays empty.  No shuffle.
     """
-    table = docs.sparkSession.sparkContext.broadcast(model)
     src = docs.drop("lang_pred", "score")
     at = src.columns.index(text_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = table.value
+        m = model
         scorer = WordScores(m)
         for b in it:
             langs, scores = [], []

@@ -99,15 +99,14 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "
     A null text has null ids and an empty one none; repeated rows each get
     their row; a column named ``out`` is replaced; an empty table stays empty.
     """
-    sc = docs.sparkSession.sparkContext
     solved = solve_lattice(frequent_chunks(docs, text_col, limit), pieces).toArrow()
     known = {w: array("i", ids).tobytes() for w, ids in zip(solved["word"].to_pylist(), solved["ids"].to_pylist())}
-    words, table = sc.broadcast(known), sc.broadcast(pieces)
+    words = docs.sparkSession.sparkContext.broadcast(known)
     src = docs.drop(out)
     at = src.columns.index(text_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, rest = words.value, PieceIds(table.value)
+        first, rest = words.value, PieceIds(pieces)
 
         def ids_of(chunk: str) -> bytes:
             return first.get(chunk) or rest[chunk]
@@ -131,12 +130,11 @@ def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "piece_ids", out: str
     Space marks become spaces and the one before the text goes; bytes that
     are no UTF-8 become U+FFFD.  A literal U+2581 of a text comes back as a space.
     """
-    table = docs.sparkSession.sparkContext.broadcast(pieces)
     src = docs.drop(out)
     at = src.columns.index(ids_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = table.value
+        p = pieces
         raw = {i: piece.replace(SPACE, " ").encode() for piece, _, i in p.rows}
         raw |= {i: bytes([b]) for b, i in enumerate(p.byte_ids)}
         get = raw.__getitem__

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, language, pieces, pii, secrets, token_count, unigram
+from quarry.llm import chat, decontaminate, embeddings, language, ngram_join, pieces, pii, secrets, token_count, unigram
 from quarry.llm.common import read
 from quarry.llm.spans import count_of, digest, joined
 
@@ -13,6 +13,12 @@ from quarry.llm.spans import count_of, digest, joined
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors, whatever their labels."""
+    found = embeddings.link_embeddings(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("vec_id", F.col("vec_id").cast("long")).withColumn("component_id", F.col("component_id").cast("long"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +51,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.concat("base", "terms")).alias("spans"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents by word shingles."""
+    return ngram_join.link_documents(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from the documents that are not held out."""
     docs = read(spark, sf_dir, "documents")
@@ -78,7 +89,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secrets, op4_decontaminate, op5_token_count, op6_pii, op8_language, op9_pieces, op10_chat)}
+QUERIES = {f.__name__: f for f in (op2_embeddings, op3_secrets, op4_decontaminate, op5_token_count, op6_pii, op7_ngram_join, op8_language, op9_pieces, op10_chat)}
 
 ORACLE = {
     "op4_decontaminate": r"""
@@ -97,6 +108,17 @@ its as (select doc_id, count(distinct item_id) as n_items,
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join pos using (doc_id) left join its using (doc_id)""",
+    "op7_ngram_join": r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(list_slice(w, i, i + 4), ' ') as s
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (select a, b from c join n na on a = na.doc_id join n nb on b = nb.doc_id where 100 * c >= 80 * (na.n + nb.n - c)),
+reach(id, to_id) as (select doc_id, doc_id from n union select id, b from reach join links on to_id = a)
+select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(r.component_id, w.doc_id) as component_id
+from w left join n using (doc_id) left join (select id as doc_id, min(to_id) as component_id from reach group by id) r using (doc_id)""",
     "op10_chat": r"""
 with c as (select conv_id::bigint as conv_id, turn::bigint as turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
            union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),

@@ -18,12 +18,11 @@ def count_pieces(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: s
     task solves a distinct chunk once.  A null or empty text has 0 pieces;
     repeated rows each get their row; a column named ``out`` is replaced.
     """
-    table = docs.sparkSession.sparkContext.broadcast(pieces)
     src = docs.drop(out)
     at = src.columns.index(text_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = PieceCounts(table.value)
+        counts = PieceCounts(pieces)
         get = counts.__getitem__
         for b in it:
             n = [sum(map(get, chunks(t.as_py() or ""))) for t in b.column(at)]
