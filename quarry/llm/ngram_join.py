@@ -207,8 +207,10 @@ def enough(na: Column, nb: Column, overlap: Column, percent: int) -> Column:
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b, overlap``: partial overlaps counted fragment by fragment, summed per pair."""
-    pieces = sets.select("cls", F.posexplode(F.array(*[
-        F.filter("set", lambda t, k=k: F.shiftrightunsigned(t, 62) == k) for k in range(FRAGMENTS)])).alias("f", "piece"))
+    def fragment(k: int) -> Column:
+        return F.filter("set", lambda s: F.shiftrightunsigned(s, 62) == k)
+
+    pieces = sets.select("cls", F.posexplode(F.array(*[fragment(k) for k in range(FRAGMENTS)])).alias("f", "piece"))
     return (pairs.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
             .join(pieces.select(F.col("cls").alias("a"), "f", F.col("piece").alias("pa")), ["a", "f"])
             .join(pieces.select(F.col("cls").alias("b"), "f", F.col("piece").alias("pb")), ["b", "f"])
