@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, embeddings, language, ngram_join, pieces, pii, secrets, token_count, unigram
+from quarry.llm import chat, decontaminate, embeddings, language, ngram_join, pieces, pii, secrets, substring, token_count, unigram
 from quarry.llm.common import read
 from quarry.llm.spans import count_of, digest, joined
 
@@ -13,6 +13,12 @@ from quarry.llm.spans import count_of, digest, joined
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated passages."""
+    left = substring.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", digest(F.col("kept")).alias("kept_sha256"))
+
+
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors, whatever their labels."""
     found = embeddings.link_embeddings(read(spark, sf_dir, "embeddings"))
@@ -89,9 +95,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op2_embeddings, op3_secrets, op4_decontaminate, op5_token_count, op6_pii, op7_ngram_join, op8_language, op9_pieces, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_substring, op2_embeddings, op3_secrets, op4_decontaminate, op5_token_count, op6_pii, op7_ngram_join, op8_language, op9_pieces, op10_chat)}
 
 ORACLE = {
+    "op1_substring": r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, s, md5(array_to_string(list_slice(w, s, s + 34), ' ')) as h
+        from (select doc_id, w, unnest(range(1, len(w) - 33)) as s from d where len(w) >= 35)),
+rep as (select h from win group by h having count(*) > 1),
+cov as (select distinct doc_id, unnest(range(s, s + 35)) as p from win join rep using (h)),
+words as (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from d),
+kept as (select doc_id, string_agg(x, ' ' order by p) as k, count(*) as n from words anti join cov using (doc_id, p) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from d left join kept using (doc_id)""",
     "op4_decontaminate": r"""
 with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
