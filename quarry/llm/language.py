@@ -34,11 +34,13 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, and log frequencies of words and n-grams in each."""
+    """Languages; rows of words and of n-grams, and the log frequencies of a row in each language."""
 
     langs: tuple[str, ...]
-    words: dict[str, tuple[float, ...]]
-    grams: dict[str, tuple[float, ...]]
+    words: dict[str, int]
+    word_logs: np.ndarray
+    grams: dict[str, int]
+    gram_logs: np.ndarray
 
 
 def words_of(text: str) -> list[str]:
@@ -50,16 +52,15 @@ def grams_of(word: str) -> list[str]:
     return [marked[i:i + k] for k in range(1, GRAM + 1) for i in range(len(marked) - k + 1)]
 
 
-def _table(counts: DataFrame, key: str, langs: list[str], limit: int) -> dict[str, tuple[float, ...]]:
+def _table(counts: DataFrame, key: str, langs: list[str], limit: int) -> tuple[dict[str, int], np.ndarray]:
     """Smoothed log frequencies of the ``limit`` most frequent keys (bounded by that parameter)."""
-    totals = {r["grp"]: r["n"] for r in counts.groupBy("grp").agg(F.sum("n").alias("n")).collect()}
-    top = counts.groupBy(key).agg(F.sum("n").alias("n"), F.collect_list(F.struct("grp", "n")).alias("by"))
-    rows = top.orderBy(F.desc("n"), key).limit(limit).collect()
-    out = {}
-    for r in rows:
-        by = {x["grp"]: x["n"] for x in r["by"]}
-        out[r[key]] = tuple(math.log((by.get(g, 0) + SMOOTH) / (totals.get(g, 0) + SMOOTH * limit)) for g in langs)
-    return out
+    by_lang = [F.sum(F.when(F.col("grp") == g, F.col("n")).otherwise(0)).alias(f"n{i}") for i, g in enumerate(langs)]
+    if not langs:
+        return {}, np.zeros((0, 0))
+    totals = np.array(counts.agg(*by_lang).first(), float)
+    top = counts.groupBy(key).agg(F.sum("n").alias("n"), *by_lang).orderBy(F.desc("n"), key).limit(limit).toArrow()
+    n = np.stack([top[f"n{i}"].to_numpy() for i in range(len(langs))], axis=1)
+    return {k: i for i, k in enumerate(top[key].to_pylist())}, np.log((n + SMOOTH) / (totals + SMOOTH * limit))
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, known_words: int = KNOWN_WORDS, known_grams: int = KNOWN_GRAMS) -> Model:
@@ -82,8 +83,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, known_words: int = KN
 
     grams = (words.select("grp", "token", "n").mapInArrow(to_grams, "grp string, gram string, n long")
              .groupBy("grp", "gram").agg(F.sum("n").alias("n")))
-    return Model(tuple(langs), _table(words.withColumnRenamed("token", "word"), "word", langs, known_words),
-                 _table(cut_lineage(grams, "grams"), "gram", langs, known_grams))
+    return Model(tuple(langs), *_table(words, "token", langs, known_words), *_table(cut_lineage(grams, "grams"), "gram", langs, known_grams))
 
 
 class WordScores:
@@ -97,7 +97,7 @@ class WordScores:
         """Known word, else the mean of the longest known n-grams from each place not yet covered."""
         known = self.model.words.get(word)
         if known is not None:
-            return np.array(known)
+            return self.model.word_logs[known]
         marked, at, parts = f" {word} ", 0, []
         while at < len(marked):
             for k in range(min(GRAM, len(marked) - at), 0, -1):
@@ -106,7 +106,7 @@ class WordScores:
                     parts.append(g)
                     break
             at += k
-        return np.mean(parts, axis=0) if parts else np.zeros(len(self.model.langs))
+        return self.model.gram_logs[parts].mean(axis=0) if parts else np.zeros(len(self.model.langs))
 
     def total(self, words: list[str]) -> np.ndarray:
         out = np.zeros(len(self.model.langs))
@@ -141,20 +141,19 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     at = src.columns.index(text_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model
-        scorer = WordScores(m)
+        scorer = WordScores(model)
         for b in it:
             langs, scores = [], []
             for t in b.column(at):
                 words = words_of(t.as_py() or "")
-                if not words or not m.langs:
+                if not words or not model.langs:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
                 mean = scorer.total(words) / len(words)
                 p = np.exp((mean - mean.max()) * min(len(words), CERTAIN_AT))
                 best = int(np.argmax(mean))
-                langs.append(m.langs[best])
+                langs.append(model.langs[best])
                 scores.append(float(p[best] / p.sum()))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*b.schema.names, "lang_pred", "score"])

@@ -141,10 +141,10 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
               .select("entity", "term"))
     strong = cut_lineage(strong, "disclosing")
     terms = (beside.join(strong, ["entity", "term"]).groupBy(*KEY)
-             .agg(F.sort_array(F.collect_set(F.struct("span.start", "span.end"))).alias("at")))
-    spans = F.transform(F.coalesce("at", F.array().cast("array<struct<start:int,end:int>>")),
+             .agg(F.sort_array(F.collect_set(F.struct("span.start", "span.end"))).alias("__at")))
+    spans = F.transform(F.coalesce("__at", F.array().cast("array<struct<start:int,end:int>>")),
                         lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return found.drop("mentions", "terms").join(terms, KEY, "left").withColumn("terms", spans).drop("at")
+    return found.drop("mentions", "terms").join(terms, KEY, "left").withColumn("terms", spans).drop("__at")
 
 
 def generalise(text: Column, spans: Column) -> Column:
