@@ -23,15 +23,18 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     """Left rows plus ``prefix + payload`` columns (NULL when nothing matches).
 
     ``inclusive``: right time ``<=`` left time (else ``<``).  Among right rows
-    with equal time the largest ``right_tie`` wins.
+    with equal time the largest ``right_tie`` wins.  A NULL key matches
+    nothing, a right row without a time is never known, and a left row without
+    a time knows nothing.
     """
     spark = left.sparkSession
     left_cols = left.columns
     l_side, r_side = (1, 0) if inclusive else (0, 1)
     pay = F.struct(*[F.col(c).alias(prefix + c) for c in payload])
-    L = left.withColumns({"_k": F.col(left_key), "_time": epoch_micros(left_time),
+    placed = F.col(left_key).isNotNull() & F.col(left_time).isNotNull()
+    L = left.where(placed).withColumns({"_k": F.col(left_key), "_time": epoch_micros(left_time),
                           "_side": F.lit(l_side), "_tie": F.lit(None).cast(right.schema[right_tie].dataType)})
-    R = right.select(F.col(right_key).alias("_k"), epoch_micros(right_time).alias("_time"),
+    R = right.where(F.col(right_key).isNotNull() & F.col(right_time).isNotNull()).select(F.col(right_key).alias("_k"), epoch_micros(right_time).alias("_time"),
                      F.lit(r_side).alias("_side"), F.col(right_tie).alias("_tie"), pay.alias("_pay"))
     stream = L.unionByName(R, allowMissingColumns=True)
     order = EventOrder("_k", "_time", "_tie")
@@ -50,6 +53,8 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
                                        F.when(has, F.struct("_time", "_tie"))).alias("_lp")))
         before = Window.partitionBy("_k").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         carry = summary.select("_k", CHUNK, F.last("_lp", ignorenulls=True).over(before).alias("_cp"))
-        out = (out.join(F.broadcast(carry), ["_k", CHUNK], "left")
+        out = (out.join(carry, ["_k", CHUNK], "left")
                   .withColumn("_m", F.coalesce("_m", "_cp")))
-    return out.select(*left_cols, *[F.col(f"_m.{prefix}{c}").alias(prefix + c) for c in payload])
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(prefix + c) for c in payload]
+    return out.select(*left_cols, *[F.col(f"_m.{prefix}{c}").alias(prefix + c) for c in payload]).unionByName(
+        left.where(~placed).select(*left_cols, *nothing))

@@ -8,13 +8,14 @@ table (one row per hot chunk) supplies the state of all earlier chunks.
 
 * hot keys are those with more than ``hot_key_rows`` rows (one aggregate over
   the key and time columns, partial aggregation on the map side);
-* the hot-key list has at most ``rows / hot_key_rows`` entries, so its size is
-  bounded by construction before it is broadcast;
-* a hot key's span is cut into equal-width time chunks sized so that a chunk
-  holds about ``hot_key_rows`` rows; rows with the same timestamp always land
-  in the same chunk, so ties keep their order.
-
-Non-hot keys keep ``_chunk = 0`` and no carry is needed for them.
+* the hot-key table has at most ``rows / hot_key_rows`` rows; it stays a table
+  and Spark chooses how to join it;
+* a hot key's rows are cut at quantiles of their time, so that a chunk holds
+  about ``hot_key_rows`` rows however bursty they come; rows with the same
+  timestamp always land in the same chunk, so ties keep their order.
+
+A NULL key is a key like any other and is split like any other.  Non-hot keys
+keep ``_chunk = 0`` and no carry is needed for them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions.scalar import epoch_micros
 
@@ -48,38 +48,42 @@ def hot_key_rows(spark: SparkSession, override: int | None = None) -> int:
     return int(spark.conf.get(HOT_KEY_CONF, str(DEFAULT_HOT_KEY_ROWS)))
 
 
-def max_key_rows(df: DataFrame, key: str) -> int:
-    """Rows of the largest key (one partial aggregate; one number returns)."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
-    return int(r["m"] or 0)
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; right keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"__{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"__{k}" for k in keys])
 
 
 def hot_key_chunks(df: DataFrame, order: EventOrder, threshold: int,
                    time_us: Column | None = None) -> DataFrame | None:
-    """Small table ``(key, _t0, _width)`` for hot keys, or None if there are none.
+    """Table ``(key, _bounds)`` of the hot keys, or None if there are none.
 
-    The collected list is bounded by ``rows / threshold`` entries.
+    ``_bounds``: ascending times (microseconds) at which a chunk begins; the
+    key's rows are counted first, then only hot rows are summarised.
     """
     ts_us = epoch_micros(order.ts) if time_us is None else time_us
-    stats = (df.groupBy(order.key)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(ts_us).alias("_t0"),
-                    F.max(ts_us).alias("_t1"))
-               .where(F.col("_n") > F.lit(threshold)))
-    rows = stats.collect()
-    if not rows:
+    sizes = df.groupBy(order.key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(threshold))
+    largest = sizes.agg(F.max("_n")).first()[0]
+    if largest is None:
         return None
-    spark = df.sparkSession
-    key_type = df.schema[order.key].dataType
-    out = []
-    for r in rows:
-        n_chunks = max(1, -(-int(r["_n"]) // threshold))
-        span = int(r["_t1"]) - int(r["_t0"]) + 1
-        width = max(1, -(-span // n_chunks))
-        out.append((r[order.key], int(r["_t0"]), width))
-    schema = T.StructType([T.StructField(order.key, key_type),
-                           T.StructField("_t0", T.LongType()),
-                           T.StructField("_width", T.LongType())])
-    return spark.createDataFrame(out, schema)
+    rows = join_null_safe(df.select(order.key, ts_us.alias("_t")), sizes, [order.key], "inner")
+    # the chunks of the largest key bound the quantiles of every key
+    parts = -(-int(largest) // threshold)
+    probs = [i / parts for i in range(1, parts)]
+    cuts = rows.groupBy(order.key).agg(F.percentile_approx("_t", probs, max(10_000, 20 * parts)).alias("_q"),
+                                       F.max("_n").alias("_n"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(largest) / F.col("_n"))).cast("int")
+    kept = F.filter("_q", lambda x, i: (i + 1) % step == 0)
+    return cuts.select(order.key, F.array_distinct(kept).alias("_bounds"))
+
+
+def chunk_of(t: Column) -> Column:
+    """Chunk of a time: the number of ``_bounds`` at or before it."""
+    return F.coalesce(F.size(F.filter("_bounds", lambda b: b <= t)), F.lit(0)).cast("long")
 
 
 def with_chunks(df: DataFrame, order: EventOrder, hot: DataFrame | None,
@@ -92,8 +96,6 @@ def with_chunks(df: DataFrame, order: EventOrder, hot: DataFrame | None,
     if hot is None:
         return df.withColumns({CHUNK: F.lit(0).cast("long"), HOT: F.lit(False)})
     t = epoch_micros(order.ts) if time_us is None else time_us
-    joined = df.join(F.broadcast(hot), order.key, "left")
-    chunk = F.when(F.col("_t0").isNull(), F.lit(0)).otherwise(
-        F.greatest(F.lit(0), F.floor((t - F.col("_t0")) / F.col("_width"))))
-    return (joined.withColumns({CHUNK: chunk.cast("long"), HOT: F.col("_t0").isNotNull()})
-                  .drop("_t0", "_width"))
+    joined = join_null_safe(df, hot, [order.key])
+    chunk = F.when(F.col("_bounds").isNull() | t.isNull(), F.lit(0)).otherwise(chunk_of(t))
+    return joined.withColumns({CHUNK: chunk.cast("long"), HOT: F.col("_bounds").isNotNull()}).drop("_bounds")

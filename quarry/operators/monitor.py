@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.operators.metrics import attach_row, evaluate_binary
 
@@ -36,23 +35,30 @@ def performance_by_version(joined: DataFrame, truth: str, score: str, version_co
 
 
 def feature_profile(df: DataFrame, columns) -> DataFrame:
-    """(column_name, n_rows, null_rate, min, max, mean, n_distinct) — one
-    aggregate pass for all columns, then unpivot."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__nn"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.avg(x).alias(f"{c}__mean"), F.count_distinct(x).alias(f"{c}__nd")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nn").alias("nn"),
-                     F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
-                     F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__nd").alias("n_distinct"))
-            for c in columns]
-    long = wide.select("_n", F.explode(F.array(*rows)).alias("r"))
-    return long.select("r.column_name", F.col("_n").alias("n_rows"),
-                       F.try_divide(F.col("_n") - F.col("r.nn"), F.col("_n")).alias("null_rate"),
-                       F.col("r.min").alias("min_value"), F.col("r.max").alias("max_value"),
-                       F.col("r.mean").alias("mean_value"), F.col("r.n_distinct").alias("n_distinct"))
+    """(column_name, n_rows, null_rate, min, max, mean, n_distinct) for columns
+    of any atomic type.
+
+    Cells are unpivoted and counted per (column, value), so distinct counts
+    need no copy of the rows per column.  Minimum, maximum and mean are those
+    of the numbers (booleans 0 / 1, timestamps as epoch seconds) and NULL for
+    text; distinct values are compared in their own type."""
+    types = dict(df.dtypes)
+
+    def number(c: str):
+        t = types[c]
+        if t.startswith(("timestamp", "date")):
+            return F.unix_seconds(F.col(c).cast("timestamp")).cast("double")
+        return F.lit(None).cast("double") if t in ("string", "binary") else F.col(c).cast("double")
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"), number(c).alias("x")) for c in columns])
+    counts = df.select(F.explode(cells).alias("_e")).select("_e.*").groupBy("column_name", "v").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("x"))
+    there = F.col("v").isNotNull()
+    return counts.groupBy("column_name").agg(
+        F.sum("n").alias("n_rows"), F.try_divide(F.sum(F.when(there, 0).otherwise(F.col("n"))), F.sum("n")).alias("null_rate"),
+        F.min("x").alias("min_value"), F.max("x").alias("max_value"),
+        F.try_divide(F.sum(F.col("x") * F.col("n")), F.sum(F.when(F.col("x").isNotNull(), F.col("n")))).alias("mean_value"),
+        F.count(F.when(there, 1)).alias("n_distinct"))
 
 
 def psi(df: DataFrame, value: str, period_col: str, baseline: str, current: str,
@@ -108,6 +114,3 @@ def feature_lookup(requests: DataFrame, latest: DataFrame, key: str) -> DataFram
     """Request keys ⋈ latest feature row per key (left join: unknown keys
     keep NULL features).  Neither side is assumed small."""
     return requests.join(latest, key, "left")
-
-
-EMPTY_COUNT_SCHEMA = T.StructType([T.StructField("n_new_labels", T.LongType())])

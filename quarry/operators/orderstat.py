@@ -42,7 +42,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.keyed import CHUNK, HOT, EventOrder, hot_key_chunks, hot_key_rows, with_chunks
+from quarry.operators.keyed import CHUNK, HOT, EventOrder, hot_key_chunks, hot_key_rows, join_null_safe, with_chunks
 from quarry.session import cut_lineage
 
 DIGIT_CHOICES = (4, 5, 6)
@@ -96,20 +96,14 @@ def digit_plan(n_vals: int) -> tuple[int, int]:
 
 def prior_quantile(df: DataFrame, order: EventOrder, value: str, q: float, *,
                    hot_threshold: int | None = None,
-                   values_per_bucket: int = VALUES_PER_BUCKET,
-                   max_rows: int | None = None) -> DataFrame:
+                   values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
     """``(key, ts, tie, _pq)``: the q-quantile (linear interpolation, as
     ``percentile``) of the key's non-null values strictly before each row in
-    ``(ts, tie)`` order; rows without earlier values are absent.
-
-    ``max_rows``: the largest key's row count when the caller has it; at or
-    below the hot-key threshold the hot-key scan is skipped."""
+    ``(ts, tie)`` order; rows without earlier values are absent."""
     if not 0.0 <= q <= 1.0:
         raise ValueError(f"quantile must be in [0, 1], got {q}")
     spark = df.sparkSession
-    threshold = hot_key_rows(spark, hot_threshold)
-    no_hot = max_rows is not None and max_rows <= threshold
-    hot = None if no_hot else hot_key_chunks(df, order, threshold)
+    hot = hot_key_chunks(df, order, hot_key_rows(spark, hot_threshold))
     rho_tab, n_vals = dense_value_rank(df, value, values_per_bucket)
     bits, levels = digit_plan(n_vals)
     fan = 1 << bits
@@ -208,7 +202,7 @@ def _add_carry(res: DataFrame, data: DataFrame, qs: DataFrame, order: EventOrder
         *[f"sum(_c{d}) {over} as _k{d}" for d in range(fan)],
         *([f"max(_x{d}) {over} as _y{d}" for d in range(fan)] if last else []),
     ).where(F.col("_kind") == 0).drop("_kind")
-    out = res.join(carry, [k, CHUNK, "_pre"], "left")
+    out = join_null_safe(res, carry, [k, CHUNK, "_pre"])
     upd = [f"_c{d} + coalesce(_k{d}, 0) as _c{d}" for d in range(fan)]
     if last:
         upd += [f"coalesce(_x{d}, _y{d}) as _x{d}" for d in range(fan)]

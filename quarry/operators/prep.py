@@ -1,75 +1,96 @@
 """Imputation and encoding statistics (A3–A5, M2–M4).
 
-``exact_quantiles`` finds order statistics without gathering a column in one
-task: each round is a partial-aggregated histogram of the current value range
-(counts, min, max per bucket; at most ``buckets`` rows come back), the bucket
-holding the wanted rank becomes the next range, and once the range holds at
-most ``final_rows`` rows they are ranked in one small window.  Equal values
-end the search at once (a bucket whose min equals its max).
+Order statistics of all columns are found together, without gathering a column
+in one task.  Each round is one partial-aggregated histogram (counts, min, max
+per bucket; at most ``BUCKETS`` rows come back for each rank wanted) over the
+current value range of every rank; the bucket that holds a rank is its next
+range, until the range is one value.  The first round's buckets are
+logarithmic and the later ones linear, so a double is settled in a few rounds
+whatever the spread.  NULL and NaN have no rank; infinities have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NULL_CATEGORY = "__null__"
-
-
-def _kth_values(df: DataFrame, col: str, ranks: list[int], buckets: int = 4096,
-                final_rows: int = 200_000) -> dict[int, float]:
-    """0-based order statistics of the non-null values of ``col``."""
-    x = F.col(col).cast("double")
-    vals = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    out: dict[int, float] = {}
-    for r in sorted(set(ranks)):
-        lo, hi = vals.agg(F.min("_x"), F.max("_x")).first()
-        below = 0  # rows strictly below lo
-        while True:
-            if lo == hi:
-                out[r] = lo
-                break
-            rng = vals.where((F.col("_x") >= lo) & (F.col("_x") <= hi))
-            width = (hi - lo) / buckets
-            b = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
-            hist = (rng.groupBy(b.alias("_b"))
-                       .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
-                       .orderBy("_b").collect())
-            total = sum(h["c"] for h in hist)
-            if total <= final_rows or len(hist) == 1 and hist[0]["mn"] == lo and hist[0]["mx"] == hi:
-                w = Window.orderBy("_x")
-                row = (rng.withColumn("_rk", F.row_number().over(w))
-                          .where(F.col("_rk") == F.lit(r - below + 1)).select("_x").first())
-                out[r] = row["_x"]
-                break
-            cum = below
-            for h in hist:
-                if cum + h["c"] > r:
-                    lo, hi = h["mn"], h["mx"]
-                    below = cum
+BUCKETS = 4096
+
+
+def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``c, x``: the non-null, non-NaN values of the columns, one row each."""
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in columns])
+    return df.select(F.explode(cells).alias("_e")).select("_e.c", "_e.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def _spread(x: Column) -> Column:
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
+def column_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, dict[float, float | None]]:
+    """Linear-interpolation quantiles (``quantile_cont`` / ``percentile``) of every column."""
+    inf = float("inf")
+    values = _long(df, list(columns))
+    finite = F.when(F.abs("x") != F.lit(inf), F.col("x"))
+    sizes = {r["c"]: r for r in values.groupBy("c").agg(
+        F.count("x").alias("n"), F.count_if(F.col("x") == -inf).alias("low"), F.count_if(F.col("x") == inf).alias("high"),
+        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()}
+    found: dict[tuple[str, int], float] = {}
+    open_: dict[tuple[str, int], list] = {}
+    places: dict[str, dict[float, tuple[int, int, float]]] = {}
+    for c, r in sizes.items():
+        places[c] = {}
+        for p in probs:
+            h = (r["n"] - 1) * p
+            a = int(h // 1)
+            b = min(a + 1, r["n"] - 1)
+            places[c][p] = (a, b, h - a)
+            for k in (a, b):
+                if k < r["low"]:
+                    found[c, k] = -inf
+                elif k >= r["n"] - r["high"]:
+                    found[c, k] = inf
+                elif r["lo"] == r["hi"]:
+                    found[c, k] = r["lo"]
+                else:
+                    open_[c, k] = [r["lo"], r["hi"], r["low"]]  # range, and rows below it
+    first = True
+    while open_:
+        rows = [(c, k, lo, hi) for (c, k), (lo, hi, _) in open_.items()]
+        # two ranks for each column and probability
+        targets = F.broadcast(df.sparkSession.createDataFrame(rows, "c string, k long, lo double, hi double"))
+        g = _spread if first else (lambda x: x / 2)  # halves: a difference of doubles must not overflow
+        x, lo, hi = g(F.col("x")), g(F.col("lo")), g(F.col("hi"))
+        share = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(0.0)
+        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
+        hist: dict[tuple[str, int], list] = {}
+        for r in (values.join(targets, "c").where(F.col("x").between(F.col("lo"), F.col("hi")))
+                  .groupBy("c", "k", bucket.alias("b")).agg(F.count("x").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+                  .orderBy("c", "k", "b").collect()):
+            hist.setdefault((r["c"], r["k"]), []).append(r)
+        for at, buckets in hist.items():
+            below = open_[at][2]
+            for r in buckets:
+                if below + r["n"] > at[1]:
                     break
-                cum += h["c"]
+                below += r["n"]
+            if r["mn"] == r["mx"]:
+                found[at] = r["mn"]
+                del open_[at]
+            else:
+                open_[at] = [r["mn"], r["mx"], below]
+        first = False
+    out: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in columns}
+    for c, by_p in places.items():
+        for p, (a, b, part) in by_p.items():
+            u, v = found[c, a], found[c, b]
+            out[c][p] = u if part == 0 or u == v else u + (v - u) * part
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], **kw) -> dict[float, float | None]:
-    """Linear-interpolation quantiles (``quantile_cont`` / ``percentile``)."""
-    n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
-        return {p: None for p in probs}
-    wanted, pos = [], {}
-    for p in probs:
-        h = (n - 1) * p
-        lo = int(h // 1)
-        hi = min(lo + 1, n - 1)
-        pos[p] = (lo, hi, h - lo)
-        wanted += [lo, hi]
-    kth = _kth_values(df, col, wanted, **kw)
-    res = {}
-    for p, (lo, hi, frac) in pos.items():
-        a, b = kth[lo], kth[hi]
-        res[p] = a if frac == 0 else a + (b - a) * frac
-    return res
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> dict[float, float | None]:
+    return column_quantiles(df, [col], probs)[col]
 
 
 def fit_medians(df: DataFrame, columns, method: str = "exact", relative_error: float = 1e-4) -> dict:
@@ -79,7 +100,7 @@ def fit_medians(df: DataFrame, columns, method: str = "exact", relative_error: f
         acc = int(1 / relative_error)
         row = df.agg(*[F.percentile_approx(c, 0.5, acc).alias(c) for c in columns]).first()
         return {c: row[c] for c in columns}
-    return {c: exact_quantiles(df, c, [0.5])[0.5] for c in columns}
+    return {c: q[0.5] for c, q in column_quantiles(df, list(columns), [0.5]).items()}
 
 
 def impute(df: DataFrame, fills: dict) -> DataFrame:
@@ -98,7 +119,14 @@ def mode_table(df: DataFrame, col: str) -> DataFrame:
 
 
 def fit_modes(df: DataFrame, columns) -> dict:
-    return {c: mode_table(df, c).first()["mode"] for c in columns}
+    """Mode of every column, in one job: all columns' values are counted together."""
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    counts = (df.select(F.explode(cells).alias("_e")).select("_e.c", "_e.v").where(F.col("v").isNotNull())
+              .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    # strings compare as text, so ties of other types are settled in their own type
+    typed = [F.when(F.col("c") == c, F.col("v")).cast(df.schema[c].dataType).alias(f"t{i}") for i, c in enumerate(columns)]
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), *typed)).alias("m")).collect()
+    return {c: None for c in columns} | {r["c"]: r["m"][1 + list(columns).index(r["c"])] for r in best}
 
 
 def boolean_as_category(col: str):
@@ -107,24 +135,16 @@ def boolean_as_category(col: str):
 
 
 def vocabulary(df: DataFrame, columns) -> DataFrame:
-    """(column_name, value, slot) with slots in ascending value order, one
-    partition per column (categorical domains)."""
-    parts = None
-    for c in columns:
-        d = df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")).where(
-            F.col("value").isNotNull()).distinct()
-        parts = d if parts is None else parts.unionByName(d)
-    w = Window.partitionBy("column_name").orderBy("value")
-    return parts.withColumn("slot", (F.row_number().over(w) - 1).cast("int"))
-
-
-def one_hot_long(df: DataFrame, id_cols, columns, vocab: DataFrame) -> DataFrame:
-    """Non-zero one-hot slots as rows ``(id…, feature, slot)``; values not in
-    the vocabulary (unseen) produce no row — the all-zero encoding."""
-    parts = None
-    for c in columns:
-        p = df.select(*id_cols, F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        parts = p if parts is None else parts.unionByName(p)
-    # vocab is per-column domain sized; the join lets AQE pick broadcast
-    j = parts.join(vocab, ["column_name", "value"])
-    return j.select(*id_cols, F.concat("column_name", F.lit("_"), "value").alias("feature"), "slot")
+    """(column_name, value, slot) with slots in ascending value order.
+
+    Values are ranked within leading-text ranges of their column and the
+    ranges' sizes are added up, so no task holds a column's whole domain."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    domain = (df.select(F.explode(cells).alias("_e")).select("_e.column_name", "_e.value")
+              .where(F.col("value").isNotNull()).distinct().withColumn("_r", F.substring("value", 1, 3)))
+    sizes = domain.groupBy("column_name", "_r").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("column_name").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("column_name", "_r", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_at"))
+    inside = F.row_number().over(Window.partitionBy("column_name", "_r").orderBy("value"))
+    return (domain.withColumn("_i", inside - 1).join(starts, ["column_name", "_r"])
+            .select("column_name", "value", (F.col("_at") + F.col("_i")).cast("int").alias("slot")))

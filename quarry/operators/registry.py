@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.metrics import attach_row
@@ -56,31 +56,19 @@ def version_for_run(model_versions: DataFrame) -> DataFrame:
             .agg(F.max(F.col("version").cast("long")).alias("version")))
 
 
+def promoted(challenger_score: Column, champion_score: Column) -> Column:
+    """The promotion rule: a scored challenger wins against no champion score or a strictly lower one."""
+    return challenger_score.isNotNull() & (champion_score.isNull() | F.coalesce(challenger_score > champion_score, F.lit(False)))
+
+
 def compare_scores(metrics: DataFrame, metric_name: str = PRIMARY_METRIC) -> DataFrame:
     """From a frame with ``role`` in (challenger, champion) and metric columns
     computed over the same rows, one decision row."""
     ch = metrics.where(F.col("role") == CHALLENGER).select(F.col(metric_name).alias("challenger_score"))
     cp = metrics.where(F.col("role") == CHAMPION).select(F.col(metric_name).alias("champion_score"))
     both = attach_row(ch, cp.agg(F.max("champion_score").alias("champion_score")))
-    promoted = (F.col("challenger_score").isNotNull()
-                & (F.col("champion_score").isNull() | (F.col("challenger_score") > F.col("champion_score"))))
     return both.select(F.lit(metric_name).alias("metric_name"), "challenger_score", "champion_score",
-                       F.coalesce(promoted, F.lit(False)).alias("promoted"))
-
-
-def promotion_decision(alias_events: DataFrame, model_name: str, challenger_version: str,
-                       challenger_score, champion_score, metric_name: str = PRIMARY_METRIC) -> DataFrame:
-    """Decision row with the previous champion read from the alias table."""
-    prev = (current_aliases(alias_events)
-            .where((F.col("model_name") == model_name) & (F.col("alias") == CHAMPION))
-            .agg(F.max("version").alias("champion_version")))
-    cs = F.lit(challenger_score).cast("double")
-    ps = F.lit(champion_score).cast("double")
-    promoted = cs.isNotNull() & (ps.isNull() | (cs > ps))
-    return prev.select(F.lit(model_name).alias("model_name"), F.lit(metric_name).alias("metric_name"),
-                       F.lit(str(challenger_version)).alias("challenger_version"),
-                       cs.alias("challenger_score"), "champion_version", ps.alias("champion_score"),
-                       F.coalesce(promoted, F.lit(False)).alias("promoted"))
+                       promoted(F.col("challenger_score"), F.col("champion_score")).alias("promoted"))
 
 
 def promotion_gate(challenger: DataFrame, champion: DataFrame, min_accuracy_gain: float = 0.002,
@@ -165,16 +153,17 @@ class Registry:
         """Always set ``challenger``; set ``champion`` iff promoted."""
         previous = self.alias_version(model_name, CHAMPION)
         self.set_alias(model_name, CHALLENGER, challenger_version)
-        promoted = challenger_score is not None and (champion_score is None or challenger_score > champion_score)
-        if promoted:
+        scores = [F.lit(x).cast("double") for x in (challenger_score, champion_score)]
+        wins = bool(self.spark.range(1).select(promoted(*scores)).first()[0])
+        if wins:
             self.set_alias(model_name, CHAMPION, challenger_version)
         rec = {"model_name": model_name, "metric_name": metric_name,
                "challenger_version": str(challenger_version), "challenger_score": challenger_score,
-               "champion_version": previous, "champion_score": champion_score, "promoted": promoted}
+               "champion_version": previous, "champion_score": champion_score, "promoted": wins}
         self.append("promotion_log", [(model_name, metric_name, str(challenger_version),
                                        None if challenger_score is None else float(challenger_score),
                                        previous, None if champion_score is None else float(champion_score),
-                                       promoted, self._now())])
+                                       wins, self._now())])
         return rec
 
     def log_run(self, run_id: str, kind: str, items: dict) -> None:

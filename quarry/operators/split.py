@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.digest import hash_prefix_60
+from quarry.session import cut_lineage
 from quarry.spec import check_split_fractions
 
 SPLIT = "split"
@@ -77,27 +78,16 @@ def _select_cuts(keys: DataFrame, target: str, quotas: DataFrame, qcols: list[st
     return found.groupBy(target).pivot("cut", qcols).agg(F.first("_at"))
 
 
-# Largest class that may be ranked in a single task (rows); above it the cut
-# rows are found through hash histograms.
-SMALL_CLASS_ROWS = 5_000_000
-
-
-def _ranked_cuts(keys: DataFrame, target: str, quotas: DataFrame, qcols: list[str]) -> DataFrame:
-    """Cut rows by ranking each class directly (only for checked-small classes)."""
-    w = Window.partitionBy(target).orderBy("_h", "_id")
-    ranked = keys.withColumn("_rk", F.row_number().over(w)).join(F.broadcast(quotas), target)
-    aggs = [F.max_by(F.when(F.col("_rk") == F.col(c), F.struct("_h", "_id")),
-                     F.when(F.col("_rk") == F.col(c), F.col("_rk"))).alias(c) for c in qcols]
-    return ranked.groupBy(target).agg(*aggs)
-
-
 def stratified_split(df: DataFrame, id_col: str, target: str, validation_fraction: float,
-                     test_fraction: float, seed: int = 42, small_class_rows: int = SMALL_CLASS_ROWS) -> DataFrame:
-    """Exact stratified split; adds ``split`` (train / validation / test)."""
+                     test_fraction: float, seed: int = 42) -> DataFrame:
+    """Exact stratified split; adds ``split`` (train / validation / test).
+
+    The unit is the id: quotas count a class's distinct ids, and rows that
+    repeat an id within a class go to the same part."""
     check_split_fractions(validation_fraction, test_fraction)
     train_f = 1.0 - validation_fraction - test_fraction
     hashed = df.withColumns({"_h": _hash60(id_col, seed), "_id": F.col(id_col)})
-    keys = hashed.select(target, "_h", "_id")
+    keys = cut_lineage(hashed.select(target, "_h", "_id").distinct(), "split-keys")  # read four times below
     hist1 = _hist1(keys, target)
     # class sizes from the level-1 histogram: no separate counting pass
     counts = hist1.groupBy(target).agg(F.sum("_c").alias("_n"))
@@ -105,13 +95,7 @@ def stratified_split(df: DataFrame, id_col: str, target: str, validation_fractio
         target, "_n",
         F.floor(F.col("_n") * F.lit(train_f) + F.lit(0.5)).alias("_q_train"),
         F.floor(F.col("_n") * F.lit(1.0 - test_fraction) + F.lit(0.5)).alias("_q_val"))
-    # one row per class comes back to the driver (bounded by the class count)
-    sizes = [r["_n"] for r in quotas.select("_n").collect()]
-    quotas = quotas.drop("_n")
-    if sizes and max(sizes) <= small_class_rows:
-        cuts = _ranked_cuts(keys, target, quotas, ["_q_train", "_q_val"])
-    else:
-        cuts = _select_cuts(keys, target, quotas, ["_q_train", "_q_val"], hist1)
+    cuts = _select_cuts(keys, target, quotas.drop("_n"), ["_q_train", "_q_val"], hist1)
     me = F.struct("_h", "_id")
     split = (F.when(F.col("_q_train").isNotNull() & (me <= F.col("_q_train")), F.lit("train"))
               .when(F.col("_q_val").isNotNull() & (me <= F.col("_q_val")), F.lit("validation"))

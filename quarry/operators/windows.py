@@ -21,8 +21,7 @@ and ``-1`` (expiries strictly before ``ts``), an O(n log n) single window that
 is also additive across chunks.
 
 ``prior_quantile_flag`` compares each value with the exact quantile of the
-key's earlier values: a growing-frame ``percentile`` when every key is small,
-else radix descent over value ranks (``orderstat``).
+key's earlier values by radix descent over value ranks (``orderstat``).
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import epoch_micros
-from quarry.operators.keyed import (CHUNK, HOT, EventOrder, hot_key_chunks, hot_key_rows, max_key_rows,
+from quarry.operators.keyed import (CHUNK, HOT, EventOrder, chunk_of, hot_key_chunks, hot_key_rows, join_null_safe,
                                     with_chunks)
 from quarry.operators.orderstat import prior_quantile
 
@@ -43,7 +42,7 @@ KM_PER_DEGREE = 111.0
 
 
 def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
-                      k_col: str | None = None, max_k: int = 12,
+                      k_col: str | None = None,
                       lat: str | None = None, lon: str | None = None,
                       hot_threshold: int | None = None, prefix: str = "") -> DataFrame:
     """Add expanding / lag / last-k features; returns input columns + features.
@@ -51,7 +50,8 @@ def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
     Output columns (``prefix`` prepended): ``exp_count``, ``exp_mean``,
     ``exp_std``, ``exp_max``, ``value_ratio``, ``above_2x_mean``,
     ``prior_count``, ``minutes_since_prev``; ``last_k_sum`` when ``k_col``;
-    ``dist_prev_km`` when ``lat``/``lon``.
+    ``dist_prev_km`` when ``lat``/``lon``.  ``last_k_sum`` adds the non-null
+    values among the last ``k`` rows, whatever the largest ``k`` is.
     """
     spark = df.sparkSession
     threshold = hot_key_rows(spark, hot_threshold)
@@ -73,10 +73,11 @@ def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
     if lat and lon:
         local["_prev_lat"] = F.lag(lat, 1).over(w)
         local["_prev_lon"] = F.lag(lon, 1).over(w)
-    tail_len = max_k - 1
+    tail_len = 0
     if k_col:
-        for i in range(1, max_k):
-            local[f"_lag{i}"] = F.lag(value, i).over(w)
+        # the frame follows the largest k of the data
+        tail_len = max(1, int(df.agg(F.max(k_col)).first()[0] or 1))
+        local["_tail"] = F.collect_list(F.struct(v.alias("v"))).over(w.rowsBetween(1 - tail_len, 0))
     loc = base.withColumns(local)
 
     carry = hot is not None
@@ -88,11 +89,10 @@ def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
         n_b = F.col("_cn")
         n_l = F.col("_n")
         n_tot = F.coalesce(n_b, F.lit(0)) + n_l
-        sum_l = F.coalesce(F.col("_mean") * n_l, F.lit(0.0))
         m2_l = F.coalesce(F.col("_var") * n_l, F.lit(0.0))
-        mean = F.when(n_b.isNull(), F.col("_mean")).otherwise(
-            F.try_divide(F.coalesce(F.col("_cs"), F.lit(0.0)) + sum_l, n_tot))
-        delta = F.coalesce(F.col("_mean") - F.try_divide(F.col("_cs"), n_b), F.lit(0.0))
+        mean = F.when(F.col("_cmean").isNull(), F.col("_mean")).when(F.col("_mean").isNull(), F.col("_cmean")).otherwise(
+            F.col("_cmean") + (F.col("_mean") - F.col("_cmean")) * F.try_divide(n_l, n_tot))
+        delta = F.coalesce(F.col("_mean") - F.col("_cmean"), F.lit(0.0))
         m2 = (F.coalesce(F.col("_cm2"), F.lit(0.0)) + m2_l
               + F.coalesce(F.try_divide(delta * delta * n_b * n_l, n_tot), F.lit(0.0)))
         std = F.when(n_b.isNull(), F.sqrt(F.col("_var"))).when(
@@ -132,16 +132,11 @@ def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
         out = out.withColumn(f"{p}dist_prev_km",
                              F.sqrt(dlat * dlat + dlon * dlon) * F.lit(KM_PER_DEGREE))
     if k_col:
-        k = F.col(k_col)
-        total = v
-        for i in range(1, max_k):
-            vi = F.col(f"_lag{i}")
-            if carry:
-                # lag i reaches before the chunk start: continue in the carried tail
-                from_tail = F.try_element_at(F.col("_ctail"),
-                                             (F.col("_rows") - F.lit(i) - 1).cast("int"))
-                vi = F.when(F.lit(i) < F.col("_rows"), vi).otherwise(from_tail)
-            total = total + F.coalesce(F.when(F.lit(i) < k, vi), F.lit(0.0))
+        tail = F.col("_tail")
+        if carry:  # the last rows of the chunk, after those of earlier chunks
+            tail = F.concat(F.coalesce("_ctail", F.array().cast("array<struct<v:double>>")), tail)
+        k = F.least(F.greatest(F.col(k_col).cast("int"), F.lit(1)), F.size(tail))
+        total = F.aggregate(F.slice(tail, -k, k), F.lit(0.0), lambda acc, x: acc + F.coalesce(x["v"].cast("double"), F.lit(0.0)))
         out = out.withColumn(f"{p}last_k_sum", total)
     keep = in_cols + [c for c in out.columns if c.startswith(p) and c not in in_cols
                       and not c.startswith("_")]
@@ -159,12 +154,7 @@ def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col
     if lat and lon:
         last_struct["_lat"] = F.col(lat)
         last_struct["_lon"] = F.col(lon)
-    if k_col:
-        lags = [F.col(f"_lag{i}") for i in range(tail_len - 1, 0, -1)] + [F.col(value)]
-        n_tail = F.least(F.col("_rows"), F.lit(tail_len))
-        tail = F.slice(F.array(*lags), (F.lit(tail_len) - n_tail + 1).cast("int"), n_tail.cast("int"))
-    else:
-        tail = F.lit(None).cast("array<double>")
+    tail = F.transform("_tail", lambda x: F.struct(x["v"].cast("double").alias("v"))) if k_col else F.lit(None).cast("array<struct<v:double>>")
     summary_row = F.struct(
         F.col("_n").alias("n"), F.col("_rows").alias("rows"), F.col("_mean").alias("mean"),
         (F.col("_var") * F.col("_n")).alias("m2"), F.col("_max").alias("mx"),
@@ -176,24 +166,23 @@ def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col
                   .select(order.key, CHUNK, "s.*"))
     pw = Window.partitionBy(order.key).orderBy(CHUNK)
     before = pw.rowsBetween(UNB, -1)
-    carry = summary.select(
-        order.key, CHUNK,
+    # sums are taken around a mean of the key, so that their squares do not cancel
+    near = F.first("mean", ignorenulls=True).over(pw.rowsBetween(UNB, Window.unboundedFollowing))
+    centred = summary.withColumn("_at", near).withColumn("_d", F.col("mean") - F.col("_at"))
+    carry = centred.select(
+        order.key, CHUNK, "_at",
         F.sum("n").over(before).alias("_cn"),
         F.sum("rows").over(before).alias("_crows"),
-        F.sum(F.coalesce(F.col("n") * F.col("mean"), F.lit(0.0))).over(before).alias("_cs"),
-        F.sum(F.coalesce(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean"), F.lit(0.0))).over(before).alias("_cq"),
+        F.sum(F.coalesce(F.col("n") * F.col("_d"), F.lit(0.0))).over(before).alias("_cs"),
+        F.sum(F.coalesce(F.col("m2") + F.col("n") * F.col("_d") * F.col("_d"), F.lit(0.0))).over(before).alias("_cq"),
         F.max("mx").over(before).alias("_cmax"),
         F.lag("last", 1).over(pw).alias("_cprev"),
-        F.flatten(F.collect_list("tail").over(pw.rowsBetween(-tail_len, -1))).alias("_tails"),
+        F.flatten(F.collect_list("tail").over(pw.rowsBetween(-max(1, tail_len), -1))).alias("_ctail"),
     )
-    carry = carry.select(
-        order.key, CHUNK, "_cn", "_crows", "_cs",
-        (F.col("_cq") - F.try_divide(F.col("_cs") * F.col("_cs"), F.col("_cn"))).alias("_cm2"),
-        "_cmax", "_cprev",
-        F.when(F.size("_tails") > tail_len,
-               F.slice("_tails", (F.size("_tails") - tail_len + 1).cast("int"), tail_len))
-         .otherwise(F.col("_tails")).alias("_ctail"))
-    return loc.join(F.broadcast(carry), [order.key, CHUNK], "left")
+    shift = F.try_divide(F.col("_cs"), F.col("_cn"))
+    carry = carry.select(order.key, CHUNK, "_cn", "_crows", (F.col("_at") + shift).alias("_cmean"),
+                         F.greatest(F.col("_cq") - F.col("_cs") * shift, F.lit(0.0)).alias("_cm2"), "_cmax", "_cprev", "_ctail")
+    return join_null_safe(loc, carry, [order.key, CHUNK])
 
 
 def interval_counts(df: DataFrame, order: EventOrder, widths: dict[str, int], *,
@@ -213,8 +202,10 @@ def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: d
     Ordering by ``(time, kind)`` with a RANGE running sum includes ties on
     ``ts`` and removes only expiries strictly before ``ts``.  Running sums
     restart in every hot-key chunk and the carry of earlier chunks is the
-    frame content at the chunk start, so magnitudes stay near the frame's.
-    NULL values are not counted (as SQL aggregates skip them).
+    frame content at the chunk start.  Values are taken around the mean of
+    their key and chunk, so that squares do not cancel; NaN and infinities are
+    counted apart and leave a frame when they expire.  NULL values are not
+    counted (as SQL aggregates skip them).
     """
     spark = df.sparkSession
     threshold = hot_key_rows(spark, hot_threshold)
@@ -239,12 +230,20 @@ def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: d
         return F.when(F.col("_kind") == 0, F.lit(1)).when(F.col("_w") == j, F.lit(-1)).otherwise(F.lit(0))
 
     contrib = {}
+    if value:
+        odd = F.isnan("_v") | (F.abs("_v") == F.lit(float("inf")))
+        finite = F.when(~odd, F.col("_v"))
+        centre = F.avg(F.when(F.col("_kind") == 0, finite)).over(Window.partitionBy(order.key, CHUNK))
+        stream = stream.withColumn("_ce", F.coalesce(centre, F.lit(0.0)))
+        away = finite - F.col("_ce")
     for j in range(len(wlist)):
         if value:
             present = F.col("_v").isNotNull()
             contrib[f"_c{j}"] = F.when(present, sign(j)).otherwise(F.lit(0)).cast("long")
-            contrib[f"_s{j}"] = F.coalesce(sign(j) * F.col("_v"), F.lit(0.0))
-            contrib[f"_q{j}"] = F.coalesce(sign(j) * F.col("_v") * F.col("_v"), F.lit(0.0))
+            contrib[f"_s{j}"] = F.coalesce(sign(j) * away, F.lit(0.0))
+            contrib[f"_q{j}"] = F.coalesce(sign(j) * away * away, F.lit(0.0))
+            for name, is_it in (("na", F.isnan("_v")), ("up", F.col("_v") == F.lit(float("inf"))), ("lo", F.col("_v") == F.lit(float("-inf")))):
+                contrib[f"_c{name}{j}"] = F.when(is_it, sign(j)).otherwise(F.lit(0)).cast("long")
         else:
             contrib[f"_c{j}"] = sign(j).cast("long")
     stream = stream.withColumns(contrib)
@@ -253,10 +252,31 @@ def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: d
     running = stream.withColumns({f"_r{n}": F.sum(n).over(w) for n in names})
     out = running.where(F.col("_kind") == 0)
     if hot is not None:
-        summary = stream.where(F.col(HOT)).groupBy(order.key, CHUNK).agg(*[F.sum(n).alias(f"_t{n}") for n in names])
-        before = Window.partitionBy(order.key).orderBy(CHUNK).rowsBetween(UNB, -1)
-        carry = summary.select(order.key, CHUNK, *[F.sum(f"_t{n}").over(before).alias(f"_k{n}") for n in names])
-        out = out.join(F.broadcast(carry), [order.key, CHUNK], "left")
+        summary = stream.where(F.col(HOT)).groupBy(order.key, CHUNK).agg(
+            *[F.sum(n).alias(f"_t{n}") for n in names], *([F.max("_ce").alias("_ce")] if value else []))
+        pw = Window.partitionBy(order.key).orderBy(CHUNK)
+        before = pw.rowsBetween(UNB, -1)
+        at = F.first("_ce").over(pw.rowsBetween(UNB, Window.unboundedFollowing))
+        if value:  # chunk totals around one mean of the key, then around each chunk's own
+            summary = summary.withColumn("_at", at).withColumn("_d", F.col("_ce") - F.col("_at"))
+        moved = {}
+        for n in names:
+            t = F.col(f"_t{n}")
+            if n[1] in "sq":
+                j = n[2:]
+                m = F.col(f"_t_c{j}") - F.col(f"_t_cna{j}") - F.col(f"_t_cup{j}") - F.col(f"_t_clo{j}")
+                t = t + m * F.col("_d") if n[1] == "s" else t + F.lit(2.0) * F.col("_d") * F.col(f"_t_s{j}") + m * F.col("_d") * F.col("_d")
+            moved[n] = t
+        carry = summary.select(order.key, CHUNK, *(["_d"] if value else []), *[F.sum(t).over(before).alias(f"_k{n}") for n, t in moved.items()])
+        back = []
+        for n in names:
+            t = F.col(f"_k{n}")
+            if n[1] in "sq":
+                j = n[2:]
+                m = F.col(f"_k_c{j}") - F.col(f"_k_cna{j}") - F.col(f"_k_cup{j}") - F.col(f"_k_clo{j}")
+                t = t - m * F.col("_d") if n[1] == "s" else t - F.lit(2.0) * F.col("_d") * F.col(f"_k_s{j}") + m * F.col("_d") * F.col("_d")
+            back.append(t.alias(f"_k{n}"))
+        out = join_null_safe(out, carry.select(order.key, CHUNK, *back), [order.key, CHUNK])
         zero = {n: (F.lit(0) if n.startswith("_c") else F.lit(0.0)) for n in names}
         out = out.withColumns({f"_r{n}": F.col(f"_r{n}") + F.coalesce(F.col(f"_k{n}"), zero[n]) for n in names})
     res = {}
@@ -282,13 +302,18 @@ def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: d
             res[name] = cnt
             continue
         ssum, ssq = F.col(f"_r_s{j}"), F.col(f"_r_q{j}")
+        na, up, lo = (F.col(f"_r_c{x}{j}") for x in ("na", "up", "lo"))
+        m = cnt - na - up - lo
+        nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+        odd = F.when((na > 0) | ((up > 0) & (lo > 0)), nan).when(up > 0, inf).when(lo > 0, -inf)
         if stat == "sum":
-            res[name] = F.when(cnt > 0, ssum)
+            res[name] = F.when(cnt > 0, F.coalesce(odd, ssum + m * F.col("_ce")))
         elif stat == "mean":
-            res[name] = F.when(cnt > 0, ssum / cnt)
+            res[name] = F.when(cnt > 0, F.coalesce(odd, F.try_divide(ssum, m) + F.col("_ce")))
         elif stat == "std":
-            mean = ssum / cnt
-            res[name] = F.when(cnt > 0, F.sqrt(F.greatest(ssq / cnt - mean * mean, F.lit(0.0))))
+            mean = F.try_divide(ssum, m)
+            res[name] = F.when(cnt > 0, F.when(odd.isNotNull(), nan).otherwise(
+                F.sqrt(F.greatest(F.try_divide(ssq, m) - mean * mean, F.lit(0.0)))))
         else:
             raise ValueError(f"unsupported interval stat {stat!r}")
     return out.select(*in_cols, *[res[n].alias(n) for n in specs])
@@ -307,21 +332,21 @@ def _cross_chunk_extremes(out: DataFrame, order: EventOrder, hot: DataFrame,
     running extreme.  Probe results return to their row by (key, ts, tie).
     """
     t_us = F.col("_time")
-    arr = (out.where(F.col(HOT)).join(F.broadcast(hot), order.key)
-              .select(order.key, CHUNK, order.ts, order.tie, "_time", "_v", "_t0", "_width"))
+    arr = (join_null_safe(out.where(F.col(HOT)), hot, [order.key], "inner")
+           .select(order.key, CHUNK, order.ts, order.tie, "_time", "_v", "_bounds"))
     result_cols = {}
     for name, (stat, secs) in extremes.items():
         fn = F.max if stat == "max" else F.min
         w_us = int(secs) * 1_000_000
-        c_lo = F.floor((t_us - F.lit(w_us) - F.col("_t0")) / F.col("_width")).cast("long")
-        rows = arr.withColumn("_clo", c_lo)
-        # (a) whole chunks strictly between c' and c — bounded tables
-        summ = arr.groupBy(order.key, CHUNK).agg(fn("_v").alias("_m"))
+        rows = arr.withColumn("_clo", chunk_of(t_us - F.lit(w_us)))
+        # (a) whole chunks strictly between c' and c: one array of chunk
+        # extremes per hot key, as long as the key has chunks
+        summ = (arr.groupBy(order.key, CHUNK).agg(fn("_v").alias("_m"))
+                .groupBy(order.key).agg(F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_m").alias("m"))).alias("_ms")))
         pairs = rows.where(F.col("_clo") + 1 < F.col(CHUNK)).select(order.key, CHUNK, "_clo").distinct()
-        s2 = summ.select(F.col(order.key).alias("_k2"), F.col(CHUNK).alias("_c2"), "_m")
-        mid = (pairs.join(F.broadcast(s2), (F.col(order.key) == F.col("_k2"))
-                          & (F.col("_c2") > F.col("_clo")) & (F.col("_c2") < F.col(CHUNK)))
-                    .groupBy(order.key, CHUNK, "_clo").agg(fn("_m").alias("_mid")))
+        between = F.transform(F.filter("_ms", lambda x: (x["c"] > F.col("_clo")) & (x["c"] < F.col(CHUNK))), lambda x: x["m"])
+        mid = join_null_safe(pairs, summ, [order.key]).select(
+            order.key, CHUNK, "_clo", (F.array_max if stat == "max" else F.array_min)(between).alias("_mid"))
         # (b) suffix of chunk c' from t - w: probes ordered with that chunk's rows
         probes = rows.where((F.col("_clo") >= 0) & (F.col("_clo") < F.col(CHUNK))).select(
             order.key, F.col("_clo").alias(CHUNK), (t_us - F.lit(w_us)).alias("_time"),
@@ -334,56 +359,34 @@ def _cross_chunk_extremes(out: DataFrame, order: EventOrder, hot: DataFrame,
         suffix = (u.withColumn("_suf", fn("_v").over(wd)).where(F.col("_pk") == 1)
                    .select(order.key, F.col("_ots").alias(order.ts), F.col("_otie").alias(order.tie),
                            F.col("_oc").alias(CHUNK), "_suf"))
-        cross = (rows.select(order.key, CHUNK, order.ts, order.tie, "_clo")
-                     .join(mid, [order.key, CHUNK, "_clo"], "left")
-                     .join(suffix, [order.key, CHUNK, order.ts, order.tie], "left")
+        at = [order.key, CHUNK, order.ts, order.tie]
+        cross = (join_null_safe(join_null_safe(rows.select(*at, "_clo"), mid, [order.key, CHUNK, "_clo"]), suffix, at)
                      .select(order.key, CHUNK, order.ts, order.tie,
                              (F.greatest if stat == "max" else F.least)("_mid", "_suf").alias(f"_y_{name}")))
         result_cols[name] = cross
     merged = None
     for name, cross in result_cols.items():
-        merged = cross if merged is None else merged.join(cross, [order.key, CHUNK, order.ts, order.tie])
-    joined = out.join(merged, [order.key, CHUNK, order.ts, order.tie], "left")
+        merged = cross if merged is None else join_null_safe(merged, cross, [order.key, CHUNK, order.ts, order.tie])
+    joined = join_null_safe(out, merged, [order.key, CHUNK, order.ts, order.tie])
     for name, (stat, _) in extremes.items():
         comb = F.greatest if stat == "max" else F.least
         joined = joined.withColumn(f"_x_{name}", comb(f"_x_{name}", f"_y_{name}"))
     return joined
 
 
-def interval_values(df: DataFrame, order: EventOrder, value: str,
-                    specs: dict[str, tuple[str, int]], *, hot_threshold: int | None = None) -> DataFrame:
-    """Moving RANGE-frame aggregates ``{out_name: (agg, width_seconds)}``,
-    ``agg`` in sum / mean / std (population) / max / min / count, over
-    ``[ts - width, ts]`` with ties included; see ``interval_stats``."""
-    return interval_stats(df, order, value, specs, hot_threshold=hot_threshold)
-
-
-# Largest key (rows) for which W11 uses Spark's growing-frame ``percentile``:
-# that re-sorts each row's history, so its cost per row is bounded by this.
-SMALL_KEY_ROWS = 128
-
-
 def prior_quantile_flag(df: DataFrame, order: EventOrder, value: str, q: float = 0.95,
                         out: str = "above_prior_p95", quantile_col: str | None = "prior_p95", *,
-                        hot_threshold: int | None = None, small_key_rows: int = SMALL_KEY_ROWS) -> DataFrame:
+                        hot_threshold: int | None = None) -> DataFrame:
     """``value`` above the exact q-quantile (linear interpolation) of the key's
     earlier values; False for a key's first event.
 
-    When every key holds at most ``small_key_rows`` rows (checked with one
-    aggregate) the quantile is Spark's ``percentile`` over the growing frame,
-    whose per-row cost is then bounded.  Otherwise it is an order statistic
-    found by radix descent over value ranks (``orderstat``), linear in the
-    history length and hot-key safe.  Both are exact."""
-    largest = max_key_rows(df, order.key)
-    if largest <= small_key_rows:
-        w = Window.partitionBy(order.key).orderBy(order.ts, order.tie).rowsBetween(UNB, -1)
-        res = df.withColumn("_pq", F.percentile(F.col(value), F.lit(q)).over(w))
-    else:
-        pq = prior_quantile(df, order, value, q, hot_threshold=hot_threshold, max_rows=largest).select(
-            F.col(order.key).alias("_jk"), F.col(order.ts).alias("_jts"), F.col(order.tie).alias("_jtie"), "_pq")
-        cond = (df[order.key].eqNullSafe(pq["_jk"]) & (df[order.ts] == pq["_jts"])
-                & (df[order.tie] == pq["_jtie"]))
-        res = df.join(pq, cond, "left").drop("_jk", "_jts", "_jtie")
+    The quantile is an order statistic found by radix descent over value ranks
+    (``orderstat``): linear in the history length, exact and hot-key safe."""
+    pq = prior_quantile(df, order, value, q, hot_threshold=hot_threshold).select(
+        F.col(order.key).alias("_jk"), F.col(order.ts).alias("_jts"), F.col(order.tie).alias("_jtie"), "_pq")
+    cond = (df[order.key].eqNullSafe(pq["_jk"]) & df[order.ts].eqNullSafe(pq["_jts"])
+            & df[order.tie].eqNullSafe(pq["_jtie"]))
+    res = df.join(pq, cond, "left").drop("_jk", "_jts", "_jtie")
     res = res.withColumn(out, F.coalesce(F.col(value) > F.col("_pq"), F.lit(False)))
     if quantile_col:
         res = res.withColumnRenamed("_pq", quantile_col)
@@ -400,9 +403,3 @@ def latest_per_key(df: DataFrame, order: EventOrder, columns=None) -> DataFrame:
     by = F.struct(F.col(order.ts), F.col(order.tie))
     return (df.groupBy(order.key).agg(F.max_by(row, by).alias("_r"))
               .select(order.key, "_r.*"))
-
-
-def snapshot_as_of(df: DataFrame, order: EventOrder, cutoff, columns=None) -> DataFrame:
-    """Latest row per key among rows with ``ts <= cutoff`` (filter first, so it
-    reaches the scan)."""
-    return latest_per_key(df.where(F.col(order.ts) <= F.lit(cutoff)), order, columns)

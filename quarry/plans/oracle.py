@@ -290,12 +290,20 @@ AUDIT = f"""
 with p as (select {MODEL} as model_name, (1 + event_id % 3)::VARCHAR as model_version, ts from events),
 per as (select model_name, model_version, count(*) as n_predictions, max(ts) as last_prediction_ts
         from p group by all),
+mv as (select {MODEL} as model_name, (1 + event_id % 3)::VARCHAR as model_version, 'run_' || max(event_id)::VARCHAR as run_id,
+              max(event_id) % 4 as snapshot_version from events where event_id % 3 < 2 group by 1, 2),
+h as (select event_id % 3 as snapshot_version, count(*) as n from events group by 1),
+hist as (select snapshot_version, sum(n) over (order by snapshot_version)::BIGINT as snapshot_rows from h),
+pl as (select {MODEL} as model_name, (1 + event_id % 3)::VARCHAR as model_version, max(ts) as promoted_ts
+       from events where event_type = 'purchase' and value > 40 group by 1, 2),
 al as ({_ALIAS_CUR}),
 a as (select model_name, version as model_version, array_to_string(list_sort(list(distinct alias)), ',') as aliases
       from al group by all)
-select per.model_name, per.model_version, 'run_' || per.model_version as run_id, n_predictions, last_prediction_ts,
+select per.model_name, per.model_version, 'models:/' || per.model_name || '/' || per.model_version as model_uri,
+       run_id, snapshot_version, snapshot_rows, promoted_ts, n_predictions, last_prediction_ts,
        coalesce(a.aliases, '') as aliases
-from per left join a using (model_name, model_version)
+from per left join mv using (model_name, model_version) left join hist using (snapshot_version)
+     left join pl using (model_name, model_version) left join a using (model_name, model_version)
 """
 
 IMPUTE_MEDIAN = f"""
@@ -376,7 +384,8 @@ select event_type, count(*) as n_rows, sum({HASH60.format(x=EVENT_ENC)}::HUGEINT
 from events group by event_type
 """
 FEATURE_SET_DIGEST = f"""
-select count(*) as n_rows, sha256('{'["' + '","'.join(Q.ROW_DIGEST_COLS) + '"]'}') as feature_set_digest from events
+select count(*) as n_rows, (select sha256('["' || string_agg(column_name, '","' order by column_index) || '"]')
+  from duckdb_columns() where table_name = 'events') as feature_set_digest from events
 """
 
 SNAPSHOT_RESOLVE = """

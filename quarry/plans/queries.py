@@ -8,12 +8,15 @@ exact decimal midpoints do not round differently in the two engines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.digest import dataset_digest, feature_set_digest_col, row_digest
 from quarry.functions.scalar import hour_of_day, weekday_name
+from quarry.functions.uris import model_uri
 from quarry.operators import dataset as ds
 from quarry.operators import metrics as mt
 from quarry.operators import monitor as mon
@@ -25,6 +28,7 @@ from quarry.operators.asof import asof_join
 from quarry.operators.keyed import EventOrder
 from quarry.operators.model import fit_model, importance_frame, preprocessing_stages
 from quarry.operators.scoring import Provenance, score_rows
+from quarry.session import scratch_path
 from quarry.sources import snapshots as snap
 from quarry.sources import tables as tb
 from quarry.sources.ingest import clean, delayed_labels
@@ -324,7 +328,7 @@ def alias_current(spark, d):
 
 
 def tags_current(spark, d):
-    ev = tb.transactions(spark, d).join(tb.read_table(spark, d, "events").select("event_id", "props"), "event_id")
+    ev = tb.read_table(spark, d, "events")
     tags = ev.select(F.concat(F.lit("model_"), (F.col("user_id") % 4).cast("string")).alias("model_name"),
                      (F.lit(1) + F.col("event_id") % 9).cast("string").alias("version"),
                      F.col("event_type").alias("key"), F.col("props").alias("value"),
@@ -352,27 +356,49 @@ def promotion_decision(spark, d):
     champ = al.where(F.col("alias") == reg.CHAMPION).select("model_name", F.col("version").alias("champion_version"))
     chall = al.where(F.col("alias") == reg.CHALLENGER).select("model_name", F.col("version").alias("challenger_version"))
     j = ch.join(cp, "model_name", "left").join(champ, "model_name", "left").join(chall, "model_name", "left")
-    promoted = F.col("challenger_score").isNotNull() & (
-        F.col("champion_score").isNull() | (F.col("challenger_score") > F.col("champion_score")))
+    promoted = reg.promoted(F.col("challenger_score"), F.col("champion_score"))
     return j.select("model_name", "champion_version", "challenger_version",
                     r6("challenger_score").alias("challenger_score"), r6("champion_score").alias("champion_score"),
-                    F.coalesce(promoted, F.lit(False)).alias("promoted"),
+                    promoted.alias("promoted"),
                     F.when(promoted, F.col("challenger_version")).otherwise(F.col("champion_version"))
                      .alias("new_champion_version"))
 
 
+def _model_versions(spark, d) -> DataFrame:
+    """Registered versions: each one's run, and the feature snapshot that the run read."""
+    ev = tb.transactions(spark, d).where(F.col("event_id") % 3 < 2)
+    return ev.groupBy(F.concat(F.lit("model_"), (F.col("user_id") % 4).cast("string")).alias("model_name"),
+                      (F.lit(1) + F.col("event_id") % 3).cast("string").alias("version")).agg(
+        F.concat(F.lit("run_"), F.max("event_id").cast("string")).alias("run_id"), (F.max("event_id") % 4).alias("snapshot_version"))
+
+
+def _promotion_log(spark, d) -> DataFrame:
+    ev = tb.transactions(spark, d)
+    return ev.where(F.col("event_type") == "purchase").select(
+        F.concat(F.lit("model_"), (F.col("user_id") % 4).cast("string")).alias("model_name"),
+        (F.lit(1) + F.col("event_id") % 3).cast("string").alias("challenger_version"),
+        (F.col("value") > 40).alias("promoted"), F.col("ts").alias("decided_ts"))
+
+
 def audit_trail(spark, d):
-    """Predictions traced to their model version's run, aliases and the
-    feature snapshot they were scored from, per version."""
+    """Predictions per model version, traced to the run that made it, the
+    snapshot the run read, its last promotion and its aliases.  What the
+    registry does not hold stays NULL."""
     p = _predictions(spark, d).withColumn("model_name", F.concat(F.lit("model_"), (F.col("user_id") % 4).cast("string")))
-    al = reg.current_aliases(_alias_events(spark, d))
     per = p.groupBy("model_name", "model_version").agg(
         F.count(F.lit(1)).alias("n_predictions"), F.max("prediction_timestamp").alias("last_prediction_ts"))
-    aliases = (al.groupBy("model_name", "version")
+    versions = _model_versions(spark, d).withColumnRenamed("version", "model_version")
+    history = snap.append_log_history(_event_log(spark, d), "first_version", "ts").select(
+        F.col("version").alias("snapshot_version"), F.col("n_rows").alias("snapshot_rows"))
+    wins = (_promotion_log(spark, d).where("promoted").groupBy("model_name", F.col("challenger_version").alias("model_version"))
+            .agg(F.max("decided_ts").alias("promoted_ts")))
+    aliases = (reg.current_aliases(_alias_events(spark, d)).groupBy("model_name", "version")
                  .agg(F.array_join(F.array_sort(F.collect_set("alias")), ",").alias("aliases"))
                  .withColumnRenamed("version", "model_version"))
-    j = per.join(aliases, ["model_name", "model_version"], "left")
-    return j.select("model_name", "model_version", F.concat(F.lit("run_"), F.col("model_version")).alias("run_id"),
+    keys = ["model_name", "model_version"]
+    j = per.join(versions, keys, "left").join(history, "snapshot_version", "left").join(wins, keys, "left").join(aliases, keys, "left")
+    return j.select("model_name", "model_version", model_uri(F.col("model_name"), version=F.col("model_version")).alias("model_uri"),
+                    "run_id", "snapshot_version", "snapshot_rows", "promoted_ts",
                     "n_predictions", "last_prediction_ts", F.coalesce("aliases", F.lit("")).alias("aliases"))
 
 
@@ -493,9 +519,9 @@ def dataset_digest_q(spark, d):
 
 
 def feature_set_digest_q(spark, d):
-    ev = tb.transactions(spark, d)
-    return ev.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "n_rows", feature_set_digest_col(ROW_DIGEST_COLS).alias("feature_set_digest"))
+    """Digest of the table's own columns, in the order of its schema."""
+    ev = tb.read_table(spark, d, "events")
+    return ev.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", feature_set_digest_col(ev.columns).alias("feature_set_digest"))
 
 
 def _event_log(spark, d) -> DataFrame:
@@ -508,8 +534,13 @@ def snapshot_resolve(spark, d):
 
 
 def snapshot_read(spark, d):
-    s = snap.read_append_log(_event_log(spark, d), "first_version", 1)
-    return s.select("event_id", "user_id", "value")
+    """Two versions with different schemas are published to the shared folder;
+    the older one is read back as it was."""
+    table = snap.SnapshotTable(spark, scratch_path(spark, f"events-{uuid.uuid4().hex}"))
+    log = _event_log(spark, d)
+    table.publish(snap.read_append_log(log, "first_version", 1).select("event_id", "user_id", "value"), digest=False)
+    table.publish(log.select("event_id", "event_type"), digest=False)
+    return table.read(0)
 
 
 def _ingest_rule():

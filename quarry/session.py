@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,22 +64,24 @@ def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` as configured for the cluster.  Only when it
-    is unset (local tests) do we create one under the system temp folder.
+    It is the folder that the cluster names in ``spark.checkpoint.dir``.  Only
+    a local master, whose executors share the driver's disk, may leave it
+    unset; a temporary folder then serves the session.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint directory."""
-    return os.path.join(checkpoint_dir(spark), name)
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
 def cut_lineage(df, name: str = "cut"):

@@ -3,9 +3,9 @@
 Layout: ``root/data/snapshot_version=N/`` (Parquet) plus ``root/history``
 (version, committed_ts, n_rows, digest_sum).  A publish writes the data
 directory first and appends the history row last; readers trust the history
-only, so a failed publish is invisible.  Reading a version filters on the
-partition column, which Spark turns into partition pruning (only that
-directory is listed and read).  One writer per table is assumed.
+only, so a failed publish is invisible.  Reading a version reads that
+directory alone, with the schema it was published with.  One writer per table
+is assumed.
 
 For an append-log table where each row carries the version it first appeared
 in, ``read_append_log`` gives the state at version v (rows with version <= v).
@@ -63,13 +63,11 @@ class SnapshotTable:
         return resolve_version(h, requested_version)
 
     def read(self, version: int | None = None) -> DataFrame:
-        """Snapshot ``version`` (newest when None) — partition pruned."""
+        """Snapshot ``version`` (newest when None), data and schema as published."""
+        version, _ = self.resolve(version)
         if version is None:
-            version, _ = self.resolve()
-            if version is None:
-                raise ValueError("table has no published version")
-        df = self.spark.read.option("basePath", self.data_path).parquet(self.data_path)
-        return df.where(F.col(VERSION_COL) == F.lit(int(version))).drop(VERSION_COL)
+            raise ValueError("table has no published version")
+        return self.spark.read.parquet(f"{self.data_path}/{VERSION_COL}={version}")
 
 
 def resolve_version_frame(history: DataFrame, requested_version: int | None = None) -> DataFrame:

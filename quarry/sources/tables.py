@@ -8,8 +8,6 @@ versions) use the same expressions as the DuckDB oracles.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,19 +16,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-_READERS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet reader for a driver table; the (immutable) reader is reused
-    within a session so repeated plans skip file listing and schema reads."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _READERS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READERS[key] = df
-    return df
+    """Parquet reader for a driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---- derived inputs (identical expressions in the oracle SQL) -------------

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import threading
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,16 +27,22 @@ def score_new_files(spark: SparkSession, source_dir: str, schema: StructType, sp
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.parquet(source_dir)
     written = {"rows": 0}
+    started, query = threading.Event(), {}
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
+        started.wait()
         rows = batch.where(F.col(spec.target).isNull()).select(*spec.scoring_columns)
-        preds = score_rows(rows, spec, scorer, prov, threshold)
-        # idempotent per epoch: a retried epoch overwrites its own folder
-        preds.write.mode("overwrite").parquet(os.path.join(output_path, f"epoch={epoch_id}"))
-        written["rows"] += spark.read.parquet(os.path.join(output_path, f"epoch={epoch_id}")).count()
-
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+        seen = Observation()
+        preds = score_rows(rows, spec, scorer, prov, threshold).observe(seen, F.count(F.lit(1)).alias("n"))
+        # idempotent per epoch: a retried epoch overwrites its own folder; the
+        # id lives with the progress, so other progress never shares a folder
+        preds.write.mode("overwrite").parquet(f"{output_path}/stream={query['id']}/epoch={epoch_id}")
+        written["rows"] += seen.get["n"]
+
+    ckpt = f"{checkpoint_dir(spark)}/streams/{name}"
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
                .trigger(availableNow=True).start())
+    query["id"] = q.id
+    started.set()
     q.awaitTermination()
     return {"rows_written": written["rows"], "checkpoint": ckpt}

@@ -40,15 +40,12 @@ def test_no_python_udf_anywhere(spark):
 
 
 def test_prior_quantile_no_frame_percentile(spark):
-    """W11 with a key above the small-key bound runs as rank-prefix windows,
-    not a re-sorted growing frame; with small keys it is one frame window."""
+    """W11 runs as rank-prefix windows, not a re-sorted growing frame."""
     from quarry.operators import windows as W
     from quarry.sources import tables as tb
     ev = tb.transactions(spark, SF_MID)
-    p = plan(W.prior_quantile_flag(ev, Q.EV, "value", small_key_rows=10))
+    p = plan(W.prior_quantile_flag(ev, Q.EV, "value"))
     assert "percentile(" not in p.lower()
     windows = [line for line in p.splitlines() if "Window [" in line]
     assert windows and all("_pre#" in line for line in windows)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    small = plan(W.prior_quantile_flag(ev, Q.EV, "value"))
-    assert "percentile(" in small.lower() and small.count("Exchange hashpartitioning") == 1

@@ -42,8 +42,7 @@ def test_tags_latest(spark, tmp_dir):
     assert got == {"a": "2", "b": "True"}
 
 
-def test_model_uri():
-    assert model_uri("m", alias="champion") == "models:/m@champion"
-    assert model_uri("m", version=3) == "models:/m/3"
-    with pytest.raises(ValueError):
-        model_uri("m")
+def test_model_uri(spark):
+    rows = spark.createDataFrame([("m", "champion", 3), ("m", None, 3), ("m", None, None)], "m string, a string, v int")
+    got = [r[0] for r in rows.select(model_uri(rows.m, rows.a, rows.v)).collect()]
+    assert got == ["models:/m@champion", "models:/m/3", None]

@@ -1,5 +1,6 @@
 """Hot-key chunked plans give the same rows as the single-partition-per-key plans."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from helpers import assert_same
@@ -131,18 +132,9 @@ def test_dense_value_rank_across_buckets(spark):
         assert_same(got.toPandas(), want.toPandas())
 
 
-def test_prior_quantile_flag_paths_agree(spark):
-    """Small-key path (frame percentile) and radix path give the same rows."""
-    ev = tb.transactions(spark, SF_MID)
-    def run(**kw):
-        f = W.prior_quantile_flag(ev, EV, "value", 0.95, **kw)
-        return f.select("event_id", Q.r6("prior_p95").alias("p"), "above_prior_p95").toPandas()
-    assert_same(run(), run(small_key_rows=0))
-
-
 def test_prior_quantile_edge_inputs(spark):
-    """Radix path (chunked) = frame path on all-NULL values, one-event keys,
-    integer and float32 values and a single distinct value."""
+    """Chunked descent = growing-frame percentile on all-NULL values, one-event
+    keys, integer and float32 values and a single distinct value."""
     from conftest import SF_SMALL
     ev = tb.transactions(spark, SF_SMALL)
     cases = [ev.withColumn("value", F.lit(None).cast("double")),
@@ -151,8 +143,77 @@ def test_prior_quantile_edge_inputs(spark):
              ev.withColumn("value", F.col("value").cast("float")),
              ev.withColumn("value", F.lit(3.5))]
     for df in cases:
-        def run(**kw):
-            f = W.prior_quantile_flag(df, EV, "value", 0.95, **kw)
-            return f.select("event_id", Q.r6(F.col("prior_p95").cast("double")).alias("p"),
-                            "above_prior_p95").toPandas()
-        assert_same(run(small_key_rows=0, hot_threshold=40), run(small_key_rows=10**9))
+        got = W.prior_quantile_flag(df, EV, "value", 0.95, hot_threshold=40)
+        got = got.select("event_id", Q.r6(F.col("prior_p95").cast("double")).alias("p")).where("p is not null")
+        assert_same(got.toPandas(), _prior_pct_brute(df.withColumn("value", F.col("value").cast("double")), 0.95).toPandas())
+
+
+def _hard_events(spark):
+    """Large offset, NaN, infinities, NULL values, a NULL key with most rows and a one-second burst."""
+    rows = spark.range(600).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id") % 2).cast("long").alias("user_id"),
+        F.timestamp_seconds(F.when(F.col("id").between(200, 420), F.lit(2000) + F.col("id") % 5)
+                             .otherwise(F.col("id") * 7)).cast("timestamp_ntz").alias("ts"),
+        (F.lit(1e8) + F.col("id") % 3).alias("value"), (F.col("id") % 20 + 1).cast("int").alias("k"))
+    return rows.withColumn("value", F.when(F.col("event_id") % 41 == 0, F.lit(None)).otherwise(F.col("value")))
+
+
+def test_sequence_features_hard_rows(spark):
+    ev = _hard_events(spark)
+    got = W.sequence_features(ev, EV, "value", k_col="k", hot_threshold=25).toPandas().set_index("event_id")
+    pdf = ev.toPandas().sort_values(["ts", "event_id"])
+    for _, g in pdf.groupby("user_id", dropna=False):
+        vals = g["value"].to_numpy()
+        for i, r in enumerate(g.itertuples()):
+            head = vals[:i + 1][~np.isnan(vals[:i + 1])]
+            row = got.loc[r.event_id]
+            assert row["exp_count"] == i + 1
+            if len(head):
+                assert abs(row["exp_std"] - head.std()) < 1e-6 and abs(row["exp_mean"] - head.mean()) < 1e-6
+            assert row["last_k_sum"] == np.nansum(vals[max(0, i + 1 - r.k):i + 1])
+
+
+def test_last_k_beyond_twelve(spark):
+    ev = spark.range(20).select(F.col("id").alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+                                F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value"), F.lit(20).alias("k"))
+    assert W.sequence_features(ev, EV, "value", k_col="k").agg(F.max("last_k_sum")).first()[0] == 20.0
+
+
+def test_interval_stats_hard_rows(spark):
+    ev = _hard_events(spark).withColumn("value", F.when(F.col("event_id") == 60, F.lit(float("nan")))
+                                        .when(F.col("event_id") == 90, F.lit(float("inf"))).otherwise(F.col("value")))
+    specs = {"s": ("sum", 300), "m": ("mean", 300), "d": ("std", 300), "n": ("count", 300), "x": ("max", 300)}
+    pdf = ev.select("event_id", "user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("t"), "value",
+                    F.col("value").isNull().alias("none")).toPandas()
+    for threshold in (25, None):
+        got = W.interval_stats(ev, EV, "value", specs, hot_threshold=threshold).toPandas().set_index("event_id")
+        for _, g in pdf.groupby("user_id", dropna=False):
+            for r in g.itertuples():
+                v = g[(g.t >= r.t - 300) & (g.t <= r.t) & ~g.none]["value"].to_numpy()
+                row = got.loc[r.event_id]
+                assert row["n"] == len(v)
+                if len(v):
+                    assert np.isclose(row["m"], v.mean(), rtol=1e-12, equal_nan=True)
+                    if np.isfinite(v).all():
+                        assert abs(row["d"] - v.std()) < 1e-6 and row["x"] == v.max() and np.isclose(row["s"], v.sum(), rtol=1e-12)
+                    else:
+                        assert np.isnan(row["d"])
+
+
+def test_chunks_are_balanced_under_bursts(spark):
+    from quarry.operators.keyed import CHUNK, with_chunks
+    ev = _hard_events(spark)
+    sizes = with_chunks(ev, EV, hot_key_chunks(ev, EV, 50)).groupBy("user_id", CHUNK).count().toPandas()
+    assert sizes[sizes.user_id.isna()]["count"].max() <= 120  # 400 NULL-key rows, 221 of them within five seconds
+
+
+def test_asof_null_rules(spark):
+    left = spark.createDataFrame([(1, "a", 10), (2, None, 10), (3, "a", None), (4, "b", 10)], "id int, k string, t long")
+    right = spark.createDataFrame([("a", 5, 1, "old"), (None, 5, 2, "nobody"), ("a", None, 3, "undated"), ("b", None, 4, "undated")],
+                                  "k string, t long, tie int, label string")
+    stamped = [df.withColumn("t", F.timestamp_seconds("t")) for df in (left, right)]
+    for threshold in (1, None):
+        got = asof_join(*stamped, left_key="k", right_key="k", left_time="t", right_time="t", right_tie="tie",
+                        payload=["label"], hot_threshold=threshold).collect()
+        assert {r.id: r.label for r in got} == {1: "old", 2: None, 3: None, 4: None}

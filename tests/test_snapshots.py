@@ -18,8 +18,12 @@ def test_publish_resolve_read(spark, tmp_dir):
     with pytest.raises(ValueError):
         t.resolve(7)
     assert t.read(0).count() == 10 and t.read().count() == 25
-    plan = t.read(0)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "snapshot_version" in plan
+    assert t.read(0).columns == ["id", "x"] and t.read().columns == ["id", "y"]
+    assert sorted(tuple(r) for r in t.read(0).collect()) == [(i, 2 * i) for i in range(10)]
+    assert {r["y"] for r in t.read(1).collect()} == {"a"}
+    assert all("snapshot_version=0" in f for f in t.read(0).inputFiles())
+    with pytest.raises(ValueError):
+        t.read(7)
 
 
 def test_failed_publish_invisible(spark, tmp_dir):

@@ -1,7 +1,6 @@
 """Split invariants and guards."""
 
 import pytest
-import pytest as _pt
 from pyspark.sql import functions as F
 
 from quarry.operators import split as sp
@@ -12,10 +11,9 @@ def data(spark, n=2000):
     return spark.range(n).select(F.col("id").alias("rid"), (F.col("id") % 5 == 0).cast("int").alias("y"))
 
 
-@_pt.mark.parametrize("small", [0, 10**9])
-def test_exact_split_partitions_and_quotas(spark, small):
+def test_exact_split_partitions_and_quotas(spark):
     df = data(spark)
-    s = sp.stratified_split(df, "rid", "y", 0.2, 0.1, seed=7, small_class_rows=small)
+    s = sp.stratified_split(df, "rid", "y", 0.2, 0.1, seed=7)
     assert s.count() == 2000
     counts = {(r["split"], r["y"]): r["n_rows"] for r in sp.split_counts(s, "y").collect()}
     # class 1: 400 rows → 280/80/40 ; class 0: 1600 → 1120/320/160
@@ -23,12 +21,11 @@ def test_exact_split_partitions_and_quotas(spark, small):
     assert counts[("train", 0)] == 1120 and counts[("validation", 0)] == 320 and counts[("test", 0)] == 160
 
 
-@_pt.mark.parametrize("small", [0, 10**9])
-def test_exact_split_matches_rank_definition(spark, small):
-    """Histogram path (small=0) and ranked path give the rank definition."""
+def test_exact_split_matches_rank_definition(spark):
+    """The histogram cuts give the rank definition."""
     df = data(spark, 500)
     got = {r["rid"]: r["split"] for r in
-           sp.stratified_split(df, "rid", "y", 0.25, 0.15, seed=3, small_class_rows=small).collect()}
+           sp.stratified_split(df, "rid", "y", 0.25, 0.15, seed=3).collect()}
     import hashlib
     want = {}
     rows = [(r["rid"], r["y"]) for r in df.collect()]
@@ -43,6 +40,13 @@ def test_exact_split_matches_rank_definition(spark, small):
     assert got == want
 
 
+def test_split_of_repeated_ids_counts_ids(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("rid"), F.lit(1).alias("y"))
+    got = {(r["rid"], r["split"]) for r in sp.stratified_split(df, "rid", "y", 0.2, 0.1).collect()}
+    parts = [p for _, p in got]
+    assert len(got) == 10 and (parts.count("train"), parts.count("validation"), parts.count("test")) == (7, 2, 1)
+
+
 def test_split_independent_of_partitioning(spark):
     df = data(spark)
     a = {r["rid"]: r["split"] for r in sp.stratified_split(df, "rid", "y", 0.2, 0.1).collect()}
