@@ -6,25 +6,21 @@
 * ROC AUC with ties counted half, NULL when a class is missing;
 * accuracy and clipped log-loss.
 
-AP and AUC need running totals over scores in descending order.  Rows are
-first grouped by score (partial aggregation).  The distinct scores are then
-cut into ``buckets`` contiguous score ranges taken from ``percentile_approx``
-(64, or more when there are over 256M distinct scores)
-(boundaries are deterministic data, not partition ids; without groups a
-``Bucketizer`` places each score by binary search); per-bucket totals
-give each bucket's offset, and a window per bucket gives the local running
-sum.  No step ranks all distinct scores in one task.
+All metrics of a call come from one table of distinct scores with positives
+and negatives (partial aggregation), so rows are scanned and scored once.
+AP and AUC need running totals over scores in descending order: the scores
+are cut into contiguous ranges at quantiles found in the same plan, per-range
+totals give each range's offset, and a window per range gives the local
+running sum.  No step ranks all distinct scores in one task.  A NULL group is
+a group like any other.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage
+from quarry.operators.keyed import join_null_safe
 
 EPS_LOGLOSS = 1e-15
 
@@ -68,28 +64,24 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
-def running_totals(st: DataFrame, score: str, group_by=(), buckets: int = 64) -> DataFrame:
+#: Score ranges at least; more where the cluster shuffles into more partitions.
+MIN_BUCKETS = 64
+
+
+def running_totals(st: DataFrame, score: str, group_by=(), buckets: int | None = None) -> DataFrame:
     """Add ``cum_pos`` / ``cum_neg``: totals over scores >= this score, and
     ``above_pos``: positives with strictly greater score (same group)."""
     g = list(group_by)
+    buckets = buckets or max(MIN_BUCKETS, int(st.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / buckets for i in range(1, buckets)]
-    if buckets <= 1:
-        bucketed = st.withColumn("_b", F.lit(0.0))
-    elif not g:
-        # at most buckets - 1 boundaries reach the driver; Bucketizer places
-        # each score by binary search (equal scores share a bucket)
-        cuts = st.agg(F.percentile_approx(F.col(score).cast("double"), probs, 10000)).first()[0] or []
-        splits = sorted({float(c) for c in cuts if c is not None and not math.isnan(c)})
-        bucketizer = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="_sd", outputCol="_b",
-                                handleInvalid="keep")
-        bucketed = bucketizer.transform(st.withColumn("_sd", F.col(score).cast("double"))).drop("_sd")
+    bounds = F.percentile_approx(F.col(score).cast("double"), probs or [0.5], max(10_000, 20 * buckets)).alias("_bounds")
+    if g:
+        bucketed = join_null_safe(st, st.groupBy(*g).agg(bounds), g, "inner")
     else:
-        bounds = st.groupBy(*g).agg(F.percentile_approx(score, probs, 10000).alias("_bounds"))
-        # bucket b holds scores in (bound[b-1], bound[b]]; higher bucket = higher
-        # score.  bounds: one row per group, (buckets - 1) values each.
-        bucketed = st.join(F.broadcast(bounds), g)
-        bucketed = bucketed.withColumn(
-            "_b", F.size(F.filter("_bounds", lambda b: b < F.col(score))).cast("double")).drop("_bounds")
+        bucketed = attach_row(st, st.agg(bounds))
+    # bucket b holds scores in (bound[b-1], bound[b]]; higher bucket = higher score
+    bucketed = bucketed.withColumn(
+        "_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(score))), F.lit(-1))).drop("_bounds")
     tot = bucketed.groupBy(*g, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     wo = Window.partitionBy(*g).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select(*g, "_b", F.coalesce(F.sum("_bp").over(wo), F.lit(0)).alias("_op"),
@@ -97,42 +89,16 @@ def running_totals(st: DataFrame, score: str, group_by=(), buckets: int = 64) ->
     wl = (Window.partitionBy(*g, "_b").orderBy(F.desc(score))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = bucketed.withColumns({"_lp": F.sum("pos").over(wl), "_ln": F.sum("neg").over(wl)})
-    # offsets: (groups × buckets) rows — bounded by construction
-    out = local.join(F.broadcast(offsets), [*g, "_b"])
+    out = join_null_safe(local, offsets, [*g, "_b"], "inner")
     return out.select(*g, score, "pos", "neg",
                       (F.col("_op") + F.col("_lp")).alias("cum_pos"),
                       (F.col("_on") + F.col("_ln")).alias("cum_neg"),
                       (F.col("_op") + F.col("_lp") - F.col("pos")).alias("above_pos"))
 
 
-# Distinct scores per running-sum bucket when the bucket count is chosen from
-# the data: at least MIN_BUCKETS buckets, at most MAX_BUCKETS.
-SCORES_PER_BUCKET = 4_000_000
-MIN_BUCKETS = 64
-MAX_BUCKETS = 1024
-
-
 def ranking_metrics(df: DataFrame, truth: str, score: str, group_by=(), buckets: int | None = None) -> DataFrame:
-    """``average_precision`` and ``roc_auc`` (NULL if one class is absent).
-
-    ``buckets`` (default: from the number of distinct scores) sets how many
-    score ranges the running sums are split into, so no bucket window holds
-    more than about ``SCORES_PER_BUCKET`` distinct scores below the cap."""
-    g = list(group_by)
-    # the grouped score table feeds three branches (bounds, bucket totals,
-    # local running sums): cut lineage so the input is scanned once
-    st = cut_lineage(score_table(df, truth, score, g), "score-table")
-    if buckets is None:
-        buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, -(-st.count() // SCORES_PER_BUCKET)))
-    rt = running_totals(st, score, g, buckets)
-    totals = rt.groupBy(*g).agg(
-        F.sum("pos").alias("_P"), F.sum("neg").alias("_N"),
-        F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("_ap_num"),
-        F.sum(F.col("neg") * (F.col("above_pos") + F.col("pos") / F.lit(2.0))).alias("_auc_num"))
-    ap = F.when(F.col("_P") > 0, F.col("_ap_num") / F.col("_P")).otherwise(F.lit(0.0))
-    auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0),
-                 F.col("_auc_num") / (F.col("_P") * F.col("_N")))
-    return totals.select(*g, ap.alias("average_precision"), auc.alias("roc_auc"))
+    """``average_precision`` and ``roc_auc`` (NULL if one class is absent)."""
+    return evaluate_binary(df, truth, score, 0.5, group_by, buckets).select(*group_by, "average_precision", "roc_auc")
 
 
 def logloss_accuracy(df: DataFrame, truth: str, score: str, threshold: float = 0.5,
@@ -147,10 +113,23 @@ def logloss_accuracy(df: DataFrame, truth: str, score: str, threshold: float = 0
 
 def evaluate_binary(df: DataFrame, truth: str, score: str, threshold: float = 0.5,
                     group_by=(), buckets: int | None = None) -> DataFrame:
-    """average_precision, f1, precision, recall, roc_auc (+ counts)."""
+    """average_precision, f1, precision, recall, roc_auc (+ counts), from one score table."""
     g = list(group_by)
-    thr = threshold_metrics(df, truth, score, threshold, g)
-    rk = ranking_metrics(df, truth, score, g, buckets)
-    joined = attach_row(thr, rk) if not g else thr.join(rk, g)
-    return joined.select(*g, "average_precision", "f1", "precision", "recall", "roc_auc",
-                         "tp", "fp", "fn", "tn")
+    rt = running_totals(score_table(df, truth, score, g), score, g, buckets)
+    above = F.col(score) >= F.lit(threshold)
+
+    def total(cond: Column, side: str, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col(side))), F.lit(0)).alias(name)
+
+    t = rt.groupBy(*g).agg(
+        F.sum("pos").alias("_P"), F.sum("neg").alias("_N"),
+        F.sum(F.col("pos") * F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))).alias("_ap_num"),
+        F.sum(F.col("neg") * (F.col("above_pos") + F.col("pos") / F.lit(2.0))).alias("_auc_num"),
+        total(above, "pos", "tp"), total(above, "neg", "fp"), total(~above, "pos", "fn"), total(~above, "neg", "tn"))
+    ap = F.when(F.col("_P") > 0, F.col("_ap_num") / F.col("_P")).otherwise(F.lit(0.0))
+    auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0), F.col("_auc_num") / (F.col("_P") * F.col("_N")))
+    precision = _div0(F.col("tp"), F.col("tp") + F.col("fp"))
+    recall = _div0(F.col("tp"), F.col("tp") + F.col("fn"))
+    f1 = _div0(F.lit(2.0) * F.col("tp"), F.lit(2) * F.col("tp") + F.col("fp") + F.col("fn"))
+    return t.select(*g, ap.alias("average_precision"), f1.alias("f1"), precision.alias("precision"), recall.alias("recall"),
+                    auc.alias("roc_auc"), "tp", "fp", "fn", "tn")

@@ -76,3 +76,10 @@ def test_logloss_clipped(spark):
     r = mt.logloss_accuracy(frame(spark, [1, 0], [1.0, 0.0]), "y", "s").first()
     assert r["accuracy"] == 1.0
     assert r["log_loss"] < 1e-12
+
+
+def test_null_group_is_kept(spark):
+    df = spark.createDataFrame([(None, 1, 0.9), (None, 0, 0.1), ("a", 1, 0.2), ("a", 0, 0.7)], "g string, y int, s double")
+    got = {r["g"]: r for r in mt.evaluate_binary(df, "y", "s", group_by=["g"]).collect()}
+    assert set(got) == {None, "a"} and got[None]["roc_auc"] == 1.0 and got["a"]["roc_auc"] == 0.0
+    assert (got[None]["tp"], got[None]["tn"], got["a"]["fp"], got["a"]["fn"]) == (1, 1, 1, 1)
