@@ -51,6 +51,11 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def part_of_ip(digits: str) -> bool:
+    value = digits.lstrip("0") or "0"
+    return len(value) <= 3 and int(value) <= 255
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -62,7 +67,7 @@ def luhn(digits: str) -> bool:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Matches of the fixed patterns by kind as listed, then start."""
     out = [("email", *s) for s in emails(text)] if "@" in text else []
-    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(part_of_ip(p) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = re.sub("[ -]", "", m[0])
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -77,9 +82,13 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     out = []
     inside = lambda s, e: any(a < e and s < b for _, a, b in spans if a < e + 1 and b > s - 1)
     for kind, start, end in spans:
-        left = [m for m in TERM.finditer(text, max(0, start - NEAR_CHARS), start)][-NEAR:]
+        low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
+        # words that the search limits cut are left out
+        left = [m for m in TERM.finditer(text, low, start) if m.start() > low or not low or not text[low - 1].isalpha()][-NEAR:]
         right = []
-        for m in TERM.finditer(text, end, min(len(text), end + NEAR_CHARS)):
+        for m in TERM.finditer(text, end, high):
+            if m.end() == high < len(text) and text[high].isalpha():
+                break
             right.append(m)
             if len(right) == NEAR:
                 break

@@ -188,7 +188,7 @@ def test_secrets(spark, none):
 def test_pii(spark, none):
     rows = [(i, f"Zebulon wrote to zeb@corp.example from {prose(12, i)}") for i in range(6)] + [
         (10, None), (11, ""), (12, "plain words alone"), (13, "a@b@c.de and 1.2.3.4.5 and 1.2.3.999"), (14, "4111 1111 1111 1111 or +1 (988) 555-2485"),
-        (15, "Zebulon without the address"), (0, f"Zebulon wrote to zeb@corp.example from {prose(12, 0)}"), (16, "9" * 100_000)]
+        (15, "Zebulon without the address"), (0, f"Zebulon wrote to zeb@corp.example from {prose(12, 0)}"), (16, "9" * 100_000 + " 1.2.3." + "9" * 6_000), (17, "0001.02.3.000255")]
     rows += [(1000 + i, f"{prose(9, i)} user{i}@host{i}.example {prose(9, i + 500)}") for i in range(200)]
     docs = spark.createDataFrame([(i, t, 1, "m") for i, t in rows], "doc_id long, text string, terms int, at string")
     got = {}
@@ -202,6 +202,7 @@ def test_pii(spark, none):
         assert not got[i][0].base and not got[i][0].terms
     assert [tuple(s) for s in got[13][0].base] == [("email", 2, 8), ("ip", 13, 20)]
     assert [s.kind for s in got[14][0].base] == ["card", "phone"]
+    assert [tuple(s) for s in got[17][0].base] == [("ip", 0, 16)]
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert clean[1].startswith("[TERM] wrote to [EMAIL] from") or clean[1].startswith("[TERM] [TERM]")
     assert clean[12] == "plain words alone" and clean[10] is None and clean[14] == "[CARD] or [PHONE]"
