@@ -377,6 +377,15 @@ select TIMESTAMP '{_P.prediction_timestamp}' as prediction_timestamp, '{_P.model
 from s
 """
 
+SCORING_JOB = f"""
+with u as ({UNLABELED})
+select doc_id, 'doc_quality' as model_name, 'champion' as model_alias, '1' as model_version, 'run_1' as model_source_run_id,
+  'documents' as feature_table, '0' as feature_table_version, '{feature_set_digest(Q.DOC_SPEC.features)}' as feature_set_digest,
+  md5({DOC_FEAT_ENC}) as feature_vector_digest, true as is_probability, true as label_follows, true as class_follows,
+  (select count(*) from u) as rows_written
+from u
+"""
+
 ROW_DIGEST = f"select event_id, md5({EVENT_ENC}) as row_digest from events"
 DATASET_DIGEST = f"""
 select event_type, count(*) as n_rows, sum({HASH60.format(x=EVENT_ENC)}::HUGEINT)::VARCHAR as digest_sum,
@@ -494,6 +503,7 @@ ORACLE = {
     "one_hot": ONE_HOT,
     "feature_matrix": FEATURE_MATRIX,
     "batch_score": BATCH_SCORE,
+    "scoring_job": SCORING_JOB,
     "row_digest": ROW_DIGEST,
     "dataset_digest": DATASET_DIGEST,
     "feature_set_digest": FEATURE_SET_DIGEST,

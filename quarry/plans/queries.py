@@ -28,6 +28,9 @@ from quarry.operators.asof import asof_join
 from quarry.operators.keyed import EventOrder
 from quarry.operators.model import fit_model, importance_frame, preprocessing_stages
 from quarry.operators.scoring import Provenance, score_rows
+from quarry.plans.batch_scoring import ScoreConfig
+from quarry.plans.batch_scoring import score as score_job
+from quarry.plans.training import model_path
 from quarry.session import scratch_path
 from quarry.sources import snapshots as snap
 from quarry.sources import tables as tb
@@ -500,6 +503,28 @@ def batch_score(spark, d):
     return score_rows(unl, DOC_SPEC, _doc_score, BATCH_PROVENANCE, threshold=0.5)
 
 
+def scoring_job(spark, d):
+    """The whole job: published snapshot, registered and aliased model fitted on
+    its labelled rows, unlabelled rows scored into the sink, and read back."""
+    root = scratch_path(spark, f"scoring-{uuid.uuid4().hex}")
+    table = snap.SnapshotTable(spark, f"{root}/documents")
+    table.publish(_docs(spark, d), digest=False)
+    registry = reg.Registry(spark, f"{root}/registry")
+    version = registry.register_version("doc_quality", "run_1")
+    fit_model(ds.labeled_rows(table.read(), DOC_SPEC), DOC_SPEC, GBT_TEST_PARAMS).save(
+        model_path(registry.root, "doc_quality", version))
+    registry.set_alias("doc_quality", reg.CHAMPION, version)
+    cfg = ScoreConfig(table.root, registry.root, f"{root}/predictions", "doc_quality", feature_table_name="documents")
+    done = score_job(spark, DOC_SPEC, cfg)
+    out = spark.read.parquet(cfg.output_path)
+    p = F.col("fraud_probability")
+    return out.select("doc_id", "model_name", "model_alias", "model_version", "model_source_run_id", "feature_table",
+                      "feature_table_version", "feature_set_digest", "feature_vector_digest",
+                      p.between(0, 1).alias("is_probability"), (F.col("predicted_label") == (p >= 0.5)).alias("label_follows"),
+                      (F.col("predicted_class") == F.when(p >= 0.5, "fraud").otherwise("not_fraud")).alias("class_follows"),
+                      F.lit(done["rows_written"]).cast("long").alias("rows_written"))
+
+
 # ---------------------------------------------------------------- audit
 
 ROW_DIGEST_COLS = ["event_id", "user_id", "event_type", "value", "k"]
@@ -648,6 +673,7 @@ QUERIES = {
     "gbt_train_score": gbt_train_score,
     "importance_topk": importance_topk,
     "batch_score": batch_score,
+    "scoring_job": scoring_job,
     "row_digest": row_digest_q,
     "dataset_digest": dataset_digest_q,
     "feature_set_digest": feature_set_digest_q,
