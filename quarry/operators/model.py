@@ -82,7 +82,7 @@ def _sql_prep(spec: FeatureSpec, modes: dict) -> SQLTransformer:
     parts = ["*"]
     for c in spec.categorical:
         m = modes.get(c)
-        fill = "NULL" if m is None else "'" + str(m).replace("'", "''") + "'"
+        fill = "NULL" if m is None else "'" + str(m).replace("\\", "\\\\").replace("'", "\\'") + "'"
         parts.append(f"coalesce(cast(`{c}` as string), {fill}) AS `{c}__cat`")
     for c in spec.boolean:
         parts.append(f"coalesce(lower(cast(`{c}` as string)), '{NULL_CATEGORY}') AS `{c}__cat`")
@@ -106,7 +106,7 @@ def preprocessing_stages(spec: FeatureSpec, modes: dict, relative_error: float =
         # (handleInvalid must stay 'error' here: 'keep' would add a second
         # extra slot and dropLast would drop that one instead.)
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error"))
-    stages.append(VectorAssembler(inputCols=num_out + ohe, outputCol="features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=num_out + ohe, outputCol="features", handleInvalid="error"))
     return stages
 
 
@@ -121,6 +121,26 @@ def _names_from_metadata(pm: PipelineModel, spec: FeatureSpec) -> list[str]:
     return names
 
 
+def feature_entries(pm: PipelineModel, spec: FeatureSpec, transformed: DataFrame, ids: list[str]) -> DataFrame:
+    """Non-zero features as rows: ``ids, column_name, slot, position, value``.
+
+    ``slot`` counts within a column, ``position`` over the assembled vector.
+    Entries come from the imputed and indexed columns, so a row yields one
+    entry per column at most, whatever the size of the vocabularies; a value
+    that was unseen when fitting yields none."""
+    entry = lambda c, slot, position, value: F.struct(
+        F.lit(c).alias("column_name"), slot.cast("int").alias("slot"), position.cast("int").alias("position"), value.cast("double").alias("value"))
+    entries = [entry(c, F.lit(0), F.lit(i), F.col(f"{c}__num")) for i, c in enumerate(spec.numeric)]
+    at = len(spec.numeric)
+    labels = next((st.labelsArray for st in pm.stages if st.__class__.__name__ == "StringIndexerModel"), [])
+    for c, known in zip([*spec.categorical, *spec.boolean], labels):
+        idx = F.col(f"{c}__idx")
+        entries.append(entry(c, idx, F.lit(at) + idx, F.when(idx < len(known), F.lit(1.0))))
+        at += len(known)
+    return (transformed.select(*ids, F.explode(F.array(*entries)).alias("_e")).select(*ids, "_e.*")
+            .where(F.col("value").isNotNull() & (F.col("value") != 0)))
+
+
 def fit_model(train: DataFrame, spec: FeatureSpec, params: dict | None = None,
               relative_error: float = 1e-3) -> FittedModel:
     """Fit preprocessing + GBT on ``train`` (label column ``spec.target``)."""

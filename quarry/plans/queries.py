@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ from quarry.operators import split as sp
 from quarry.operators import windows as W
 from quarry.operators.asof import asof_join
 from quarry.operators.keyed import EventOrder
-from quarry.operators.model import fit_model, importance_frame, preprocessing_stages
+from quarry.operators.model import feature_entries, fit_model, importance_frame, preprocessing_stages
 from quarry.operators.scoring import Provenance, score_rows
 from quarry.plans.batch_scoring import ScoreConfig
 from quarry.plans.batch_scoring import score as score_job
@@ -439,23 +439,15 @@ def category_vocab(spark, d):
 
 
 def one_hot(spark, d):
-    """Spark ML path: mode-impute + StringIndexer(keep) + OneHotEncoder
-    (dropLast) fitted on ``lang <> 'fr'``; non-zero slots as rows."""
+    """Fit and transform on different rows: mode-impute + StringIndexer(keep) +
+    one-hot fitted on ``lang <> 'fr'`` and applied to every row, so that ``fr``
+    is an unseen value; non-zero slots as rows."""
     docs = _docs_with_nulls(spark, d)
     spec = FeatureSpec(metadata=("doc_id",), categorical=("lang_null", "source_null"), boolean=("long_doc",))
     fit_rows = docs.where(F.col("lang") != "fr")
-    modes = prep.fit_modes(fit_rows, spec.categorical)
-    from pyspark.ml import Pipeline
-    stages = preprocessing_stages(spec, modes)[:-1]  # without the assembler
+    stages = preprocessing_stages(spec, prep.fit_modes(fit_rows, spec.categorical))[:-1]  # without the assembler
     pm = Pipeline(stages=stages).fit(fit_rows)
-    t = pm.transform(docs)
-    out = None
-    for c in [*spec.categorical, *spec.boolean]:
-        arr = vector_to_array(f"{c}__ohe")
-        part = t.select("doc_id", F.lit(c).alias("column_name"),
-                        F.posexplode(arr).alias("slot", "x")).where(F.col("x") != 0)
-        out = part if out is None else out.unionByName(part)
-    return out.select("doc_id", "column_name", F.col("slot").cast("int").alias("slot"))
+    return feature_entries(pm, spec, pm.transform(docs), ["doc_id"]).select("doc_id", "column_name", "slot")
 
 
 def feature_matrix(spark, d):
@@ -463,11 +455,8 @@ def feature_matrix(spark, d):
     non-zero entries (doc_id, slot, value)."""
     spec = FeatureSpec(metadata=("doc_id",), numeric=("n_chars",), categorical=("lang", "source"))
     docs = tb.read_table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
-    modes = prep.fit_modes(docs, spec.categorical)
-    from pyspark.ml import Pipeline
-    pm = Pipeline(stages=preprocessing_stages(spec, modes)).fit(docs)
-    t = pm.transform(docs).select("doc_id", F.posexplode(vector_to_array("features")).alias("slot", "value"))
-    return t.where(F.col("value") != 0).select("doc_id", F.col("slot").cast("int").alias("slot"), "value")
+    pm = Pipeline(stages=preprocessing_stages(spec, prep.fit_modes(docs, spec.categorical))[:-1]).fit(docs)
+    return feature_entries(pm, spec, pm.transform(docs), ["doc_id"]).select("doc_id", F.col("position").alias("slot"), "value")
 
 
 # ---------------------------------------------------------------- model + scoring

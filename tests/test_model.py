@@ -32,3 +32,12 @@ def test_unseen_category_scores(spark):
     m = fit_model(lab.where(F.col("lang") != "fr"), Q.DOC_SPEC, {"n_estimators": 3, "max_depth": 2})
     fr = lab.where(F.col("lang") == "fr")
     assert m.predict_proba(fr).where(F.col("score").isNull()).count() == 0
+
+
+def test_mode_literal_with_quotes_and_backslashes(spark):
+    from quarry.operators.model import _sql_prep
+    from quarry.spec import FeatureSpec
+    odd = "a\\b'c\\\\n"
+    df = spark.createDataFrame([(odd,), (odd,), (None,)], "c string")
+    out = _sql_prep(FeatureSpec(metadata=(), categorical=("c",)), {"c": odd}).transform(df)
+    assert {r["c__cat"] for r in out.collect()} == {odd}
