@@ -40,8 +40,8 @@ def table_shape(n: int, threshold: float, recall: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
 
 
-def pack(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``id_col, packed``: the vector's bytes, null unless it can link (finite, not zero)."""
+def pack(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str]:
+    """``id_col, packed``: the vector's bytes, null unless it can link (finite, not zero); and the type of its numbers."""
     dtype = "<f4" if isinstance(vectors.schema[vec_col].dataType.elementType, T.FloatType) else "<f8"
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
