@@ -28,6 +28,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,8 @@ from quarry.session import cut_lineage
 WINDOW, GRAM = 35, 10
 #: Bytes of text that a task reduces together.
 PACK_BYTES = 16 << 20
+#: Occurrences that a task has settled and passes on together.
+SETTLED = 2_048
 #: There are fewer grams above the 1/HOT_SHARE share than this, at any input size.
 HOT_SHARE = 5_000
 
@@ -80,7 +83,7 @@ def _anchors(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFram
     """Anchors by bucket of their gram: grams with counts, keys and places; ``grams`` null where the task has settled them."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
-        size = turn = 0
+        size, turn = 0, 97 * TaskContext.get().partitionId()  # from where settled rows go round the buckets
 
         def flush() -> pa.RecordBatch:
             nonlocal held, turn
@@ -98,10 +101,15 @@ def _anchors(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFram
             ids, cut = np.unique(bucket, return_index=True)
             cut = np.append(cut, len(bucket))
             blob = lambda x: [x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-            turn += 1
+            k, p = k[again], p[again]
+            parts = range(0, len(k), SETTLED)
+            none = [None] * len(parts)
+            settled = [(turn + i) % buckets for i in range(len(parts))]
+            turn += len(parts)
             return pa.record_batch([
-                pa.array([*ids.tolist(), turn % buckets], pa.int32()), pa.array([*blob(one), None], pa.binary()), pa.array([*blob(count), None], pa.binary()),
-                pa.array([*blob(gk), k[again].tobytes()], pa.binary()), pa.array([*blob(gp), p[again].tobytes()], pa.binary())],
+                pa.array([*ids.tolist(), *settled], pa.int32()), pa.array([*blob(one), *none], pa.binary()), pa.array([*blob(count), *none], pa.binary()),
+                pa.array([*blob(gk), *(k[i:i + SETTLED].tobytes() for i in parts)], pa.binary()),
+                pa.array([*blob(gp), *(p[i:i + SETTLED].tobytes() for i in parts)], pa.binary())],
                 names=["bucket", "grams", "counts", "keys", "places"])
 
         for b in it:
@@ -164,7 +172,7 @@ def _windows(texts: DataFrame, hot: list[int], buckets: int, window: int, gram:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
-        size = turn = docs_held = 0
+        size, turn, docs_held = 0, 97 * TaskContext.get().partitionId(), 0
 
         def packed(sel: np.ndarray, doc, start, key) -> list:
             """Runs of the selected windows, with the keys of their documents."""
@@ -200,9 +208,11 @@ def _windows(texts: DataFrame, hot: list[int], buckets: int, window: int, gram:
                 sel = by[a:e]
                 for col, v in zip(out, [b, win[sel].tobytes(), win[reps[rep_by[ra:re]]].tobytes(), *packed(sel, doc, start, key)]):
                     col.append(v)
-            turn += 1
-            for col, v in zip(out, [turn % buckets, None, None, *packed(np.nonzero(again)[0], doc, start, key)]):
-                col.append(v)
+            settled = np.nonzero(again)[0]
+            for i in range(0, len(settled), SETTLED):
+                for col, v in zip(out, [turn % buckets, None, None, *packed(settled[i:i + SETTLED], doc, start, key)]):
+                    col.append(v)
+                turn += 1
             return pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], names=_RUN_NAMES)
 
         for b in it:
