@@ -69,12 +69,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
              .select(*KEY, F.struct((F.col("pos") - F.col("at") + 1).alias("start"), "win", "items").alias("c"))
              .groupBy(*KEY).agg(F.collect_set("c").alias("cands")))
 
-    # exact verification in the whole document
+    # exact verification in the whole document; words are taken after the join, which moves texts alone
     taken = {"n_words", "n_hit", "leaked_items", *KEY}
-    base = docs.select("*", *[c.alias(a) for c, a in zip(doc_key(), ("__k1", "__k2"))],
-                       item_words(F.col("text")).alias("__w")).drop(*taken)
+    base = docs.select("*", *[c.alias(a) for c, a in zip(doc_key(), ("__k1", "__k2"))]).drop(*taken)
     joined = base.join(found.select(F.col("_k1").alias("__k1"), F.col("_k2").alias("__k2"), F.col("cands").alias("__c")),
-                       ["__k1", "__k2"], "left")
+                       ["__k1", "__k2"], "left").withColumn("__w", item_words(F.col("text")))
     true = F.filter(F.coalesce("__c", F.array().cast("array<struct<start:int,win:array<string>,items:array<string>>>")),
                     lambda c: F.slice("__w", c["start"], F.size(c["win"])) == c["win"])
     checked = joined.withColumn("__hits", true)
