@@ -58,7 +58,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as piece ids, with the text that they decode to."""
     table = unigram.load_pieces(PIECE_MODEL)
-    coded = pieces.decode(pieces.encode(docs, table), table, out="decoded")
+    coded = pieces.encode(docs, table, decoded="decoded")
     return coded.select("doc_id", "lang", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
                         (F.col("decoded") == F.replace("text", F.lit(unigram.SPACE), F.lit(" "))).alias("exact"))
 

@@ -27,6 +27,8 @@ from quarry.session import cut_lineage
 
 #: Bounds of the dictionary: chunks, and characters of one.
 DICT_ROWS, DICT_CHARS = 200_000, 64
+#: Rows whose ids a task holds at once.
+PART_ROWS = 500
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
@@ -93,35 +95,53 @@ def frequent_chunks(docs: DataFrame, text_col: str = "text", limit: int = DICT_R
     return counts.filter(F.col("n") >= least if least else F.lit(False)).select(F.col("token").alias("word"))
 
 
-def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "piece_ids", limit: int = DICT_ROWS) -> DataFrame:
+def raw_pieces(pieces: Pieces) -> dict[int, bytes]:
+    """Piece id -> the bytes that it decodes to."""
+    return ({i: p.replace(SPACE, " ").encode() for p, _, i in pieces.rows}
+            | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)})
+
+
+def text_of(raw: dict[int, bytes], ids: list[int]) -> str:
+    return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
+
+
+def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "piece_ids", limit: int = DICT_ROWS,
+           decoded: str | None = None) -> DataFrame:
     """``docs`` with ``out`` (array of int): the ids of the best segmentation of the whole text.
 
-    A null text has null ids and an empty one none; repeated rows each get
-    their row; a column named ``out`` is replaced; an empty table stays empty.
+    ``decoded`` names one more column with the text that those ids decode to
+    (see ``decode``), taken in the same pass.  A null text has null ids and an
+    empty one none; repeated rows each get their row; columns with the new
+    names are replaced; an empty table stays empty.
     """
     solved = solve_lattice(frequent_chunks(docs, text_col, limit), pieces).toArrow()
     known = {w: array("i", ids).tobytes() for w, ids in zip(solved["word"].to_pylist(), solved["ids"].to_pylist())}
     words = docs.sparkSession.sparkContext.broadcast(known)
-    src = docs.drop(out)
+    new = [out] + ([decoded] if decoded else [])
+    src = docs.drop(*new)
     at = src.columns.index(text_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, rest = words.value, PieceIds(pieces)
+        first, rest, raw = words.value, PieceIds(pieces), raw_pieces(pieces)
 
         def ids_of(chunk: str) -> bytes:
             return first.get(chunk) or rest[chunk]
 
         for b in it:
-            for from_row in range(0, b.num_rows, 500):
-                part = b.slice(from_row, 500)
+            for from_row in range(0, b.num_rows, PART_ROWS):
+                part = b.slice(from_row, PART_ROWS)
                 texts = part.column(at).to_pylist()
                 packed = [b"".join(map(ids_of, chunks(t or ""))) for t in texts]
                 ends = np.cumsum([0] + [len(p) // 4 for p in packed])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)),
-                                               mask=pa.array([t is None for t in texts]))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, out])
+                cols = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)),
+                                                 mask=pa.array([t is None for t in texts]))]
+                if decoded:
+                    back = [None if t is None else text_of(raw, memoryview(p).cast("i")) for t, p in zip(texts, packed)]
+                    cols.append(pa.array(back, pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *cols], names=[*part.schema.names, *new])
 
-    return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType()))] + [T.StructField(c, T.StringType()) for c in new[1:]]
+    return src.mapInArrow(run, T.StructType([*src.schema.fields, *fields]))
 
 
 def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "piece_ids", out: str = "decoded") -> DataFrame:
@@ -134,13 +154,11 @@ def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "piece_ids", out: str
     at = src.columns.index(ids_col)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = pieces
-        raw = {i: piece.replace(SPACE, " ").encode() for piece, _, i in p.rows}
-        raw |= {i: bytes([b]) for b, i in enumerate(p.byte_ids)}
-        get = raw.__getitem__
+        raw = raw_pieces(pieces)
         for b in it:
-            texts = [None if ids is None else b"".join(map(get, ids)).decode("utf-8", "replace")[1:]
-                     for ids in (x.as_py() for x in b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out])
+            for from_row in range(0, b.num_rows, PART_ROWS):
+                part = b.slice(from_row, PART_ROWS)
+                texts = [None if ids is None else text_of(raw, ids) for ids in (x.as_py() for x in part.column(at))]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, out])
 
     return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField(out, T.StringType())]))

@@ -74,7 +74,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's piece ids, and whether they decode to its text."""
     table = unigram.load_pieces(PIECE_MODEL)
-    coded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), table), table)
+    coded = pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), table, decoded="decoded")
     return coded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
                         (F.col("decoded") == F.replace("text", F.lit(unigram.SPACE), F.lit(" "))).alias("exact"))
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 SPACE, UNK_PENALTY = "▁", 10.0
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Chunks that a task keeps solved.
-CACHE_ROWS = 400_000
+CACHE_ROWS = 200_000
 
 
 @dataclass(frozen=True)

@@ -225,7 +225,8 @@ def test_language(spark, docs, none):
 
 def test_pieces(docs, none):
     table = unigram.load_pieces(PIECE_MODEL)
-    coded = pieces.decode(pieces.encode(docs, table, limit=50), table)
+    coded = pieces.decode(pieces.encode(docs, table, limit=50, decoded="at_once"), table)
+    assert coded.filter(~F.col("at_once").eqNullSafe(F.col("decoded"))).count() == 0
     rows = coded.select("doc_id", "text", "piece_ids", "decoded").collect()
     assert len(rows) == len(ROWS)
     lattice = pieces.encode(docs, table, limit=100_000).select("doc_id", F.md5(F.array_join("piece_ids", ","))).collect()
