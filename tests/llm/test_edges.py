@@ -185,6 +185,24 @@ def test_secrets(spark, none):
     assert secrets.identifier_dictionary(none) == []
 
 
+def test_secret_in_many_copies_stays_novel(spark):
+    """A key in a third of all rows, in exact and in edited copies, does not enter the dictionary; common words stay in it."""
+    key, parts = "q8Zr1LxT0vNw7YpKd3HsUj5EaWc2MbQf", "hT5k-Wz3q-Lr8v-Xn2c"
+    rows = [(i, f"bearer {key} and more") for i in range(200)] + [(200 + i, f"bearer {parts} for edit{i} now") for i in range(100)]
+    rows += [(1000 + i, f"{prose(20, i)} connection handler connection-handler") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    known = secrets.identifier_dictionary(docs)
+    assert key not in known and not {"Wz3q", "Lr8v", "Xn2c"} & set(known) and {"connection", "handler"} <= set(known)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(docs, known).collect()}
+    assert all(got[i] == [("novel", 7, 7 + len(key))] for i in range(200))
+    assert all(got[i] == [("novel", 7, 7 + len(parts))] for i in range(200, 300))
+
+
+def test_identifiers_count_once_for_each_text(spark):
+    docs = spark.createDataFrame([(i, "copied words") for i in range(50)] + [(90, "other one here"), (91, "other two here"), (92, None)], "doc_id long, text string")
+    assert secrets.identifier_dictionary(docs, words=2) == ["other", "here"]
+
+
 def test_pii(spark, none):
     rows = [(i, f"Zebulon wrote to zeb@corp.example from {prose(12, i)}") for i in range(6)] + [
         (10, None), (11, ""), (12, "plain words alone"), (13, "a@b@c.de and 1.2.3.4.5 and 1.2.3.999"), (14, "4111 1111 1111 1111 or +1 (988) 555-2485"),
