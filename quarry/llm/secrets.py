@@ -34,8 +34,9 @@ KINDS = ("assign", "access", "hex", "novel")
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,}")
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|api[_-]?key|auth|credential|bearer|private|signature|access[_-]?key", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: Characters between the sensitive word and a candidate, and of code on either side that prime the frame.
+LEAST_CANDIDATE = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_CANDIDATE},}}")
+#: Characters between the sensitive word and the start of a candidate, and of code on either side that prime the frame.
 NEAR, AROUND = 40, 400
 #: Bytes that a candidate must add, for each of its characters.
 LEAST_RATIO = 0.5
@@ -79,9 +80,10 @@ def candidates(text: str, low: str) -> Iterator[tuple[int, int]]:
     done = 0
     for word in SENSITIVE.finditer(text):
         at = max(word.end(), done)
-        for m in CANDIDATE.finditer(text, at, min(len(text), word.end() + NEAR)):
+        limit = word.end() + NEAR + LEAST_CANDIDATE  # the least of a candidate that starts at the last place in reach
+        for m in CANDIDATE.finditer(text, at, min(len(text), limit)):
             start, end = m.start(), m.end()
-            if end == word.end() + NEAR:  # the window cut it; take it whole
+            if end == limit:  # the window cut it; take it whole
                 end = CANDIDATE.match(text, start).end()
             done = max(done, end)
             yield start, end

@@ -198,6 +198,16 @@ def test_secret_in_many_copies_stays_novel(spark):
     assert all(got[i] == [("novel", 7, 7 + len(parts))] for i in range(200, 300))
 
 
+def test_secret_in_reach_of_the_word():
+    """A candidate may start up to NEAR characters after the sensitive word, whatever its length."""
+    key, novelty = "q8Zr1LxT0vNw7YpKd3HsUj5EaWc2MbQf", secrets.Novelty(["alpha"])
+    for gap in range(1, 60):
+        text = "secret" + " " * gap + key + " and more"
+        want = [("novel", 6 + gap, 6 + gap + len(key))] if gap <= secrets.NEAR else []
+        assert secrets.novel_spans(text, text, [], novelty) == want, gap
+    assert list(secrets.candidates("secret" + " " * 40 + key[:16], "secret")) == [(46, 62)]
+
+
 def test_identifiers_count_once_for_each_text(spark):
     docs = spark.createDataFrame([(i, "copied words") for i in range(50)] + [(90, "other one here"), (91, "other two here"), (92, None)], "doc_id long, text string")
     assert secrets.identifier_dictionary(docs, words=2) == ["other", "here"]
