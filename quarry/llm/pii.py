@@ -3,7 +3,8 @@
 A protected entity is the value of a pattern match.  Terms within a few words
 of its mentions co-occur with it.  Over the whole corpus, a term t discloses
 an entity e as far as P(e | t) = (occurrences of t at mentions of e) /
-(occurrences of t anywhere); it does so by log2 P(e | t) / P(e) bits.  Terms
+(occurrences of t anywhere); it does so by log2 P(e | t) / P(e) bits, of the
+-log2 P(e) that there are to reveal.  Terms
 that reach the thresholds are spans of kind ``term`` at that entity's
 mentions, to be generalised like the matches themselves.  Documents without a
 match have no spans.
@@ -35,8 +36,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 TERM = re.compile(r"[^\W\d_]{3,}")
 #: Terms looked at on either side of a mention, and the characters searched for them.
 NEAR, NEAR_CHARS = 6, 120
-#: Thresholds: P(e | t), bits over P(e), and mentions of e beside t.
-LEAST_GIVEN, LEAST_BITS, LEAST_MENTIONS = 0.5, 4.0, 3
+#: Thresholds: P(e | t), bits over P(e) or the share of the -log2 P(e) bits that there are, if that is less, and mentions of e beside t.
+LEAST_GIVEN, LEAST_BITS, LEAST_SHARE, LEAST_MENTIONS = 0.5, 4.0, 0.75, 3
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -144,9 +145,11 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # P(e): mentions of e among all words beside mentions
     entities = beside.groupBy("entity").agg(F.count("*").alias("of_entity"))
     of_all = beside.count()
+    revealed = F.log2(F.col("given") * F.lit(of_all) / F.col("of_entity"))
+    enough = F.least(F.lit(LEAST_BITS), F.lit(LEAST_SHARE) * F.log2(F.lit(of_all) / F.col("of_entity")))
     strong = (pairs.join(total.withColumnRenamed("token", "term"), "term").join(entities, "entity")
               .withColumn("given", F.least(F.col("both") / F.col("n"), F.lit(1.0)))
-              .filter((F.col("given") >= LEAST_GIVEN) & (F.log2(F.col("given") * F.lit(of_all) / F.col("of_entity")) >= LEAST_BITS))
+              .filter((F.col("given") >= LEAST_GIVEN) & (revealed >= enough))
               .select("entity", "term"))
     strong = cut_lineage(strong, "disclosing")
     terms = (beside.join(strong, ["entity", "term"]).groupBy(*KEY)

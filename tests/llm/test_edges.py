@@ -237,6 +237,18 @@ def test_pii(spark, none):
     assert pii.find_pii(none).count() == 0 and pii.sanitise(none).count() == 0
 
 
+def test_pii_terms_of_a_hot_entity(spark):
+    """A term that stands only beside an entity discloses it, however many of the mentions are its own."""
+    hot = [(i, f"Zebulon wrote to zeb@corp.example from {prose(12, i)}") for i in range(100)]
+    few = hot + [(1000 + i, f"{prose(9, i)} user{i % 5}@host.example {prose(9, i + 500)}") for i in range(200)]
+    for rows in (few, hot[:5]):  # a third of the mentions; all of them
+        got = {r.doc_id: [tuple(s) for s in r.terms] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert all(("term", 0, 7) in got[i] for i, _ in rows if i < 100)
+    common = [(2000 + i, f"plain letters that Zebulon or others wrote to nobody {prose(12, i)}") for i in range(100)]
+    got = pii.find_pii(spark.createDataFrame(few + common, "doc_id long, text string")).collect()
+    assert not any(tuple(s) == ("term", 0, 7) for r in got for s in r.terms)  # half of Zebulon's places say too little of a third
+
+
 def test_language(spark, docs, none):
     rows = [(i, "the cat and the dog went out", "en") for i in range(30)] + [(100 + i, "der Hund und die Katze gehen aus", "de") for i in range(30)]
     model = language.train(spark.createDataFrame(rows + [(200, None, "fr"), (201, "x", None)], "doc_id long, text string, lang string"))
