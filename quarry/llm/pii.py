@@ -5,9 +5,9 @@ of its mentions co-occur with it.  Over the whole corpus, a term t discloses
 an entity e as far as P(e | t) = (occurrences of t at mentions of e) /
 (occurrences of t anywhere); it does so by log2 P(e | t) / P(e) bits, of the
 -log2 P(e) that there are to reveal.  Terms
-that reach the thresholds are spans of kind ``term`` at that entity's
-mentions, to be generalised like the matches themselves.  Documents without a
-match have no spans.
+that reach the thresholds are spans of kind ``term`` wherever they stand in a
+document that mentions that entity, to be generalised like the matches
+themselves.  Documents without a match have no spans.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ TERM = re.compile(r"[^\W\d_]{3,}")
 NEAR, NEAR_CHARS = 6, 120
 #: Thresholds: P(e | t), bits over P(e) or the share of the -log2 P(e) bits that there are, if that is less, and mentions of e beside t.
 LEAST_GIVEN, LEAST_BITS, LEAST_SHARE, LEAST_MENTIONS = 0.5, 4.0, 0.75, 3
+#: Disclosing pairs that a task holds while it reads the texts; more of them take further passes.
+PAIRS_AT_ONCE = 300_000
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -82,7 +84,7 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """For each match its entity and the terms beside it, none of which lie in a match."""
     out = []
     inside = lambda s, e: any(a < e and s < b for _, a, b in spans if a < e + 1 and b > s - 1)
-    for kind, start, end in spans:
+    for (kind, start, end), entity in zip(spans, entities_of(text, spans)):
         low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
         # words that the search limits cut are left out
         left = [m for m in TERM.finditer(text, low, start) if m.start() > low or not low or not text[low - 1].isalpha()][-NEAR:]
@@ -94,7 +96,55 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
             if len(right) == NEAR:
                 break
         terms = [{"term": m[0].lower(), "start": m.start(), "end": m.end()} for m in left + right if not inside(*m.span())]
-        out.append({"entity": f"{kind}:{text[start:end].lower()}", "terms": terms})
+        out.append({"entity": entity, "terms": terms})
+    return out
+
+
+def entities_of(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
+    return [f"{kind}:{text[start:end].lower()}" for kind, start, end in spans]
+
+
+def term_spans(text: str, spans: list[tuple[str, int, int]], discloses: dict[str, set[str]], known: set[str]) -> list[tuple[int, int]]:
+    """Where terms that disclose one of the text's entities stand outside the matches; ``known`` has all entities of ``discloses``."""
+    entities = known.intersection(entities_of(text, spans))
+    if not entities:
+        return []
+    out, at = [], 0
+    for start, end in [*sorted(s[1:] for s in spans), (len(text), len(text))]:
+        out += [m.span() for m in TERM.finditer(text, at, max(at, start)) if not entities.isdisjoint(discloses.get(m[0].lower(), ()))]
+        at = max(at, end)
+    return out
+
+
+def find_terms(docs: DataFrame, strong: DataFrame, text_col: str = "text") -> DataFrame:
+    """``_k1 _k2, at``: the places of disclosing terms in the texts that mention their entity, from ``strong`` (entity, term).
+
+    The pairs go to the tasks that read the texts, ``PAIRS_AT_ONCE`` or so in
+    each pass, so that no text is shuffled; a text has a row for each pass that finds some.
+    """
+    src = docs.select(*doc_key(text_col=text_col), F.col(text_col).alias("__text"))
+    place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def one_pass(pairs: list) -> DataFrame:
+        discloses: dict[str, set[str]] = {}
+        for r in pairs:
+            discloses.setdefault(r["term"], set()).add(r["entity"])
+        known = {r["entity"] for r in pairs}
+
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in it:
+                found = [term_spans(t, base_spans(t), discloses, known) if t else [] for t in b.column(2).to_pylist()]
+                hit = pa.array([bool(f) for f in found])
+                at = pa.array([[dict(zip(("start", "end"), s)) for s in f] for f in found if f], place)
+                yield pa.RecordBatch.from_arrays([*[c.filter(hit) for c in b.columns[:2]], at], names=[*KEY, "at"])
+
+        return src.mapInArrow(run, "_k1 long, _k2 long, at array<struct<start:int,end:int>>")
+
+    passes = max(1, -(-strong.count() // PAIRS_AT_ONCE))
+    out = None
+    for i in range(passes):
+        found = one_pass(strong.filter(F.pmod(F.xxhash64("entity", "term"), F.lit(passes)) == i).collect())
+        out = found if out is None else out.unionByName(found)
     return out
 
 
@@ -135,9 +185,7 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names are replaced; an empty table stays empty.
     """
     found = cut_lineage(scan(docs, text_col), "mentions")
-    beside = found.select(*KEY, F.explode("mentions").alias("m")).select(*KEY, "m.entity", F.explode("m.terms").alias("t"))
-    beside = beside.select(*KEY, "entity", "t.term", F.struct(F.lit("term").alias("kind"), F.col("t.start").alias("start"),
-                                                              F.col("t.end").alias("end")).alias("span"))
+    beside = found.select(F.explode("mentions").alias("m")).select("m.entity", F.explode("m.terms.term").alias("term"))
     pairs = cut_lineage(beside.groupBy("entity", "term").agg(F.count("*").alias("both"))
                         .filter(F.col("both") >= LEAST_MENTIONS), "pairs")
     wanted = pairs.select(F.col("term").alias("token")).distinct()
@@ -152,8 +200,8 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
               .filter((F.col("given") >= LEAST_GIVEN) & (revealed >= enough))
               .select("entity", "term"))
     strong = cut_lineage(strong, "disclosing")
-    terms = (beside.join(strong, ["entity", "term"]).groupBy(*KEY)
-             .agg(F.sort_array(F.collect_set(F.struct("span.start", "span.end"))).alias("__at")))
+    terms = (find_terms(docs, strong, text_col).groupBy(*KEY)
+             .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("at")))).alias("__at")))
     spans = F.transform(F.coalesce("__at", F.array().cast("array<struct<start:int,end:int>>")),
                         lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return found.drop("mentions", "terms").join(terms, KEY, "left").withColumn("terms", spans).drop("__at")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -249,6 +250,25 @@ def test_pii_terms_of_a_hot_entity(spark):
     assert not any(tuple(s) == ("term", 0, 7) for r in got for s in r.terms)  # half of Zebulon's places say too little of a third
 
 
+def test_pii_terms_in_the_whole_text_of_a_document_with_a_mention(spark, monkeypatch):
+    """A disclosing term is found far from the mention, also where this document has none beside it, and in any number of passes."""
+    rows = [(i, f"Zebulon Quimby wrote to zeb@corp.example from {prose(12, i)}") for i in range(20)]
+    far = [(100, f"ZEBULON {prose(200, 3)} Zebulon Quimby {prose(200, 4)} zeb@corp.example {prose(200, 5)} Quimby end"),
+           (101, f"Zebulon {prose(200, 6)} other@corp.example")]
+    rows += far * 2 + [(1000 + i, f"{prose(9, i)} user{i}@host{i}.example {prose(9, i + 500)}") for i in range(60)]
+    rows += [(2000 + i, prose(600, 700 + i)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(m.span() for w in ("zebulon", "quimby") for m in re.finditer(w, far[0][1], re.I))
+    assert len(want) == 4
+    for at_once in (pii.PAIRS_AT_ONCE, 1):
+        monkeypatch.setattr(pii, "PAIRS_AT_ONCE", at_once)
+        got = [(r.doc_id, [tuple(s)[1:] for s in r.terms]) for r in pii.find_pii(docs).collect()]
+        assert len(got) == len(rows)
+        assert [t for i, t in got if i == 100] == [want] * 2 and [t for i, t in got if i == 101] == [[]] * 2
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "zebulon" not in clean[100].lower() and "quimby" not in clean[100].lower()
+
+
 def test_language(spark, docs, none):
     rows = [(i, "the cat and the dog went out", "en") for i in range(30)] + [(100 + i, "der Hund und die Katze gehen aus", "de") for i in range(30)]
     model = language.train(spark.createDataFrame(rows + [(200, None, "fr"), (201, "x", None)], "doc_id long, text string, lang string"))
