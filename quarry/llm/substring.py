@@ -294,9 +294,9 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     seen = cut_lineage(_repeated_anchors(_anchors(texts.select("_k", "text"), buckets, window, gram)), "anchors")
     total = seen.filter("k is null and gram is null").agg(F.sum("n")).first()[0] or 0
     hot = [r["gram"] for r in seen.filter(F.col("gram").isNotNull() & (F.col("n") * HOT_SHARE > total)).select("gram").collect()]
-    places = seen.filter("k is not null").groupBy(F.col("k").alias("_k")).agg(F.collect_list("place").alias("places"))
+    places = seen.filter("k is not null").groupBy(F.col("k").alias("_k")).agg(F.collect_set("place").alias("places"))
     found = _repeats(_windows(texts.join(places, "_k").select("_k", "_t", "text", "places"), hot, buckets, window, gram), window)
-    return found.groupBy("_k", "_t").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return found.groupBy("_k", "_t").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:

@@ -84,6 +84,20 @@ def test_substring_hot_gram_takes_longer_prefixes(docs, monkeypatch):
     assert counted(substring.remove_repeats(docs).select("doc_id", "n_removed").collect()) == want
 
 
+def test_substring_repeated_rows_hold_each_place_once(spark, monkeypatch):
+    """Rows that repeat id and text share one list of places and one of spans, as long as that of a single row."""
+    rows = [(None, PASSAGE)] * 30 + [(1, "a " + PASSAGE), (2, prose(50, 8))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, seen = substring._windows, []
+    monkeypatch.setattr(substring, "_windows", lambda texts, *rest: seen.append(texts) or whole(texts, *rest))
+    spans = [r.spans for r in substring.find_repeats(docs).collect()]
+    places = [r.places for r in seen[0].select("places").collect()]
+    assert len(places) >= 31 and all(len(p) == len(set(p)) for p in places)
+    assert spans and all(len(s) == len(set(s)) for s in spans)
+    got = counted((r.doc_id, r.n_removed) for r in substring.remove_repeats(docs).collect())
+    assert got == counted([(None, 60)] * 30 + [(1, 60), (2, 0)])
+
+
 def test_ngram_join(docs, none):
     sets = []
     for _, t in ROWS:
