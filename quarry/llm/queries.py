@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, embeddings, language, ngram_join, pieces, pii, secrets, substring, token_count, unigram
+from quarry.llm import (byte_bpe, chat, decontaminate, embeddings, language, ngram_join, pieces, periods, pii, secrets, substring, token_count,
+                        unigram, whitening)
 from quarry.llm.common import read
 from quarry.llm.spans import count_of, digest, joined
 
 #: A SentencePiece model with byte fallback; its piece table is the vocabulary.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The public vocabulary of byte-level BPE.
+BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +101,49 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op2_embeddings, op3_secrets, op4_decontaminate, op5_token_count, op6_pii, op7_ngram_join, op8_language, op9_pieces, op10_chat)}
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's byte-level BPE ids, and the bytes that they decode to."""
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ranks = byte_bpe.load_ranks(public_tokenizers.path(BPE_RANKS))
+    coded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded")
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                        digest(F.array_join(F.col("token_ids").cast("array<string>"), " ")).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def tail_of(doc_id: object, n: int) -> np.ndarray | None:
+    """Word numbers to read in a document whose tail is to repeat: a tenth of all, by a hash of the id."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    g, at = h // 10, np.arange(n)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    at[a:] = a + (at[a:] - a) % p
+    return at
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some with a repeating tail."""
+    found = periods.find_runs(read(spark, sf_dir, "documents").select("doc_id", "text"), id_col="doc_id", reorder=tail_of)
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                  r["period"].cast("string"), F.lit("\n")))
+    best = F.col("best")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+                        best["period"].alias("period"), F.expr("(1000L * best.length) div best.period").alias("exponent_milli"),
+                        digest(F.array_join(line, "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the eight leading components of all of them."""
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("vec_id", F.col("vec_id").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring, op2_embeddings, op3_secrets, op4_decontaminate, op5_token_count, op6_pii, op7_ngram_join,
+                                   op8_language, op9_pieces, op10_chat, op11_byte_bpe, op12_periods, op13_whitening)}
 
 ORACLE = {
     "op1_substring": r"""
