@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Code points whose words a task holds at once, beyond which a text is cut where words cannot cross.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 500_000
 #: Solved words that a task keeps.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
+#: Symbols above which a replay holds its lists as packed arrays.
+PACKED = 8_000_000
 #: A single space between two characters that are none always begins a word of the pattern.
 WORD_START = r"(?<=\S) (?=\S)"
-_SHIFT = 24
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -47,8 +48,15 @@ class Replay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.into = {a << _SHIFT | b: r for token, r in ranks.items() for cut in range(1, len(token))
-                     if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None}
+        # by left token, what it merges into with each right one; the last entry, -1, is no token
+        pairs: dict[int, dict[int, int]] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    pairs.setdefault(a, {})[b] = rank
+        none: dict[int, int] = {}
+        self.into = [pairs.get(a, none) for a in range(max(ranks.values()) + 1)] + [none]
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.of_pair = np.full((257, 257), -1, np.int64)  # 256 stands for the end of a word
         for a in range(256):
@@ -71,54 +79,53 @@ class Replay:
         inside[0] = inside[ends] = False
         symbols[inside] = np.frombuffer(b"".join(words), np.uint8)
         tokens = np.append(self.of_byte, np.int32(-1))[symbols]
-        tok, nxt, prv = array("i", tokens.tobytes()), array("i", range(1, n + 1)), array("i", range(-1, n - 1))
-        index = self._first_index(symbols)
+        held = list if n <= PACKED else lambda x: array("i", x)
+        tok, nxt, prv = held(tokens.tolist()), held(range(1, n + 1)), held(range(-1, n - 1))
+        index, into = self._first_index(symbols), self.into
         heap = list(index)
         heapify(heap)
-        into = self.into.get
         while heap:
             rank = heappop(heap)
             places = index.pop(rank, None)
             if places is None:
                 continue
-            places = sorted(places)
+            places.sort()
             for k, i in enumerate(places):
-                a = tok[i]
-                if a < 0:
-                    continue
                 j = nxt[i]
-                if into(a << _SHIFT | tok[j]) != rank:
+                if into[tok[i]].get(tok[j]) != rank:
                     continue
                 after, before = nxt[j], prv[i]
-                tok[i], tok[j] = rank, -2
-                nxt[i], prv[after] = after, i
-                lower = False
-                for at, key in ((before, tok[before] << _SHIFT | rank), (i, rank << _SHIFT | tok[after])):
-                    made = into(key)
-                    if made is not None:
-                        if made in index:
-                            index[made].append(at)
-                        else:
-                            index[made] = array("i", (at,))
-                            heappush(heap, made)
-                        lower |= made < rank
-                if lower:  # a merge of lower rank comes first; the other places of this one wait
-                    index[rank] = array("i", places[k + 1:])
+                tok[i], tok[j], nxt[i], prv[after] = rank, -1, after, i
+                left, right = into[tok[before]].get(rank), into[rank].get(tok[after])
+                if left is not None:
+                    if left in index:
+                        index[left].append(before)
+                    else:
+                        index[left] = [before]
+                        heappush(heap, left)
+                if right is not None:
+                    if right in index:
+                        index[right].append(i)
+                    else:
+                        index[right] = [i]
+                        heappush(heap, right)
+                if left is not None and left < rank or right is not None and right < rank:
+                    # a merge of lower rank comes first; the other places of this one wait
+                    index[rank] = places[k + 1:]
                     heappush(heap, rank)
                     break
-        left = np.frombuffer(tok, np.int32)
-        alive = left >= 0
+        final = np.array(tok, np.int32)
+        alive = final >= 0
         upto = np.cumsum(alive)[ends] * 4
-        packed = left[alive].tobytes()
+        packed = final[alive].tobytes()
         return [packed[s:e] for s, e in zip([0, *upto[:-1].tolist()], upto.tolist())]
 
-    def _first_index(self, symbols: np.ndarray) -> dict[int, array]:
+    def _first_index(self, symbols: np.ndarray) -> dict[int, list[int]]:
         made = self.of_pair[symbols[:-1], symbols[1:]]
         places = np.nonzero(made >= 0)[0]
         order = np.argsort(made[places], kind="stable")
         ranks, first = np.unique(made[places][order], return_index=True)
-        parts = np.split(places[order].astype(np.int32), first[1:])
-        return {int(r): array("i", p.tobytes()) for r, p in zip(ranks, parts)} if len(ranks) else {}
+        return {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(places[order], first[1:]))}
 
 
 class Encoder:
