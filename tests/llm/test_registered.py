@@ -43,7 +43,7 @@ def test_query_matches_sql(spark, con, key):
 
 def test_each_operator_is_registered_once():
     names = sorted(k for k in E.queries() if re.match(r"op\d+_", k))
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
