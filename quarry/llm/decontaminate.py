@@ -73,12 +73,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     taken = {"n_words", "n_hit", "leaked_items", *KEY}
     base = docs.select("*", *[c.alias(a) for c, a in zip(doc_key(), ("__k1", "__k2"))]).drop(*taken)
     joined = base.join(found.select(F.col("_k1").alias("__k1"), F.col("_k2").alias("__k2"), F.col("cands").alias("__c")),
-                       ["__k1", "__k2"], "left").withColumn("__w", item_words(F.col("text")))
-    true = F.filter(F.coalesce("__c", F.array().cast("array<struct<start:int,win:array<string>,items:array<string>>>")),
-                    lambda c: F.slice("__w", c["start"], F.size(c["win"])) == c["win"])
-    checked = joined.withColumn("__hits", true)
+                       ["__k1", "__k2"], "left")
+    cands = F.coalesce("__c", F.array().cast("array<struct<start:int,win:array<string>,items:array<string>>>"))
+    # the words are the variable of an outer lambda, so that a text is split once and not once for each candidate
+    seen = F.transform(F.array(item_words(F.col("text"))), lambda w: F.struct(
+        F.size(w).cast("long").alias("n"), F.filter(cands, lambda c: F.slice(w, c["start"], F.size(c["win"])) == c["win"]).alias("hits")))[0]
+    checked = joined.withColumn("__s", seen).withColumns({"__n": F.col("__s.n"), "__hits": F.col("__s.hits")})
     hit = F.array_distinct(F.flatten(F.transform(
         "__hits", lambda c: F.sequence(c["start"], c["start"] + F.size(c["win"]) - 1))))
     leaked = F.sort_array(F.array_distinct(F.flatten(F.transform("__hits", lambda c: c["items"]))))
-    return checked.select(*[c for c in docs.columns if c not in taken], F.size("__w").cast("long").alias("n_words"),
+    return checked.select(*[c for c in docs.columns if c not in taken], F.col("__n").alias("n_words"),
                           F.size(hit).cast("long").alias("n_hit"), leaked.alias("leaked_items"))
