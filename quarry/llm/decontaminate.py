@@ -52,10 +52,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     wins = cut_lineage(item_windows(items, size), "windows")
     vocab = wins.select(F.explode("win").alias("word")).distinct()
 
-    # rarity: occurrences in the corpus of each benchmark word (words that never occur drop out)
-    freq = (words.select(F.explode("w").alias("word")).join(small(vocab), "word")
-            .groupBy("word").agg(F.count("*").alias("n")))
-    placed = wins.select("win", "items", F.posexplode("win").alias("at", "word")).join(freq, "word", "left")
+    # rarity: occurrences in the corpus of each benchmark word (words that never occur drop out);
+    # outer explodes, as Spark would split a text once more to leave out empty ones; the joins drop their null
+    freq = cut_lineage(words.select(F.explode_outer("w").alias("word")).join(small(vocab), "word")
+                       .groupBy("word").agg(F.count("*").alias("n")), "rarity")
+    placed = wins.select("win", "items", F.posexplode("win").alias("at", "word")).join(small(freq), "word", "left")
     prefix = (placed.groupBy("win").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "word")).alias("p"),
                                         F.first("items").alias("items"))
               .filter("p.n > 0")
@@ -63,7 +64,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     prefix = cut_lineage(prefix, "prefix")
 
     # necessary prefix tokens, then the positional and length bounds
-    found = (words.select(*KEY, F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
+    found = (words.select(*KEY, F.size("w").alias("n"), F.posexplode_outer("w").alias("pos", "word"))
              .join(small(prefix), "word")
              .filter((F.col("pos") >= F.col("at")) & (F.col("pos") - F.col("at") + F.col("len") <= F.col("n")))
              .select(*KEY, F.struct((F.col("pos") - F.col("at") + 1).alias("start"), "win", "items").alias("c"))

@@ -153,6 +153,18 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.find_leaks(none, items).count() == 0
 
 
+@pytest.mark.parametrize("caller", ["operator", "pipeline"])
+def test_decontaminate_splits_a_text_once_and_not_for_each_candidate(spark, caller):
+    """Whatever columns a caller keeps, the candidates' lambda holds no text, and no pass splits a text twice."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = (corpus_pipeline.without_leaks(spark, docs, "/root/testdata/sf0.001") if caller == "pipeline" else
+             decontaminate.find_leaks(docs, spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2  # candidates, verification
+    inner = re.findall(r"lambdafunction\(\(slice\((.{12})", plan)
+    assert inner and all(x.startswith("lambda") for x in inner)
+
+
 def test_embeddings(spark):
     v = [1.0, 2.0, 0.0]
     rows = [(1, v), (1, v), (2, [2.0, 4.0, 0.0]), (3, None), (4, [0.0, 0.0, 0.0]), (5, [1.0, None, 0.0]), (6, [float("nan"), 1.0, 0.0]),
