@@ -71,19 +71,54 @@ def hot_key_chunks(df: DataFrame, order: EventOrder, threshold: int,
     if largest is None:
         return None
     rows = join_null_safe(df.select(order.key, ts_us.alias("_t")), sizes, [order.key], "inner")
-    # the chunks of the largest key bound the quantiles of every key
-    parts = -(-int(largest) // threshold)
+    return _quantile_cuts(rows, order.key, int(largest), threshold)
+
+
+def _quantile_cuts(rows: DataFrame, key: str, largest: int, threshold: int) -> DataFrame:
+    """``key, _bounds``: ascending values at which the rows ``(key, _t, _n)`` of a key are cut into pieces
+    of about ``threshold`` rows; the pieces of the largest key bound the quantiles of every key."""
+    parts = -(-largest // threshold)
     probs = [i / parts for i in range(1, parts)]
-    cuts = rows.groupBy(order.key).agg(F.percentile_approx("_t", probs, max(10_000, 20 * parts)).alias("_q"),
-                                       F.max("_n").alias("_n"))
+    cuts = rows.groupBy(key).agg(F.percentile_approx("_t", probs, max(10_000, 20 * parts)).alias("_q"),
+                                 F.max("_n").alias("_n"))
     step = F.greatest(F.lit(1), F.floor(F.lit(largest) / F.col("_n"))).cast("int")
     kept = F.filter("_q", lambda x, i: (i + 1) % step == 0)
-    return cuts.select(order.key, F.array_distinct(kept).alias("_bounds"))
+    return cuts.select(key, F.array_distinct(kept).alias("_bounds"))
+
+
+def hot_row_cuts(rows: DataFrame, key: str, tile: str, offset: str, threshold: int) -> DataFrame | None:
+    """Table ``(key, _bounds)`` of the keys with more than ``threshold`` rows in one tile, or None.
+
+    ``_bounds`` cuts the key's offsets so that over all its tiles, and so in
+    each of them, a piece holds about ``threshold`` rows.
+    """
+    sizes = rows.groupBy(key, tile).agg(F.count(F.lit(1)).alias("_n")).groupBy(key).agg(F.max("_n").alias("_top"), F.sum("_n").alias("_n"))
+    sizes = sizes.where(F.col("_top") > F.lit(threshold)).drop("_top")
+    largest = sizes.agg(F.max("_n")).first()[0]
+    if largest is None:
+        return None
+    hot = join_null_safe(rows.select(key, F.col(offset).alias("_t")), sizes, [key], "inner")
+    return _quantile_cuts(hot, key, int(largest), threshold)
+
+
+def position_in(bounds: str | Column, t: Column) -> Column:
+    """Number of the ascending ``bounds`` at or before ``t``, by binary search; 0 without bounds."""
+    at = F.col(bounds) if isinstance(bounds, str) else bounds
+    n = F.size(at)
+    # the answer's binary digits, highest first: one is set if the bound that it would pass is at or before t
+    places = F.sequence(F.length(F.bin(n.cast("long"))) - 1, F.lit(0), F.lit(-1))
+    digits = F.transform(places, lambda i: F.pow(F.lit(2), i).cast("int"))
+
+    def step(found: Column, digit: Column) -> Column:
+        more = found + digit
+        return F.when((more <= n) & (F.get(at, more - 1) <= t), more).otherwise(found)
+
+    return F.when(n > 0, F.aggregate(digits, F.lit(0), step)).otherwise(F.lit(0))
 
 
 def chunk_of(t: Column) -> Column:
     """Chunk of a time: the number of ``_bounds`` at or before it."""
-    return F.coalesce(F.size(F.filter("_bounds", lambda b: b <= t)), F.lit(0)).cast("long")
+    return F.coalesce(position_in("_bounds", t), F.lit(0)).cast("long")
 
 
 def with_chunks(df: DataFrame, order: EventOrder, hot: DataFrame | None,

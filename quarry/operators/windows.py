@@ -11,14 +11,12 @@ event.  For hot keys (see ``keyed``) they are computed per time chunk and the
 state of earlier chunks is merged in from a carry table:
 counts and sums add, ``M2`` merges with Chan's formula, max takes the
 greater, the previous row is the previous chunk's last row and the last-k
-window continues into the previous chunks' tails.
+window continues into the previous chunks' last values (see ``lastk``).
 
-Interval features (``interval_counts``): events in the last 1 h / 24 h / 7 d
-(RANGE frames, current row and ties included).  Instead of re-aggregating a
-moving frame per row, each event also emits one *expiry* event per width at
-``ts + width``; a frame count is then a running sum of ``+1`` (arrivals)
-and ``-1`` (expiries strictly before ``ts``), an O(n log n) single window that
-is also additive across chunks.
+Interval features: events in the last 1 h / 24 h / 7 d (``interval_counts``,
+running sums of arrivals and expiries) and sums, means, deviations and
+extremes of their values (``interval_stats``, see ``frames``); RANGE frames,
+current row and ties included.
 
 ``prior_quantile_flag`` compares each value with the exact quantile of the
 key's earlier values by radix descent over value ranks (``orderstat``).
@@ -30,8 +28,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import epoch_micros
-from quarry.operators.keyed import (CHUNK, HOT, EventOrder, chunk_of, hot_key_chunks, hot_key_rows, join_null_safe,
-                                    with_chunks)
+from quarry.operators.frames import moving_stats
+from quarry.operators.keyed import CHUNK, HOT, EventOrder, hot_key_chunks, hot_key_rows, join_null_safe, with_chunks
+from quarry.operators.lastk import SHORT, add_long, direct_sum, has_long, lags, recent
 from quarry.operators.orderstat import prior_quantile
 
 UNB = Window.unboundedPreceding
@@ -73,15 +72,12 @@ def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
     if lat and lon:
         local["_prev_lat"] = F.lag(lat, 1).over(w)
         local["_prev_lon"] = F.lag(lon, 1).over(w)
-    tail_len = 0
     if k_col:
-        # the frame follows the largest k of the data
-        tail_len = max(1, int(df.agg(F.max(k_col)).first()[0] or 1))
-        local["_tail"] = F.collect_list(F.struct(v.alias("v"))).over(w.rowsBetween(1 - tail_len, 0))
+        local |= lags(v, w)
     loc = base.withColumns(local)
 
     carry = hot is not None
-    withc = _attach_carry(loc, order, value, lat, lon, k_col, tail_len) if carry else loc
+    withc = _attach_carry(loc, order, value, lat, lon, k_col) if carry else loc
 
     if carry:
         # merge (n, mean, M2) of earlier chunks with the in-chunk running
@@ -132,19 +128,20 @@ def sequence_features(df: DataFrame, order: EventOrder, value: str, *,
         out = out.withColumn(f"{p}dist_prev_km",
                              F.sqrt(dlat * dlat + dlon * dlon) * F.lit(KM_PER_DEGREE))
     if k_col:
-        tail = F.col("_tail")
-        if carry:  # the last rows of the chunk, after those of earlier chunks
-            tail = F.concat(F.coalesce("_ctail", F.array().cast("array<struct<v:double>>")), tail)
-        k = F.least(F.greatest(F.col(k_col).cast("int"), F.lit(1)), F.size(tail))
-        total = F.aggregate(F.slice(tail, -k, k), F.lit(0.0), lambda acc, x: acc + F.coalesce(x["v"].cast("double"), F.lit(0.0)))
-        out = out.withColumn(f"{p}last_k_sum", total)
+        name, number = f"{p}last_k_sum", f"{p}exp_count"
+        k = F.greatest(F.col(k_col).cast("long"), F.lit(1))
+        values = recent(v, F.col("_rows"), F.col("_ctail") if carry else None)
+        out = out.withColumn(name, direct_sum(values, k))
+        if has_long(df, k_col):
+            own = direct_sum(values, (F.col(number) - 1) % SHORT + 1)
+            out = out.withColumn("_own", own).select(*in_cols, "_own", *[c for c in out.columns if c.startswith(p) and c not in in_cols and not c.startswith("_")])
+            out = add_long(out, order.key, number, value, k, F.col("_own"), name)
     keep = in_cols + [c for c in out.columns if c.startswith(p) and c not in in_cols
                       and not c.startswith("_")]
     return out.select(*keep)
 
 
-def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col,
-                  tail_len: int) -> DataFrame:
+def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col) -> DataFrame:
     """Join each hot chunk's carry (state of all earlier chunks of its key).
 
     The summary has one row per hot chunk (the chunk's last row); the carry is
@@ -154,7 +151,9 @@ def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col
     if lat and lon:
         last_struct["_lat"] = F.col(lat)
         last_struct["_lon"] = F.col(lon)
-    tail = F.transform("_tail", lambda x: F.struct(x["v"].cast("double").alias("v"))) if k_col else F.lit(None).cast("array<struct<v:double>>")
+    # the last values of a chunk, latest first
+    tail = (F.slice(F.array(*recent(F.col(value), F.col("_rows"), None)), F.lit(1), F.least(F.col("_rows"), F.lit(SHORT))) if k_col
+            else F.lit(None).cast("array<double>"))
     summary_row = F.struct(
         F.col("_n").alias("n"), F.col("_rows").alias("rows"), F.col("_mean").alias("mean"),
         (F.col("_var") * F.col("_n")).alias("m2"), F.col("_max").alias("mx"),
@@ -177,7 +176,7 @@ def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col
         F.sum(F.coalesce(F.col("m2") + F.col("n") * F.col("_d") * F.col("_d"), F.lit(0.0))).over(before).alias("_cq"),
         F.max("mx").over(before).alias("_cmax"),
         F.lag("last", 1).over(pw).alias("_cprev"),
-        F.flatten(F.collect_list("tail").over(pw.rowsBetween(-max(1, tail_len), -1))).alias("_ctail"),
+        F.slice(F.flatten(F.reverse(F.collect_list("tail").over(pw.rowsBetween(-SHORT, -1)))), 1, SHORT).alias("_ctail"),
     )
     shift = F.try_divide(F.col("_cs"), F.col("_cn"))
     carry = carry.select(order.key, CHUNK, "_cn", "_crows", (F.col("_at") + shift).alias("_cmean"),
@@ -187,191 +186,42 @@ def _attach_carry(loc: DataFrame, order: EventOrder, value: str, lat, lon, k_col
 
 def interval_counts(df: DataFrame, order: EventOrder, widths: dict[str, int], *,
                     hot_threshold: int | None = None) -> DataFrame:
-    """Events of the same key in ``[ts - width, ts]`` for each named width (s)."""
-    specs = {name: ("count", secs) for name, secs in widths.items()}
-    return interval_stats(df, order, None, specs, hot_threshold=hot_threshold)
+    """Events of the same key in ``[ts - width, ts]`` for each named width (s).
 
-
-def interval_stats(df: DataFrame, order: EventOrder, value: str | None, specs: dict[str, tuple[str, int]], *,
-                   hot_threshold: int | None = None) -> DataFrame:
-    """Moving-frame count / sum / mean / std (population) over ``[ts - w, ts]``.
-
-    ``specs``: ``{out_name: (stat, width_seconds)}``.  Arrivals add
-    ``(1, v, v²)`` at ``ts``; each arrival also emits one expiry per distinct
-    width at ``ts + w`` that subtracts the same triple for that width.
-    Ordering by ``(time, kind)`` with a RANGE running sum includes ties on
-    ``ts`` and removes only expiries strictly before ``ts``.  Running sums
-    restart in every hot-key chunk and the carry of earlier chunks is the
-    frame content at the chunk start.  Values are taken around the mean of
-    their key and chunk, so that squares do not cancel; NaN and infinities are
-    counted apart and leave a frame when they expire.  NULL values are not
-    counted (as SQL aggregates skip them).
+    Each event also emits one expiry per distinct width at ``ts + width``; a
+    count is the running sum of ``+1`` (arrivals) and ``-1`` (expiries strictly
+    before ``ts``), in one shuffle for all widths; as integers the sums
+    are exact, and the carry of earlier hot-key chunks adds to them.
     """
     spark = df.sparkSession
-    threshold = hot_key_rows(spark, hot_threshold)
-    hot = hot_key_chunks(df, order, threshold)
-    in_cols = df.columns
-    wlist = sorted({int(secs) for st, secs in specs.values() if st not in ("max", "min")}) or [0]
+    hot = hot_key_chunks(df, order, hot_key_rows(spark, hot_threshold))
+    seconds = sorted({int(s) for s in widths.values()})
     ts_us = epoch_micros(order.ts)
-    v = F.col(value).cast("double") if value else None
-
-    arrivals = df.withColumns({"_time": ts_us, "_kind": F.lit(0), "_w": F.lit(-1)})
-    if value:
-        arrivals = arrivals.withColumn("_v", v)
-    expiries = None
-    for j, secs in enumerate(wlist):
-        e = df.select(order.key, (ts_us + F.lit(secs * 1_000_000)).alias("_time"), F.lit(1).alias("_kind"),
-                      F.lit(j).alias("_w"), *([v.alias("_v")] if value else []))
-        expiries = e if expiries is None else expiries.unionByName(e)
-    stream = arrivals.unionByName(expiries, allowMissingColumns=True)
+    stream = df.withColumns({"_time": ts_us, "_kind": F.lit(0), "_w": F.lit(-1)})
+    for j, secs in enumerate(seconds):
+        stream = stream.unionByName(df.select(order.key, (ts_us + F.lit(secs * 1_000_000)).alias("_time"), F.lit(1).alias("_kind"),
+                                              F.lit(j).alias("_w")), allowMissingColumns=True)
     stream = with_chunks(stream, order, hot, time_us=F.col("_time"))
-
-    def sign(j):
-        return F.when(F.col("_kind") == 0, F.lit(1)).when(F.col("_w") == j, F.lit(-1)).otherwise(F.lit(0))
-
-    contrib = {}
-    if value:
-        odd = F.isnan("_v") | (F.abs("_v") == F.lit(float("inf")))
-        finite = F.when(~odd, F.col("_v"))
-        centre = F.avg(F.when(F.col("_kind") == 0, finite)).over(Window.partitionBy(order.key, CHUNK))
-        stream = stream.withColumn("_ce", F.coalesce(centre, F.lit(0.0)))
-        away = finite - F.col("_ce")
-    for j in range(len(wlist)):
-        if value:
-            present = F.col("_v").isNotNull()
-            contrib[f"_c{j}"] = F.when(present, sign(j)).otherwise(F.lit(0)).cast("long")
-            contrib[f"_s{j}"] = F.coalesce(sign(j) * away, F.lit(0.0))
-            contrib[f"_q{j}"] = F.coalesce(sign(j) * away * away, F.lit(0.0))
-            for name, is_it in (("na", F.isnan("_v")), ("up", F.col("_v") == F.lit(float("inf"))), ("lo", F.col("_v") == F.lit(float("-inf")))):
-                contrib[f"_c{name}{j}"] = F.when(is_it, sign(j)).otherwise(F.lit(0)).cast("long")
-        else:
-            contrib[f"_c{j}"] = sign(j).cast("long")
-    stream = stream.withColumns(contrib)
-    names = list(contrib)
+    signs = [F.when(F.col("_kind") == 0, F.lit(1)).when(F.col("_w") == j, F.lit(-1)).otherwise(F.lit(0)).cast("long") for j in range(len(seconds))]
     w = Window.partitionBy(order.key, CHUNK).orderBy("_time", "_kind").rangeBetween(UNB, CUR)
-    running = stream.withColumns({f"_r{n}": F.sum(n).over(w) for n in names})
-    out = running.where(F.col("_kind") == 0)
+    out = stream.withColumns({f"_r{j}": F.sum(x).over(w) for j, x in enumerate(signs)}).where(F.col("_kind") == 0)
     if hot is not None:
-        summary = stream.where(F.col(HOT)).groupBy(order.key, CHUNK).agg(
-            *[F.sum(n).alias(f"_t{n}") for n in names], *([F.max("_ce").alias("_ce")] if value else []))
-        pw = Window.partitionBy(order.key).orderBy(CHUNK)
-        before = pw.rowsBetween(UNB, -1)
-        at = F.first("_ce").over(pw.rowsBetween(UNB, Window.unboundedFollowing))
-        if value:  # chunk totals around one mean of the key, then around each chunk's own
-            summary = summary.withColumn("_at", at).withColumn("_d", F.col("_ce") - F.col("_at"))
-        moved = {}
-        for n in names:
-            t = F.col(f"_t{n}")
-            if n[1] in "sq":
-                j = n[2:]
-                m = F.col(f"_t_c{j}") - F.col(f"_t_cna{j}") - F.col(f"_t_cup{j}") - F.col(f"_t_clo{j}")
-                t = t + m * F.col("_d") if n[1] == "s" else t + F.lit(2.0) * F.col("_d") * F.col(f"_t_s{j}") + m * F.col("_d") * F.col("_d")
-            moved[n] = t
-        carry = summary.select(order.key, CHUNK, *(["_d"] if value else []), *[F.sum(t).over(before).alias(f"_k{n}") for n, t in moved.items()])
-        back = []
-        for n in names:
-            t = F.col(f"_k{n}")
-            if n[1] in "sq":
-                j = n[2:]
-                m = F.col(f"_k_c{j}") - F.col(f"_k_cna{j}") - F.col(f"_k_cup{j}") - F.col(f"_k_clo{j}")
-                t = t - m * F.col("_d") if n[1] == "s" else t - F.lit(2.0) * F.col("_d") * F.col(f"_k_s{j}") + m * F.col("_d") * F.col("_d")
-            back.append(t.alias(f"_k{n}"))
-        out = join_null_safe(out, carry.select(order.key, CHUNK, *back), [order.key, CHUNK])
-        zero = {n: (F.lit(0) if n.startswith("_c") else F.lit(0.0)) for n in names}
-        out = out.withColumns({f"_r{n}": F.col(f"_r{n}") + F.coalesce(F.col(f"_k{n}"), zero[n]) for n in names})
-    res = {}
-    extremes = {n: sp for n, sp in specs.items() if sp[0] in ("max", "min")}
-    if extremes:
-        # A RANGE frame over the arrivals (expiries are NULL in it) inside the
-        # (key, _chunk) partition: exact for ordinary keys (one chunk per
-        # key); for hot keys it is the in-chunk part, completed below.
-        arrival_v = F.when(F.col("_kind") == 0, F.col("_v"))
-        for name, (stat, secs) in extremes.items():
-            wx = Window.partitionBy(order.key, CHUNK).orderBy("_time").rangeBetween(-int(secs) * 1_000_000, 0)
-            fn = F.max if stat == "max" else F.min
-            out = out.withColumn(f"_x_{name}", fn(arrival_v).over(wx))
-            res[name] = F.col(f"_x_{name}")
-        if hot is not None:
-            out = _cross_chunk_extremes(out, order, hot, extremes)
-    for name, (stat, secs) in specs.items():
-        if name in extremes:
-            continue
-        j = wlist.index(int(secs))
-        cnt = F.col(f"_r_c{j}")
-        if stat == "count":
-            res[name] = cnt
-            continue
-        ssum, ssq = F.col(f"_r_s{j}"), F.col(f"_r_q{j}")
-        na, up, lo = (F.col(f"_r_c{x}{j}") for x in ("na", "up", "lo"))
-        m = cnt - na - up - lo
-        nan, inf = F.lit(float("nan")), F.lit(float("inf"))
-        odd = F.when((na > 0) | ((up > 0) & (lo > 0)), nan).when(up > 0, inf).when(lo > 0, -inf)
-        if stat == "sum":
-            res[name] = F.when(cnt > 0, F.coalesce(odd, ssum + m * F.col("_ce")))
-        elif stat == "mean":
-            res[name] = F.when(cnt > 0, F.coalesce(odd, F.try_divide(ssum, m) + F.col("_ce")))
-        elif stat == "std":
-            mean = F.try_divide(ssum, m)
-            res[name] = F.when(cnt > 0, F.when(odd.isNotNull(), nan).otherwise(
-                F.sqrt(F.greatest(F.try_divide(ssq, m) - mean * mean, F.lit(0.0)))))
-        else:
-            raise ValueError(f"unsupported interval stat {stat!r}")
-    return out.select(*in_cols, *[res[n].alias(n) for n in specs])
-
-
-def _cross_chunk_extremes(out: DataFrame, order: EventOrder, hot: DataFrame,
-                          extremes: dict[str, tuple[str, int]]) -> DataFrame:
-    """Complete hot-key moving max/min with the rows of earlier chunks.
-
-    For an arrival at ``t`` in chunk ``c`` the frame part before the chunk is
-    ``[t - w, chunk start)``.  With ``c'`` the chunk of ``t - w`` it is the
-    maximum of (a) the whole chunks ``c'+1 … c-1`` — from the per-chunk
-    summary, which is bounded; ``c'`` takes at most two values per chunk —
-    and (b) the suffix of chunk ``c'`` from ``t - w`` — a probe row placed in
-    chunk ``c'`` and ordered with its arrivals (time descending) picks up the
-    running extreme.  Probe results return to their row by (key, ts, tie).
+        totals = stream.where(F.col(HOT)).groupBy(order.key, CHUNK).agg(*[F.sum(x).alias(f"_t{j}") for j, x in enumerate(signs)])
+        before = Window.partitionBy(order.key).orderBy(CHUNK).rowsBetween(UNB, -1)
+        carry = totals.select(order.key, CHUNK, *[F.sum(f"_t{j}").over(before).alias(f"_k{j}") for j in range(len(seconds))])
+        out = join_null_safe(out, carry, [order.key, CHUNK])
+        out = out.withColumns({f"_r{j}": F.col(f"_r{j}") + F.coalesce(f"_k{j}", F.lit(0)) for j in range(len(seconds))})
+    return out.select(*df.columns, *[F.col(f"_r{seconds.index(int(s))}").alias(name) for name, s in widths.items()])
+
+
+def interval_stats(df: DataFrame, order: EventOrder, value: str, specs: dict[str, tuple[str, int]], *,
+                   hot_threshold: int | None = None) -> DataFrame:
+    """Moving-frame count / sum / mean / std (population) / max / min over ``[ts - w, ts]``.
+
+    ``specs``: ``{out_name: (stat, width_seconds)}``.  Each frame is made of
+    its own rows alone, without subtraction (see ``frames``).
     """
-    t_us = F.col("_time")
-    arr = (join_null_safe(out.where(F.col(HOT)), hot, [order.key], "inner")
-           .select(order.key, CHUNK, order.ts, order.tie, "_time", "_v", "_bounds"))
-    result_cols = {}
-    for name, (stat, secs) in extremes.items():
-        fn = F.max if stat == "max" else F.min
-        w_us = int(secs) * 1_000_000
-        rows = arr.withColumn("_clo", chunk_of(t_us - F.lit(w_us)))
-        # (a) whole chunks strictly between c' and c: one array of chunk
-        # extremes per hot key, as long as the key has chunks
-        summ = (arr.groupBy(order.key, CHUNK).agg(fn("_v").alias("_m"))
-                .groupBy(order.key).agg(F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_m").alias("m"))).alias("_ms")))
-        pairs = rows.where(F.col("_clo") + 1 < F.col(CHUNK)).select(order.key, CHUNK, "_clo").distinct()
-        between = F.transform(F.filter("_ms", lambda x: (x["c"] > F.col("_clo")) & (x["c"] < F.col(CHUNK))), lambda x: x["m"])
-        mid = join_null_safe(pairs, summ, [order.key]).select(
-            order.key, CHUNK, "_clo", (F.array_max if stat == "max" else F.array_min)(between).alias("_mid"))
-        # (b) suffix of chunk c' from t - w: probes ordered with that chunk's rows
-        probes = rows.where((F.col("_clo") >= 0) & (F.col("_clo") < F.col(CHUNK))).select(
-            order.key, F.col("_clo").alias(CHUNK), (t_us - F.lit(w_us)).alias("_time"),
-            F.lit(1).alias("_pk"), F.lit(None).cast("double").alias("_v"),
-            F.col(order.ts).alias("_ots"), F.col(order.tie).alias("_otie"), F.col(CHUNK).alias("_oc"))
-        data = arr.select(order.key, CHUNK, "_time", F.lit(0).alias("_pk"), "_v")
-        u = data.unionByName(probes, allowMissingColumns=True)
-        wd = (Window.partitionBy(order.key, CHUNK).orderBy(F.desc("_time"), F.asc("_pk"))
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        suffix = (u.withColumn("_suf", fn("_v").over(wd)).where(F.col("_pk") == 1)
-                   .select(order.key, F.col("_ots").alias(order.ts), F.col("_otie").alias(order.tie),
-                           F.col("_oc").alias(CHUNK), "_suf"))
-        at = [order.key, CHUNK, order.ts, order.tie]
-        cross = (join_null_safe(join_null_safe(rows.select(*at, "_clo"), mid, [order.key, CHUNK, "_clo"]), suffix, at)
-                     .select(order.key, CHUNK, order.ts, order.tie,
-                             (F.greatest if stat == "max" else F.least)("_mid", "_suf").alias(f"_y_{name}")))
-        result_cols[name] = cross
-    merged = None
-    for name, cross in result_cols.items():
-        merged = cross if merged is None else join_null_safe(merged, cross, [order.key, CHUNK, order.ts, order.tie])
-    joined = join_null_safe(out, merged, [order.key, CHUNK, order.ts, order.tie])
-    for name, (stat, _) in extremes.items():
-        comb = F.greatest if stat == "max" else F.least
-        joined = joined.withColumn(f"_x_{name}", comb(f"_x_{name}", f"_y_{name}"))
-    return joined
+    return moving_stats(df, order, value, specs, hot_key_rows(df.sparkSession, hot_threshold))
 
 
 def prior_quantile_flag(df: DataFrame, order: EventOrder, value: str, q: float = 0.95,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from quarry.functions.digest import feature_set_digest
 from quarry.plans import queries as Q
+from quarry.sources import tables as tb
 
 _TRAIN_F = 1.0 - Q.VAL_FRACTION - Q.TEST_FRACTION
 _TRAINVAL_F = 1.0 - Q.TEST_FRACTION
@@ -116,6 +117,28 @@ select event_id, {R(f'sum(value) over {_W24}')} as sum_24h, {R(f'avg(value) over
 from events
 """
 
+def R2(x: str) -> str:
+    return f"round(({x}) + 1e-5, 2)"
+
+
+_O90 = "(partition by o_custkey order by o_orderdate range between interval '90 days' preceding and current row)"
+_O365 = "(partition by o_custkey order by o_orderdate range between interval '365 days' preceding and current row)"
+ORDER_WINDOW_VALUES = f"""
+with o as (select o_orderkey, o_custkey, o_orderdate, case when o_orderkey % 97 = 0 then {tb.ABSURD} else
+             o_totalprice + case when o_orderdate >= timestamp '{tb.LIFTED_FROM}' then {tb.LEVEL} else 0.0 end end::double as amount from orders),
+f as (select o_orderkey, count(amount) over {_O90} as n_90d, max(amount) over {_O90} < {tb.ABSURD} as sane_90d,
+        max(amount) over {_O365} < {tb.ABSURD} as sane_365d, sum(amount) over {_O90} as s, avg(amount) over {_O365} as m, stddev_pop(amount) over {_O365} as d from o)
+select o_orderkey, n_90d, sane_90d, sane_365d, case when sane_90d then {R2('s')} end as sum_90d,
+  case when sane_365d then {R2('m')} end as mean_365d, case when sane_365d then {R2('d')} end as std_365d from f
+"""
+
+LAST_K_ORDERS = f"""
+with o as (select o_orderkey, o_custkey, o_totalprice, case when o_orderkey % 50 = 0 then 1000000 else 1 + o_orderkey % 40 end::INTEGER as k,
+             row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as rn from orders)
+select a.o_orderkey, a.k, {R2('sum(b.o_totalprice)')} as last_k_sum
+from o a join o b on a.o_custkey = b.o_custkey and b.rn between a.rn - a.k + 1 and a.rn group by a.o_orderkey, a.k
+"""
+
 P95 = f"""
 with q as (select event_id, value, quantile_cont(value, 0.95) over
   (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as p from events)
@@ -468,6 +491,8 @@ ORACLE = {
     "feat_all": ALL,
     "feat_window_counts": WINDOW_COUNTS,
     "feat_window_values": WINDOW_VALUES,
+    "feat_order_window_values": ORDER_WINDOW_VALUES,
+    "feat_last_k_orders": LAST_K_ORDERS,
     "feat_p95_flag": P95,
     "calendar_features": CALENDAR,
     "online_latest": ONLINE_LATEST,

@@ -55,6 +55,12 @@ def r6(c: Column | str) -> Column:
     return F.round(c + F.lit(1e-9), 6)
 
 
+def r2(c: Column | str) -> Column:
+    """Amounts of large magnitude: two decimals, on both engines."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c + F.lit(1e-5), 2)
+
+
 # ---------------------------------------------------------------- features
 
 def _seq(spark, d, **kw):
@@ -122,6 +128,26 @@ def feat_window_values(spark, d):
         "event_id", *[r6(c).alias(c) for c in ("sum_24h", "mean_30d", "std_30d", "max_30d")])
 
 
+def feat_order_window_values(spark, d):
+    """Moving frames over tied times with a level shift and absurd values, hot keys cut into small pieces.
+
+    Frames that hold an absurd value are reported as such and not compared."""
+    f = W.interval_stats(tb.shifted_orders(spark, d), ORD, "amount", {
+        "sum_90d": ("sum", 90 * 86400), "mean_365d": ("mean", 365 * 86400), "std_365d": ("std", 365 * 86400),
+        "max_90d": ("max", 90 * 86400), "max_365d": ("max", 365 * 86400), "n_90d": ("count", 90 * 86400)}, hot_threshold=4)
+    sane_90, sane_365 = F.col("max_90d") < tb.ABSURD, F.col("max_365d") < tb.ABSURD
+    return f.select("o_orderkey", "n_90d", sane_90.alias("sane_90d"), sane_365.alias("sane_365d"),
+                    F.when(sane_90, r2("sum_90d")).alias("sum_90d"), F.when(sane_365, r2("mean_365d")).alias("mean_365d"),
+                    F.when(sane_365, r2("std_365d")).alias("std_365d"))
+
+
+def feat_last_k_orders(spark, d):
+    """Last-k sums over tied times with k from 1 to beyond every key's rows."""
+    orders = tb.order_stream(spark, d).withColumn("k", tb.wide_k())
+    f = W.sequence_features(orders, ORD, "o_totalprice", k_col="k", hot_threshold=12)
+    return f.select("o_orderkey", "k", r2("last_k_sum").alias("last_k_sum"))
+
+
 def feat_p95_flag(spark, d):
     f = W.prior_quantile_flag(tb.transactions(spark, d), EV, "value", 0.95)
     return f.select("event_id", r6("prior_p95").alias("prior_p95"), "above_prior_p95")
@@ -625,6 +651,8 @@ QUERIES = {
     "feat_all": feat_all,
     "feat_window_counts": feat_window_counts,
     "feat_window_values": feat_window_values,
+    "feat_order_window_values": feat_order_window_values,
+    "feat_last_k_orders": feat_last_k_orders,
     "feat_p95_flag": feat_p95_flag,
     "calendar_features": calendar_features,
     "online_latest": online_latest,

@@ -70,6 +70,22 @@ def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus")
 
 
+#: Amount that stands for a corrupt value; level that later orders are lifted by, and from when.
+ABSURD, LEVEL, LIFTED_FROM = 1e17, 1e6, "1995-01-01 00:00:00"
+
+
+def shifted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose ``amount`` jumps to another level at a date, with a corrupt value every 97 keys."""
+    lifted = F.when(F.col("o_orderdate") >= F.lit(LIFTED_FROM).cast("timestamp_ntz"), F.lit(LEVEL)).otherwise(F.lit(0.0))
+    return order_stream(spark, sf_dir).withColumn(
+        "amount", F.when(F.col("o_orderkey") % 97 == 0, F.lit(ABSURD)).otherwise(F.col("o_totalprice") + lifted))
+
+
+def wide_k(id_col: str = "o_orderkey") -> Column:
+    """k from 1 to 40, and a million for every 50th id."""
+    return F.when(F.col(id_col) % 50 == 0, F.lit(1_000_000)).otherwise((F.lit(1) + F.col(id_col) % 40).cast("int"))
+
+
 def documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents ⟕ labels: the feature table with a nullable label.
 
