@@ -1,33 +1,80 @@
-"""Preprocessing + gradient-boosted trees on Spark ML.
+"""Preprocessing + boosted trees as one persistable Spark ML pipeline.
 
 Preprocessing follows the reference's column roles:
 numeric → median imputation; categorical → mode imputation then one-hot with
 unseen values encoded as all zeros; boolean → one-hot with NULL as its own
 category (no imputation).  Output order: numeric, categorical, boolean.
 
-The fitted statistics that are not Spark ML estimators (modes) are computed
-first with one aggregate and frozen into a ``SQLTransformer`` so the whole
-fitted object is a single persistable ``PipelineModel``.
+``ExactStatistics`` is the fitted transformer of the first step: exact medians
+(``prep.column_quantiles``) and modes, saved with the pipeline.  The learner
+(``boosting``) takes a category's number, not its one-hot vector.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.prep import NULL_CATEGORY, fit_modes
+from quarry.operators.boosting import DEFAULTS as DEFAULT_PARAMS
+from quarry.operators.boosting import BoostedTrees
+from quarry.operators.prep import boolean_as_category, fit_medians, fit_modes
 from quarry.spec import FeatureSpec, require_columns
 
-# Classifier defaults of the reference learner (fixed values): 300 trees,
-# depth 6, learning rate 0.05, row and column subsample 0.8, seed 42.
-DEFAULT_PARAMS = {"n_estimators": 300, "max_depth": 6, "learning_rate": 0.05,
-                  "subsample": 0.8, "colsample": 0.8, "seed": 42}
+
+class _Roles(Params):
+    numericCols = Param(Params._dummy(), "numericCols", "numeric columns", TypeConverters.toListString)
+    categoricalCols = Param(Params._dummy(), "categoricalCols", "categorical columns", TypeConverters.toListString)
+    booleanCols = Param(Params._dummy(), "booleanCols", "boolean columns", TypeConverters.toListString)
+
+
+class ExactStatistics(Estimator, _Roles, DefaultParamsReadable, DefaultParamsWritable):
+    """Exact medians and modes of a table, for imputation."""
+
+    @keyword_only
+    def __init__(self, *, numericCols=None, categoricalCols=None, booleanCols=None):
+        super().__init__()
+        self._setDefault(numericCols=[], categoricalCols=[], booleanCols=[])
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "ExactStatisticsModel":
+        numeric, categorical, boolean = (self.getOrDefault(x) for x in ("numericCols", "categoricalCols", "booleanCols"))
+        medians = fit_medians(dataset, numeric) if numeric else {}
+        modes = fit_modes(dataset, categorical) if categorical else {}
+        return ExactStatisticsModel(numericCols=numeric, categoricalCols=categorical, booleanCols=boolean, statistics=json.dumps(
+            {"medians": medians, "modes": {c: None if v is None else str(v) for c, v in modes.items()}}))
+
+
+class ExactStatisticsModel(Model, _Roles, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds ``{c}__num`` (double, NULL and NaN become the median) and ``{c}__cat`` (text).
+
+    A column without any value keeps its NULLs."""
+
+    statistics = Param(Params._dummy(), "statistics", "medians and modes as JSON", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, numericCols=None, categoricalCols=None, booleanCols=None, statistics=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        fitted = json.loads(self.getOrDefault("statistics"))
+        out = {}
+        for c in self.getOrDefault("numericCols"):
+            x = F.col(c).cast("double")
+            out[f"{c}__num"] = F.coalesce(F.when(~F.isnan(x), x), F.lit(fitted["medians"].get(c)).cast("double"))
+        for c in self.getOrDefault("categoricalCols"):
+            out[f"{c}__cat"] = F.coalesce(F.col(c).cast("string"), F.lit(fitted["modes"].get(c)).cast("string"))
+        for c in self.getOrDefault("booleanCols"):
+            out[f"{c}__cat"] = boolean_as_category(c)
+        return dataset.withColumns(out) if out else dataset
 
 
 @dataclass
@@ -45,7 +92,7 @@ class FittedModel:
     def predict_proba(self, df: DataFrame, out: str = "score") -> DataFrame:
         """Input columns + positive-class probability."""
         t = self.transform(df)
-        return t.select(*df.columns, vector_to_array("probability")[1].alias(out))
+        return t.select(*df.columns, F.col("probability").alias(out))
 
     def predict(self, df: DataFrame, threshold: float = 0.5, out: str = "prediction") -> DataFrame:
         p = self.predict_proba(df, "_p")
@@ -53,10 +100,7 @@ class FittedModel:
 
     def feature_importance(self) -> list[tuple[str, float]]:
         """(encoded feature name, importance) sorted by importance desc, name."""
-        gbt = self.pipeline.stages[-1]
-        names = self.encoded_names
-        imp = gbt.featureImportances.toArray()
-        pairs = [(names[i] if i < len(names) else f"f{i}", float(imp[i])) for i in range(len(imp))]
+        pairs = list(zip(self.encoded_names, map(float, self.pipeline.stages[-1].importances())))
         return sorted(pairs, key=lambda t: (-t[1], t[0]))
 
     @property
@@ -69,38 +113,24 @@ class FittedModel:
     @classmethod
     def load(cls, path: str, spec: FeatureSpec) -> "FittedModel":
         pm = PipelineModel.load(path)
-        gbt = pm.stages[-1]
-        params = {"n_estimators": gbt.getNumTrees, "max_depth": gbt.getOrDefault("maxDepth"),
-                  "learning_rate": gbt.getOrDefault("stepSize"),
-                  "subsample": gbt.getOrDefault("subsamplingRate"), "seed": gbt.getOrDefault("seed")}
-        m = cls(pm, spec, params)
+        m = cls(pm, spec, {**DEFAULT_PARAMS, **json.loads(pm.stages[-1].getOrDefault("settings"))})
         m.params["_encoded_names"] = _names_from_metadata(pm, spec)
         return m
 
 
-def _sql_prep(spec: FeatureSpec, modes: dict) -> SQLTransformer:
-    parts = ["*"]
-    for c in spec.categorical:
-        m = modes.get(c)
-        fill = "NULL" if m is None else "'" + str(m).replace("\\", "\\\\").replace("'", "\\'") + "'"
-        parts.append(f"coalesce(cast(`{c}` as string), {fill}) AS `{c}__cat`")
-    for c in spec.boolean:
-        parts.append(f"coalesce(lower(cast(`{c}` as string)), '{NULL_CATEGORY}') AS `{c}__cat`")
-    return SQLTransformer(statement="SELECT " + ", ".join(parts) + " FROM __THIS__")
-
-
-def preprocessing_stages(spec: FeatureSpec, modes: dict, relative_error: float = 1e-3):
-    stages = [_sql_prep(spec, modes)]
+def preprocessing_stages(spec: FeatureSpec, vector: bool = True):
+    """Statistics and category numbers; with ``vector`` also the one-hot slots, assembled as ``features``."""
+    stages = [ExactStatistics(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical), booleanCols=list(spec.boolean))]
     num_out = [f"{c}__num" for c in spec.numeric]
-    if spec.numeric:
-        stages.append(Imputer(inputCols=list(spec.numeric), outputCols=num_out, strategy="median",
-                              relativeError=relative_error))
     cat_in = [f"{c}__cat" for c in [*spec.categorical, *spec.boolean]]
     idx = [f"{c}__idx" for c in [*spec.categorical, *spec.boolean]]
     ohe = [f"{c}__ohe" for c in [*spec.categorical, *spec.boolean]]
     if cat_in:
         stages.append(StringIndexer(inputCols=cat_in, outputCols=idx, handleInvalid="keep",
                                     stringOrderType="alphabetAsc"))
+    if not vector:
+        return stages
+    if cat_in:
         # The indexer maps unseen values to its extra last index; dropLast
         # removes exactly that slot, so an unseen value encodes as all zeros.
         # (handleInvalid must stay 'error' here: 'keep' would add a second
@@ -141,20 +171,13 @@ def feature_entries(pm: PipelineModel, spec: FeatureSpec, transformed: DataFrame
             .where(F.col("value").isNotNull() & (F.col("value") != 0)))
 
 
-def fit_model(train: DataFrame, spec: FeatureSpec, params: dict | None = None,
-              relative_error: float = 1e-3) -> FittedModel:
-    """Fit preprocessing + GBT on ``train`` (label column ``spec.target``)."""
+def fit_model(train: DataFrame, spec: FeatureSpec, params: dict | None = None) -> FittedModel:
+    """Fit preprocessing + boosted trees on ``train`` (label column ``spec.target``)."""
     require_columns(train, spec.training_columns[len(spec.metadata):], "fit")
     p = {**DEFAULT_PARAMS, **(params or {})}
-    modes = fit_modes(train, spec.categorical) if spec.categorical else {}
-    gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=int(p["n_estimators"]),
-                        maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
-                        subsamplingRate=float(p["subsample"]),
-                        featureSubsetStrategy=str(p["colsample"]), seed=int(p["seed"]),
-                        lossType="logistic")
-    stages = preprocessing_stages(spec, modes, relative_error) + [gbt]
-    data = train.withColumn("_y", F.col(spec.target).cast("double"))
-    pm = Pipeline(stages=stages).fit(data)
+    learner = BoostedTrees(numericCols=[f"{c}__num" for c in spec.numeric], codeCols=[f"{c}__idx" for c in [*spec.categorical, *spec.boolean]],
+                           targetCol=spec.target, settings=json.dumps(p))
+    pm = Pipeline(stages=[*preprocessing_stages(spec, vector=False), learner]).fit(train)
     m = FittedModel(pm, spec, p)
     m.params["_encoded_names"] = _names_from_metadata(pm, spec)
     return m

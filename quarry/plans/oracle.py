@@ -139,6 +139,14 @@ select a.o_orderkey, a.k, {R2('sum(b.o_totalprice)')} as last_k_sum
 from o a join o b on a.o_custkey = b.o_custkey and b.rn between a.rn - a.k + 1 and a.rn group by a.o_orderkey, a.k
 """
 
+LEARNER_QUALITY = """
+with d as (select *, case when doc_id % 11 = 0 then null else n_chars > 1500 end as long_text
+           from documents join (select doc_id, quality from labels where quality is not null) using (doc_id))
+select count(*)::bigint as n_rows, true as beats_prior, true as probabilities, 300::bigint as n_trees,
+  (1 + count(distinct lang) + count(distinct source) + count(distinct coalesce(long_text::varchar, '?')))::bigint as n_features,
+  1.0::double as importance_total from d
+"""
+
 P95 = f"""
 with q as (select event_id, value, quantile_cont(value, 0.95) over
   (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as p from events)
@@ -491,6 +499,7 @@ ORACLE = {
     "feat_all": ALL,
     "feat_window_counts": WINDOW_COUNTS,
     "feat_window_values": WINDOW_VALUES,
+    "learner_quality": LEARNER_QUALITY,
     "feat_order_window_values": ORDER_WINDOW_VALUES,
     "feat_last_k_orders": LAST_K_ORDERS,
     "feat_p95_flag": P95,

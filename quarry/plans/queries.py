@@ -47,7 +47,8 @@ CUTOFF = "2024-01-15 00:00:00"
 TRUTH_CUTOFF = "2024-01-25 00:00:00"
 DRIFT_SPLIT = "2024-01-16 00:00:00"
 PSI_EDGES = [float(x) for x in range(0, 550, 50)]
-GBT_TEST_PARAMS = {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1}
+#: The learner's features: those of DOC_SPEC and a boolean with NULLs.
+LEARN_SPEC = FeatureSpec(metadata=("doc_id",), numeric=("n_chars",), boolean=("long_text",), categorical=("lang", "source"), target="label")
 
 
 def r6(c: Column | str) -> Column:
@@ -442,6 +443,10 @@ def impute_median(spark, d):
     return out.select("event_id", r6("value_null").alias("value_imputed"))
 
 
+def _learn_docs(spark, d) -> DataFrame:
+    return _docs(spark, d).withColumn("long_text", F.when(F.col("doc_id") % 11 == 0, F.lit(None).cast("boolean")).otherwise(F.col("n_chars") > F.lit(1500)))
+
+
 def _docs_with_nulls(spark, d) -> DataFrame:
     docs = tb.read_table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
     return docs.withColumns({
@@ -471,7 +476,7 @@ def one_hot(spark, d):
     docs = _docs_with_nulls(spark, d)
     spec = FeatureSpec(metadata=("doc_id",), categorical=("lang_null", "source_null"), boolean=("long_doc",))
     fit_rows = docs.where(F.col("lang") != "fr")
-    stages = preprocessing_stages(spec, prep.fit_modes(fit_rows, spec.categorical))[:-1]  # without the assembler
+    stages = preprocessing_stages(spec)[:-1]  # without the assembler
     pm = Pipeline(stages=stages).fit(fit_rows)
     return feature_entries(pm, spec, pm.transform(docs), ["doc_id"]).select("doc_id", "column_name", "slot")
 
@@ -481,23 +486,35 @@ def feature_matrix(spark, d):
     non-zero entries (doc_id, slot, value)."""
     spec = FeatureSpec(metadata=("doc_id",), numeric=("n_chars",), categorical=("lang", "source"))
     docs = tb.read_table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
-    pm = Pipeline(stages=preprocessing_stages(spec, prep.fit_modes(docs, spec.categorical))[:-1]).fit(docs)
+    pm = Pipeline(stages=preprocessing_stages(spec)[:-1]).fit(docs)
     return feature_entries(pm, spec, pm.transform(docs), ["doc_id"]).select("doc_id", F.col("position").alias("slot"), "value")
 
 
 # ---------------------------------------------------------------- model + scoring
 
 def _fitted(spark, d):
-    lab = ds.labeled_rows(_docs(spark, d), DOC_SPEC)
-    return fit_model(lab, DOC_SPEC, GBT_TEST_PARAMS)
+    return fit_model(ds.labeled_rows(_learn_docs(spark, d), LEARN_SPEC), LEARN_SPEC)
 
 
 def gbt_train_score(spark, d):
     model = _fitted(spark, d)
-    unl = ds.unlabeled_rows(_docs(spark, d), DOC_SPEC)
+    unl = ds.unlabeled_rows(_learn_docs(spark, d), LEARN_SPEC)
     return model.predict_proba(unl, "score").select("doc_id", "score")
 
 
+def learner_quality(spark, d):
+    """What must hold of the fitted learner, whatever its scores: trees, encoded features, shares of importance, log-loss below the prior's."""
+    model = _fitted(spark, d)
+    scored = model.predict_proba(ds.labeled_rows(_learn_docs(spark, d), LEARN_SPEC), "p")
+    y, share = F.col("label"), F.col("share")
+    loss = lambda p: F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))
+    row = mt.attach_row(scored, scored.agg(F.avg("label").alias("share"))).agg(
+        F.count(F.lit(1)).alias("n_rows"), (loss(F.col("p")) < loss(share)).alias("beats_prior"), F.min(F.col("p").between(0, 1)).alias("probabilities"))
+    importance = [v for _, v in model.feature_importance()]
+    return row.select("n_rows", "beats_prior", "probabilities", F.lit(len(model.pipeline.stages[-1].parts()[2])).cast("long").alias("n_trees"),
+                      F.lit(len(importance)).cast("long").alias("n_features"), F.lit(round(sum(importance), 9)).alias("importance_total"))
+
+
 def importance_topk(spark, d):
     return importance_frame(_fitted(spark, d), spark, top_k=10)
 
@@ -526,7 +543,7 @@ def scoring_job(spark, d):
     table.publish(_docs(spark, d), digest=False)
     registry = reg.Registry(spark, f"{root}/registry")
     version = registry.register_version("doc_quality", "run_1")
-    fit_model(ds.labeled_rows(table.read(), DOC_SPEC), DOC_SPEC, GBT_TEST_PARAMS).save(
+    fit_model(ds.labeled_rows(table.read(), DOC_SPEC), DOC_SPEC).save(
         model_path(registry.root, "doc_quality", version))
     registry.set_alias("doc_quality", reg.CHAMPION, version)
     cfg = ScoreConfig(table.root, registry.root, f"{root}/predictions", "doc_quality", feature_table_name="documents")
@@ -689,6 +706,7 @@ QUERIES = {
     "feature_matrix": feature_matrix,
     "gbt_train_score": gbt_train_score,
     "importance_topk": importance_topk,
+    "learner_quality": learner_quality,
     "batch_score": batch_score,
     "scoring_job": scoring_job,
     "row_digest": row_digest_q,
