@@ -13,10 +13,11 @@ themselves.  Documents without a match have no spans.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +39,6 @@ TERM = re.compile(r"[^\W\d_]{3,}")
 NEAR, NEAR_CHARS = 6, 120
 #: Thresholds: P(e | t), bits over P(e) or the share of the -log2 P(e) bits that there are, if that is less, and mentions of e beside t.
 LEAST_GIVEN, LEAST_BITS, LEAST_SHARE, LEAST_MENTIONS = 0.5, 4.0, 0.75, 3
-#: Disclosing pairs that a task holds while it reads the texts; more of them take further passes.
-PAIRS_AT_ONCE = 300_000
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -82,8 +81,18 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """For each match its entity and the terms beside it, none of which lie in a match."""
-    out = []
-    inside = lambda s, e: any(a < e and s < b for _, a, b in spans if a < e + 1 and b > s - 1)
+    out, starts, ends = [], [], []
+    for _, a, b in sorted(spans, key=lambda s: s[1]):  # matches that overlap, as disjoint stretches
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def inside(s: int, e: int) -> bool:
+        i = bisect_right(starts, e - 1) - 1
+        return i >= 0 and ends[i] > s
+
     for (kind, start, end), entity in zip(spans, entities_of(text, spans)):
         low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
         # words that the search limits cut are left out
@@ -104,48 +113,48 @@ def entities_of(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
     return [f"{kind}:{text[start:end].lower()}" for kind, start, end in spans]
 
 
-def term_spans(text: str, spans: list[tuple[str, int, int]], discloses: dict[str, set[str]], known: set[str]) -> list[tuple[int, int]]:
-    """Where terms that disclose one of the text's entities stand outside the matches; ``known`` has all entities of ``discloses``."""
-    entities = known.intersection(entities_of(text, spans))
-    if not entities:
-        return []
+def term_spans(text: str, spans: list[tuple[int, int]], terms: set[str]) -> list[tuple[int, int]]:
+    """Where the terms stand outside the matches."""
     out, at = [], 0
-    for start, end in [*sorted(s[1:] for s in spans), (len(text), len(text))]:
-        out += [m.span() for m in TERM.finditer(text, at, max(at, start)) if not entities.isdisjoint(discloses.get(m[0].lower(), ()))]
+    for start, end in [*sorted(spans), (len(text), len(text))]:
+        out += [m.span() for m in TERM.finditer(text, at, max(at, start)) if m[0].lower() in terms]
         at = max(at, end)
     return out
 
 
-def find_terms(docs: DataFrame, strong: DataFrame, text_col: str = "text") -> DataFrame:
-    """``_k1 _k2, at``: the places of disclosing terms in the texts that mention their entity, from ``strong`` (entity, term).
+def generalise(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """``text`` with each span (start, end, kind) written as ``[KIND]``; overlapping spans become the first's."""
+    out, at = [], 0
+    for start, end, kind in sorted(spans, key=lambda s: (s[0], -s[1], s[2])):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
 
-    The pairs go to the tasks that read the texts, ``PAIRS_AT_ONCE`` or so in
-    each pass, so that no text is shuffled; a text has a row for each pass that finds some.
-    """
-    src = docs.select(*doc_key(text_col=text_col), F.col(text_col).alias("__text"))
-    place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def one_pass(pairs: list) -> DataFrame:
-        discloses: dict[str, set[str]] = {}
-        for r in pairs:
-            discloses.setdefault(r["term"], set()).add(r["entity"])
-        known = {r["entity"] for r in pairs}
-
-        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                found = [term_spans(t, base_spans(t), discloses, known) if t else [] for t in b.column(2).to_pylist()]
-                hit = pa.array([bool(f) for f in found])
-                at = pa.array([[dict(zip(("start", "end"), s)) for s in f] for f in found if f], place)
-                yield pa.RecordBatch.from_arrays([*[c.filter(hit) for c in b.columns[:2]], at], names=[*KEY, "at"])
-
-        return src.mapInArrow(run, "_k1 long, _k2 long, at array<struct<start:int,end:int>>")
-
-    passes = max(1, -(-strong.count() // PAIRS_AT_ONCE))
-    out = None
-    for i in range(passes):
-        found = one_pass(strong.filter(F.pmod(F.xxhash64("entity", "term"), F.lit(passes)) == i).collect())
-        out = found if out is None else out.unionByName(found)
-    return out
+def asked_terms(found: DataFrame, strong: DataFrame) -> DataFrame:
+    """``_k1 _k2, wanted``: the terms that disclose an entity of the document, from ``strong`` (entity, term)."""
+    entities = found.select(*KEY, F.explode(F.array_distinct(F.col("mentions.entity"))).alias("entity"))
+    return entities.join(strong, "entity").groupBy(*KEY).agg(F.collect_set("term").alias("wanted"))
+
+
+def read_again(found: DataFrame, strong: DataFrame, result: Callable[[str, list, list], object], kind: pa.DataType, ddl: str) -> DataFrame:
+    """``_k1 _k2, result`` of each document with a match: ``result(text, matches, places of disclosing terms)``.
+
+    Only the texts of these documents are moved, to the terms of their entities."""
+    src = found.filter(F.col("__text").isNotNull()).select(*KEY, "base", "__text").join(asked_terms(found, strong), KEY, "left")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            out = []
+            for base, text, wanted in zip(b.column(2), b.column(3), b.column(4)):
+                spans, text, wanted = base.as_py(), text.as_py(), wanted.as_py()
+                places = term_spans(text, [(s["start"], s["end"]) for s in spans], set(wanted)) if wanted else []
+                out.append(result(text, spans, places))
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(out, kind)], names=[*KEY, "result"])
+
+    # repeated rows have one key and one result
+    return src.mapInArrow(run, f"_k1 long, _k2 long, result {ddl}").groupBy(*KEY).agg(F.first("result").alias("result"))
 
 
 MENTION = T.StructType([T.StructField("entity", T.StringType()), T.StructField("terms", T.ArrayType(T.StructType([
@@ -153,38 +162,33 @@ MENTION = T.StructType([T.StructField("entity", T.StringType()), T.StructField("
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The other columns of ``docs`` with ``_k1 _k2, base`` (spans) and ``mentions``; texts are read once and dropped."""
-    taken = {"base", "mentions", *KEY}
+    """The other columns of ``docs`` with ``_k1 _k2, base`` (spans), ``mentions``, and ``__text`` where there is a match."""
+    taken = {"base", "mentions", "__text", *KEY}
     rest = [c for c in docs.columns if c != text_col and c not in taken]
     src = docs.select(*rest, *doc_key(text_col=text_col), F.col(text_col).alias("__text"))
-    schema = T.StructType([*src.schema.fields[:-1], T.StructField("base", T.ArrayType(SPAN)), T.StructField("mentions", T.ArrayType(MENTION))])
+    schema = T.StructType([*src.schema.fields[:-1], T.StructField("base", T.ArrayType(SPAN)), T.StructField("mentions", T.ArrayType(MENTION)),
+                           T.StructField("__text", T.StringType())])
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     near = pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.struct(
         [("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))]))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            base, beside = [], []
+            base, beside, kept = [], [], []
             for t in b.column(b.num_columns - 1):
                 text = t.as_py() or ""
                 spans = base_spans(text)
                 base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
                 beside.append(mentions(text, spans))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(base, span), pa.array(beside, near)],
+                kept.append(text if spans else None)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(base, span), pa.array(beside, near), pa.array(kept, pa.string())],
                                              names=[f.name for f in schema.fields])
 
     return src.mapInArrow(run, schema)
 
 
-def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The columns of ``docs`` but the text, with ``_k1 _k2, base, terms`` (arrays of spans).
-
-    ``base`` has the pattern matches by kind, then start; ``terms`` the
-    disclosing terms by start.  A null or empty text has none; repeated rows
-    each get their row (and count as mentions each); columns with the new
-    names are replaced; an empty table stays empty.
-    """
-    found = cut_lineage(scan(docs, text_col), "mentions")
+def disclosing(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
+    """``entity, term``: the pairs over the thresholds, from the mentions ``found`` and the words of all texts."""
     beside = found.select(F.explode("mentions").alias("m")).select("m.entity", F.explode("m.terms.term").alias("term"))
     pairs = cut_lineage(beside.groupBy("entity", "term").agg(F.count("*").alias("both"))
                         .filter(F.col("both") >= LEAST_MENTIONS), "pairs")
@@ -199,34 +203,31 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
               .withColumn("given", F.least(F.col("both") / F.col("n"), F.lit(1.0)))
               .filter((F.col("given") >= LEAST_GIVEN) & (revealed >= enough))
               .select("entity", "term"))
-    strong = cut_lineage(strong, "disclosing")
-    terms = (find_terms(docs, strong, text_col).groupBy(*KEY)
-             .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("at")))).alias("__at")))
-    spans = F.transform(F.coalesce("__at", F.array().cast("array<struct<start:int,end:int>>")),
-                        lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return found.drop("mentions", "terms").join(terms, KEY, "left").withColumn("terms", spans).drop("__at")
-
+    return cut_lineage(strong, "disclosing")
 
-def generalise(text: Column, spans: Column) -> Column:
-    """``text`` with each span of ``spans`` (in any order) written as ``[KIND]``; overlapping spans become the first's."""
-    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
 
-    def step(acc: Column, s: Column) -> Column:
-        put = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return (F.when(s["start"] >= acc["at"], F.struct((-s["back"]).alias("at"), put.alias("out")))
-                .otherwise(F.struct(F.greatest(acc["at"], -s["back"]).alias("at"), acc["out"].alias("out"))))
+def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The columns of ``docs`` but the text, with ``_k1 _k2, base, terms`` (arrays of spans).
 
-    folded = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.concat(folded["out"], F.substring(text, folded["at"] + 1, F.length(text))))
+    ``base`` has the pattern matches by kind, then start; ``terms`` the
+    disclosing terms by start.  A null or empty text has none; repeated rows
+    each get their row (and count as mentions each); columns with the new
+    names are replaced; an empty table stays empty.
+    """
+    found = cut_lineage(scan(docs, text_col), "mentions")
+    place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    terms = read_again(found, disclosing(docs, found, text_col), lambda _, __, places: [dict(zip(("start", "end"), p)) for p in places],
+                       place, "array<struct<start:int,end:int>>")
+    spans = F.transform(F.coalesce("result", F.array().cast("array<struct<start:int,end:int>>")),
+                        lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return found.drop("mentions", "terms", "__text").join(terms, KEY, "left").withColumn("terms", spans).drop("result")
 
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with all spans of ``find_pii`` generalised in the text; every row and column is kept."""
-    found = find_pii(docs.select("doc_id", text_col), text_col)
-    spans = (found.filter((F.size("base") > 0) | (F.size("terms") > 0)).groupBy(*KEY)
-             .agg(F.first(F.concat("base", "terms")).alias("__spans")))
+    found = cut_lineage(scan(docs.select("doc_id", text_col), text_col), "mentions")
+    clean = read_again(found, disclosing(docs, found, text_col), lambda text, spans, places: generalise(
+        text, [(s["start"], s["end"], s["kind"]) for s in spans] + [(*p, "term") for p in places]), pa.string(), "string")
     keyed = docs.select("*", *[c.alias(a) for c, a in zip(doc_key(text_col=text_col), ("__k1", "__k2"))])
-    joined = keyed.join(spans.select(F.col("_k1").alias("__k1"), F.col("_k2").alias("__k2"), "__spans"), ["__k1", "__k2"], "left")
-    new = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(generalise(F.col(text_col), F.col("__spans")))
-    return joined.withColumn(text_col, new).select(*docs.columns)
+    joined = keyed.join(clean.select(F.col("_k1").alias("__k1"), F.col("_k2").alias("__k2"), F.col("result").alias("__clean")), ["__k1", "__k2"], "left")
+    return joined.withColumn(text_col, F.coalesce("__clean", text_col)).select(*docs.columns)

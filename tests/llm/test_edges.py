@@ -276,8 +276,61 @@ def test_pii_terms_of_a_hot_entity(spark):
     assert not any(tuple(s) == ("term", 0, 7) for r in got for s in r.terms)  # half of Zebulon's places say too little of a third
 
 
-def test_pii_terms_in_the_whole_text_of_a_document_with_a_mention(spark, monkeypatch):
-    """A disclosing term is found far from the mention, also where this document has none beside it, and in any number of passes."""
+def test_pii_terms_against_a_plain_recount(spark):
+    """Every term span of a table with hot, rare and shared terms, recounted word by word."""
+    import math
+    from collections import Counter
+    r = random.Random(8)
+    names = [("Aurelia", "aurelia@corp.example"), ("Bartholomew", "192.168.7.9"), ("Cassiopeia", "+1 202 555 0147"), ("Demetrius", "dem@x.example")]
+    texts = []
+    for i in range(160):
+        name, value = names[0] if i % 3 == 0 else r.choice(names)
+        parts = [prose(r.randint(0, 9), i), r.choice([name, name.upper(), "someone"]), prose(r.randint(0, 3), i + 900), value, prose(r.randint(0, 30), i + 1800),
+                 r.choice([name, "Aurelia", ""]), prose(5, i)]
+        texts.append(" ".join(parts if i % 5 else parts[:1]))
+    both, of_entity, everywhere, per_text = Counter(), Counter(), Counter(), []
+    for t in texts:
+        words = [(m[0].lower(), *m.span()) for m in re.finditer(r"[^\W\d_]{3,}", t)]
+        everywhere.update(w for w, _, _ in words)
+        spans = pii.base_spans(t)
+        free = [w for w in words if not any(a < w[2] and w[1] < b for _, a, b in spans)]
+        per_text.append((free, {f"{k}:{t[a:b].lower()}" for k, a, b in spans}))
+        for k, a, b in spans:
+            near = [w for w in words if w[2] <= a and a - w[1] <= 120][-6:] + [w for w in words if w[1] >= b and w[2] - b <= 120][:6]
+            for w in near:
+                if w in free:
+                    both[f"{k}:{t[a:b].lower()}", w[0]] += 1
+                    of_entity[f"{k}:{t[a:b].lower()}"] += 1
+    of_all, strong = sum(of_entity.values()), set()
+    for (e, w), n in both.items():
+        given, bits = min(1.0, n / everywhere[w]), math.log2(of_all / of_entity[e])
+        if n >= 3 and given >= 0.5 and math.log2(given) + bits >= min(4.0, 0.75 * bits):
+            strong.add((e, w))
+    assert strong
+    got = {x.doc_id: [tuple(s)[1:] for s in x.terms] for x in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, (free, entities) in enumerate(per_text):
+        assert got[i] == [w[1:] for w in free if any((e, w[0]) in strong for e in entities)]
+
+
+def test_pii_of_very_many_matches_in_one_text(spark):
+    """Fifty thousand matches in one text take linear time, in the scan and where they are generalised."""
+    import time
+    text = " ".join(f"user{i}@host{i % 999}.example met 10.{i % 250}.0.{i % 200}" for i in range(25_000))
+    began = time.perf_counter()
+    spans = pii.base_spans(text)
+    assert len(spans) == 50_000 and len(pii.mentions(text, spans)) == 50_000
+    clean = pii.generalise(text, [(s, e, k) for k, s, e in spans])
+    assert clean == " ".join(["[EMAIL] met [IP]"] * 25_000)
+    assert pii.term_spans(text, [s[1:] for s in spans], {"met"})[0] == (len("user0@host0.example "), len("user0@host0.example met"))
+    assert time.perf_counter() - began < 15
+
+
+def test_pii_overlapping_spans_become_the_first_of_them():
+    assert pii.generalise("0123456789", [(2, 5, "ip"), (4, 7, "card"), (6, 8, "phone"), (9, 10, "term")]) == "01[IP]8[TERM]"
+
+
+def test_pii_terms_in_the_whole_text_of_a_document_with_a_mention(spark):
+    """A disclosing term is found far from the mention, also where this document has none beside it."""
     rows = [(i, f"Zebulon Quimby wrote to zeb@corp.example from {prose(12, i)}") for i in range(20)]
     far = [(100, f"ZEBULON {prose(200, 3)} Zebulon Quimby {prose(200, 4)} zeb@corp.example {prose(200, 5)} Quimby end"),
            (101, f"Zebulon {prose(200, 6)} other@corp.example")]
@@ -286,11 +339,9 @@ def test_pii_terms_in_the_whole_text_of_a_document_with_a_mention(spark, monkeyp
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted(m.span() for w in ("zebulon", "quimby") for m in re.finditer(w, far[0][1], re.I))
     assert len(want) == 4
-    for at_once in (pii.PAIRS_AT_ONCE, 1):
-        monkeypatch.setattr(pii, "PAIRS_AT_ONCE", at_once)
-        got = [(r.doc_id, [tuple(s)[1:] for s in r.terms]) for r in pii.find_pii(docs).collect()]
-        assert len(got) == len(rows)
-        assert [t for i, t in got if i == 100] == [want] * 2 and [t for i, t in got if i == 101] == [[]] * 2
+    got = [(r.doc_id, [tuple(s)[1:] for s in r.terms]) for r in pii.find_pii(docs).collect()]
+    assert len(got) == len(rows)
+    assert [t for i, t in got if i == 100] == [want] * 2 and [t for i, t in got if i == 101] == [[]] * 2
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert "zebulon" not in clean[100].lower() and "quimby" not in clean[100].lower()
 
