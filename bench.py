@@ -24,7 +24,7 @@ HEADLINE = ["feat_all", "feat_expanding", "feat_window_counts", "feat_window_val
             "average_precision", "evaluate_model", "stratified_split", "stable_split", "batch_score",
             "online_latest", "dataset_digest", "monitor_performance", "feat_p95_flag", "impute_median",
             "impute_mode", "category_vocab", "one_hot", "feature_matrix", "feature_profile",
-            "champion_challenger_eval", "promotion_decision", "audit_trail"]
+            "champion_challenger_eval", "promotion_decision", "audit_trail", "feat_last_k_sum", "gbt_train_score"]
 
 
 def main() -> None:
