@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.digest import hash_prefix_60
@@ -65,3 +65,15 @@ def new_labels(current: DataFrame, previous: DataFrame, id_cols: list[str]) -> D
     """Labelled rows of ``current`` whose id is absent from ``previous``
     (left anti join; AQE broadcasts the previous side only if it is small)."""
     return current.join(previous.select(*id_cols), id_cols, "left_anti")
+
+
+def sample_rows(df: DataFrame, id_col: str, n: int, seed: int = 42, group_by: tuple[str, ...] = ()) -> DataFrame:
+    """At most ``n`` rows of each group (NULL is one), those of the least hash of seed and id; ties by id.
+
+    The choice depends on the rows alone, not on their partitioning.  Spark
+    keeps the best ``n`` of a group in every task before the shuffle, so a hot
+    group costs tasks x n rows.
+    """
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), F.col(id_col)]
+    w = Window.partitionBy(*(group_by or (F.lit(0),))).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")

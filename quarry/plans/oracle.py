@@ -147,6 +147,12 @@ select count(*)::bigint as n_rows, true as beats_prior, true as probabilities, 3
   1.0::double as importance_total from d
 """
 
+ROW_SAMPLE = f"""
+with d as (select doc_id, source, n_chars, quality is not null as labelled from documents left join labels using (doc_id)),
+r as (select *, row_number() over (partition by source, labelled order by md5('{Q.SEED}:' || doc_id::varchar), doc_id) as rn from d)
+select doc_id, source, labelled, n_chars from r where rn <= 5
+"""
+
 P95 = f"""
 with q as (select event_id, value, quantile_cont(value, 0.95) over
   (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as p from events)
@@ -499,6 +505,7 @@ ORACLE = {
     "feat_all": ALL,
     "feat_window_counts": WINDOW_COUNTS,
     "feat_window_values": WINDOW_VALUES,
+    "row_sample": ROW_SAMPLE,
     "learner_quality": LEARNER_QUALITY,
     "feat_order_window_values": ORDER_WINDOW_VALUES,
     "feat_last_k_orders": LAST_K_ORDERS,

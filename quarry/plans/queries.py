@@ -236,6 +236,12 @@ def labeled_rows(spark, d):
     return ds.labeled_rows(_docs(spark, d), DOC_SPEC)
 
 
+def row_sample(spark, d):
+    """Five input examples of each source and label state, the same whatever the partitioning."""
+    docs = _docs(spark, d).withColumn("labelled", F.col("label").isNotNull())
+    return ds.sample_rows(docs, "doc_id", 5, SEED, ("source", "labelled")).select("doc_id", "source", "labelled", "n_chars")
+
+
 def unlabeled_rows(spark, d):
     return ds.unlabeled_rows(_docs(spark, d), DOC_SPEC)
 
@@ -680,6 +686,7 @@ QUERIES = {
     "prediction_truth_join": prediction_truth_join,
     "labeled_rows": labeled_rows,
     "unlabeled_rows": unlabeled_rows,
+    "row_sample": row_sample,
     "class_balance": class_balance,
     "label_assign": label_assign,
     "new_labels": new_labels,
