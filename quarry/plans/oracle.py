@@ -494,6 +494,10 @@ select n_new_labels, n_new_labels >= 30 as enough_new_labels, coalesce(psi > 0.2
   n_new_labels >= 30 or coalesce(psi > 0.2, false) as retrain from n, d
 """
 
+RETRAIN_LABELS = f"""
+select count(*) as n_new_labels, count(*) >= 30 as enough_new_labels, count(*) >= 30 as retrain from ({NEW_LABELS})
+"""
+
 ORACLE = {
     "feat_expanding": EXPANDING,
     "feat_ratio": RATIO,
@@ -557,4 +561,5 @@ ORACLE = {
     "feature_profile": PROFILE,
     "feature_drift_psi": PSI,
     "retrain_trigger": RETRAIN,
+    "retrain_by_labels": RETRAIN_LABELS,
 }

@@ -663,6 +663,12 @@ def retrain_trigger(spark, d):
     return t.select("n_new_labels", "enough_new_labels", "drift_detected", "retrain")
 
 
+def retrain_by_labels(spark, d):
+    """The default rule: the number of new labels alone."""
+    n = new_labels(spark, d).agg(F.count(F.lit(1)).alias("n_new_labels"))
+    return mon.retrain_trigger(n).select("n_new_labels", "enough_new_labels", "retrain")
+
+
 QUERIES = {
     "feat_expanding": feat_expanding,
     "feat_ratio": feat_ratio,
@@ -728,4 +734,5 @@ QUERIES = {
     "feature_profile": feature_profile,
     "feature_drift_psi": feature_drift_psi,
     "retrain_trigger": retrain_trigger,
+    "retrain_by_labels": retrain_by_labels,
 }
