@@ -194,6 +194,18 @@ select o_orderkey, o_custkey, o_orderdate, label_order as l_label_order, label_t
 from m where rn = 1
 """
 
+ASOF_AVAILABLE = """
+with lab as (select o_orderkey as label_order, o_custkey, case when o_orderkey % 17 <> 0 then o_orderdate end as event_ts,
+        case when o_orderkey % 19 <> 0 then o_orderdate + to_days((o_orderkey * 7 % 700)::INTEGER) end as available_ts,
+        o_orderstatus = 'F' as label from orders),
+lft as (select o_orderkey, o_custkey, case when o_orderkey % 13 <> 0 then o_orderdate end as as_of,
+        case when o_orderkey % 11 <> 0 then o_orderdate + to_days((o_orderkey * 13 % 600 - 100)::INTEGER) end as cutoff from orders),
+m as (select f.*, l.label_order as l_label_order, l.available_ts as l_available_ts, l.label as l_label,
+        row_number() over (partition by f.o_orderkey order by l.event_ts desc nulls last, l.label_order desc nulls last) as rn
+      from lft f left join lab l on l.o_custkey = f.o_custkey and l.event_ts <= f.as_of and l.available_ts <= f.cutoff)
+select o_orderkey, o_custkey, as_of, cutoff, l_label_order, l_available_ts, l_label from m where rn = 1
+"""
+
 _PRED = (f"select event_id, user_id, ts as prediction_timestamp, (1 + event_id % 3)::VARCHAR as model_version, "
          f"{SCORE} as score, value from events")
 _TRUTH_T = (f"select event_id, {TRUTH} as truth from events "
@@ -520,6 +532,7 @@ ORACLE = {
     "feature_lookup": FEATURE_LOOKUP,
     "delayed_labels": DELAYED,
     "asof_label_join": ASOF,
+    "asof_available_labels": ASOF_AVAILABLE,
     "prediction_truth_join": PRED_TRUTH,
     "labeled_rows": LABELED,
     "unlabeled_rows": UNLABELED,

@@ -25,6 +25,7 @@ from quarry.operators import registry as reg
 from quarry.operators import split as sp
 from quarry.operators import windows as W
 from quarry.operators.asof import asof_join
+from quarry.operators.asof_available import asof_available_join
 from quarry.operators.keyed import EventOrder
 from quarry.operators.model import feature_entries, fit_model, importance_frame, preprocessing_stages
 from quarry.operators.scoring import Provenance, score_rows
@@ -204,6 +205,21 @@ def asof_label_join(spark, d):
     return j
 
 
+def asof_available_labels(spark, d):
+    """The label of the customer's latest order up to each order that was available by the order's own cutoff.
+
+    NULLs on both axes of both sides; hot keys are ranked and swept in small chunks."""
+    left = tb.order_stream(spark, d).select("o_orderkey", "o_custkey", tb.gappy("o_orderdate", 13).alias("as_of"),
+                                            tb.label_cutoff().alias("cutoff"))
+    slow = delayed_labels(tb.order_stream(spark, d), "o_orderkey", "o_custkey", "o_orderdate",
+                          F.col("o_orderstatus") == "F", F.col("o_orderkey") * 7 % 700)
+    labels = slow.select(F.col("o_orderkey").alias("label_order"), "o_custkey", tb.gappy("event_ts", 17).alias("event_ts"),
+                         tb.gappy("label_ts", 19).alias("available_ts"), "label")
+    return asof_available_join(left, labels, left_key="o_custkey", right_key="o_custkey", left_time="as_of", left_cutoff="cutoff",
+                               right_time="event_ts", right_available="available_ts", right_tie="label_order",
+                               payload=["label_order", "available_ts", "label"], prefix="l_", hot_threshold=24)
+
+
 def _predictions(spark, d) -> DataFrame:
     ev = tb.transactions(spark, d)
     return ev.select("event_id", "user_id", F.col("ts").alias("prediction_timestamp"),
@@ -689,6 +705,7 @@ QUERIES = {
     "feature_lookup": feature_lookup,
     "delayed_labels": delayed_label_table,
     "asof_label_join": asof_label_join,
+    "asof_available_labels": asof_available_labels,
     "prediction_truth_join": prediction_truth_join,
     "labeled_rows": labeled_rows,
     "unlabeled_rows": unlabeled_rows,

@@ -86,6 +86,17 @@ def wide_k(id_col: str = "o_orderkey") -> Column:
     return F.when(F.col(id_col) % 50 == 0, F.lit(1_000_000)).otherwise((F.lit(1) + F.col(id_col) % 40).cast("int"))
 
 
+def gappy(col: str, every: int, id_col: str = "o_orderkey") -> Column:
+    """``col``, NULL for every ``every``-th id."""
+    return F.when(F.col(id_col) % every != 0, F.col(col))
+
+
+def label_cutoff(id_col: str = "o_orderkey") -> Column:
+    """When a row's labels are gathered: from 100 days before the order to 499 after it; NULL for every 11th id."""
+    days = (F.col(id_col) * 13 % 600 - 100).cast("int")
+    return F.when(F.col(id_col) % 11 != 0, F.col("o_orderdate") + F.make_dt_interval(days=days))
+
+
 def documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents ⟕ labels: the feature table with a nullable label.
 
