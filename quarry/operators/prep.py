@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 NULL_CATEGORY = "__null__"
 BUCKETS = 4096
 
@@ -134,17 +136,40 @@ def boolean_as_category(col: str):
     return F.coalesce(F.lower(F.col(col).cast("string")), F.lit(NULL_CATEGORY))
 
 
+def value_ranges(df: DataFrame, columns) -> DataFrame:
+    """``column_name, value, _r``: the distinct non-null values, cut into ranges of about equal size that ascend
+    with ``_r``, as a written table.  Ranges follow the values (a sample of them sets the bounds), so values
+    with one beginning spread like any others; there are as many as shuffle partitions."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    domain = df.select(F.explode(cells).alias("_e")).select("_e.column_name", "_e.value").where(F.col("value").isNotNull()).distinct()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written, since a later sample may set other bounds
+    return cut_lineage(domain.repartitionByRange(parts, "column_name", "value").withColumn("_r", F.spark_partition_id()), "vocabulary")
+
+
 def vocabulary(df: DataFrame, columns) -> DataFrame:
     """(column_name, value, slot) with slots in ascending value order.
 
-    Values are ranked within leading-text ranges of their column and the
-    ranges' sizes are added up, so no task holds a column's whole domain."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
-    domain = (df.select(F.explode(cells).alias("_e")).select("_e.column_name", "_e.value")
-              .where(F.col("value").isNotNull()).distinct().withColumn("_r", F.substring("value", 1, 3)))
-    sizes = domain.groupBy("column_name", "_r").agg(F.count(F.lit(1)).alias("_n"))
+    Values are ranked within their range and the ranges' sizes are added up,
+    so no task holds a column's whole domain."""
+    ranges = value_ranges(df, columns)
+    sizes = ranges.groupBy("column_name", "_r").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("column_name").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("column_name", "_r", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_at"))
     inside = F.row_number().over(Window.partitionBy("column_name", "_r").orderBy("value"))
-    return (domain.withColumn("_i", inside - 1).join(starts, ["column_name", "_r"])
+    return (ranges.withColumn("_i", inside - 1).join(starts, ["column_name", "_r"])
             .select("column_name", "value", (F.col("_at") + F.col("_i")).cast("int").alias("slot")))
+
+
+def encode_rows(df: DataFrame, ids: list[str], columns, vocab: DataFrame) -> DataFrame:
+    """``ids, column_name, slot``: the slot of every cell of ``columns`` by a fitted ``vocabulary`` table.
+
+    NULL and values unseen when fitting yield no row.  The vocabulary is joined
+    and never listed on the driver, so its size has no bound; it has one row
+    for each value, and the cells of a frequent value are split by the skew
+    join of adaptive execution."""
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    long = df.select(*ids, F.explode(cells).alias("_e")).select(*ids, F.col("_e.c").alias("_c"), F.col("_e.v").alias("_v"))
+    slots = vocab.select(F.col("column_name").alias("_c"), F.col("value").alias("_v"), F.col("slot").alias("_slot"))
+    return (long.where(F.col("_v").isNotNull()).join(slots, ["_c", "_v"])
+            .select(*ids, F.col("_c").alias("column_name"), F.col("_slot").alias("slot")))

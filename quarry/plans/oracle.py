@@ -383,6 +383,16 @@ from (select distinct 'lang' as column_name, lang as value from documents
       union all select distinct 'source', source from documents)
 """
 
+ORDER_CODES = """
+with o as (select o_orderkey, 'merchant_' || o_orderkey::VARCHAR as merchant,
+        'merchant_' || case when o_orderkey % 13 <> 0 then o_custkey end::VARCHAR as customer, o_orderstatus from orders),
+cells as (select o_orderkey, 'merchant' as column_name, merchant as value from o union all select o_orderkey, 'customer', customer from o
+          union all select o_orderkey, 'o_orderstatus', o_orderstatus from o),
+v as (select column_name, value, row_number() over (partition by column_name order by value) - 1 as slot
+      from (select distinct column_name, value from cells where o_orderkey % 5 <> 0 and value is not null))
+select c.o_orderkey, c.column_name, v.slot::INTEGER as slot from cells c join v using (column_name, value)
+"""
+
 _FIT = f"select * from ({_DOCS_NULL}) where lang <> 'fr'"
 _ENC = (f"coalesce(lang_null, ({_mode('lang_null', _FIT)})) as lang_c, "
         f"coalesce(source_null, ({_mode('source_null', _FIT)})) as source_c, "
@@ -426,6 +436,14 @@ select TIMESTAMP '{_P.prediction_timestamp}' as prediction_timestamp, '{_P.model
 from s
 """
 
+VERIFY_SCORED = f"""
+with u as ({UNLABELED})
+select doc_id, case when doc_id % 10 < 2 then '0' when doc_id % 10 < 8 then '1' when doc_id % 10 = 8 then '5' end as feature_table_version,
+  case when doc_id % 10 >= 8 then 'no_version' when doc_id % 10 = 1 then 'feature_set' when doc_id % 10 = 7 then 'no_row'
+       when doc_id % 10 = 3 then 'changed' else 'ok' end as verdict
+from u
+"""
+
 SCORING_JOB = f"""
 with u as ({UNLABELED})
 select doc_id, 'doc_quality' as model_name, 'champion' as model_alias, '1' as model_version, 'run_1' as model_source_run_id,
@@ -500,6 +518,24 @@ s as (select greatest(nb / tb, 1e-6) as p, greatest(nc / tc, 1e-6) as q from c,
 select sum((q - p) * ln(q / p)) as psi from s
 """
 PSI = f"select 'value' as column_name, {R('psi')} as psi, psi > 0.2 as drift from ({_PSI})"
+_EDGES = "list_sort(list_distinct(quantile_cont({c}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])))"
+DRIFT_BY_COLUMN = f"""
+with e as (select ts < TIMESTAMP '{Q.DRIFT_SPLIT}' as early, value, case when event_id % 7 <> 0 then value end as value_null, event_type,
+        user_id::VARCHAR as "user" from events),
+x as (select early, case when early then value else value * 1.5 end as value, value_null,
+        case when early or event_type <> 'error' then event_type end as event_type, "user" from e),
+k as (select {_EDGES.format(c='value')} as ev, {_EDGES.format(c='value_null')} as en from x where early),
+cells as (
+  select early, 'value' as column_name, len(list_filter(ev, lambda b: b <= value))::VARCHAR as bin from x, k
+  union all select early, 'value_null', case when value_null is null then 'none' else len(list_filter(en, lambda b: b <= value_null))::VARCHAR end from x, k
+  union all select early, 'event_type', coalesce('v' || event_type, 'none') from x
+  union all select early, 'user', coalesce('v' || "user", 'none') from x),
+c as (select column_name, bin, count(*) filter (where early) as n, count(*) filter (where not early) as m from cells group by 1, 2),
+t as (select column_name, sum(n)::BIGINT as n_base, sum(m)::BIGINT as n_cur from c group by 1),
+s as (select column_name, n_base, n_cur, greatest(n / n_base, 1e-6) as p, greatest(m / n_cur, 1e-6) as q from c join t using (column_name))
+select column_name, n_base, n_cur, {R('sum((q - p) * ln(q / p))')} as psi, sum((q - p) * ln(q / p)) > 0.2 as drift
+from s group by 1, 2, 3
+"""
 RETRAIN = f"""
 with n as (select count(*) as n_new_labels from ({NEW_LABELS})), d as ({_PSI})
 select n_new_labels, n_new_labels >= 30 as enough_new_labels, coalesce(psi > 0.2, false) as drift_detected,
@@ -558,9 +594,11 @@ ORACLE = {
     "impute_median": IMPUTE_MEDIAN,
     "impute_mode": IMPUTE_MODE,
     "category_vocab": VOCAB,
+    "order_codes": ORDER_CODES,
     "one_hot": ONE_HOT,
     "feature_matrix": FEATURE_MATRIX,
     "batch_score": BATCH_SCORE,
+    "verify_scored": VERIFY_SCORED,
     "scoring_job": SCORING_JOB,
     "row_digest": ROW_DIGEST,
     "dataset_digest": DATASET_DIGEST,
@@ -573,6 +611,7 @@ ORACLE = {
     "monitor_performance": MONITOR_PERF,
     "feature_profile": PROFILE,
     "feature_drift_psi": PSI,
+    "drift_by_column": DRIFT_BY_COLUMN,
     "retrain_trigger": RETRAIN,
     "retrain_by_labels": RETRAIN_LABELS,
 }

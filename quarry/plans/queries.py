@@ -26,9 +26,11 @@ from quarry.operators import split as sp
 from quarry.operators import windows as W
 from quarry.operators.asof import asof_join
 from quarry.operators.asof_available import asof_available_join
+from quarry.operators.drift import column_drift, fit_baseline
 from quarry.operators.keyed import EventOrder
 from quarry.operators.model import feature_entries, fit_model, importance_frame, preprocessing_stages
 from quarry.operators.scoring import Provenance, score_rows
+from quarry.operators.verify import verify_scored_rows
 from quarry.plans.batch_scoring import ScoreConfig
 from quarry.plans.batch_scoring import score as score_job
 from quarry.plans.training import model_path
@@ -491,6 +493,17 @@ def category_vocab(spark, d):
     return prep.vocabulary(docs, ["lang", "source"])
 
 
+def order_codes(spark, d):
+    """Codes of columns with as many values as rows, all with one beginning, fitted on four fifths of the
+    orders and looked up for all."""
+    orders = tb.order_stream(spark, d).select(
+        "o_orderkey", F.concat(F.lit("merchant_"), F.col("o_orderkey")).alias("merchant"),
+        F.concat(F.lit("merchant_"), tb.gappy("o_custkey", 13)).alias("customer"), "o_orderstatus")
+    columns = ["merchant", "customer", "o_orderstatus"]
+    vocab = prep.vocabulary(orders.where(F.col("o_orderkey") % 5 != 0), columns)
+    return prep.encode_rows(orders, ["o_orderkey"], columns, vocab)
+
+
 def one_hot(spark, d):
     """Fit and transform on different rows: mode-impute + StringIndexer(keep) +
     one-hot fitted on ``lang <> 'fr'`` and applied to every row, so that ``fr``
@@ -557,6 +570,20 @@ def batch_score(spark, d):
     return score_rows(unl, DOC_SPEC, _doc_score, BATCH_PROVENANCE, threshold=0.5)
 
 
+def verify_scored(spark, d):
+    """Scored rows checked against the version that they name, after a second version changed some rows and
+    lost others; some predictions name it wrongly, some another feature set or no version."""
+    docs = ds.unlabeled_rows(_docs(spark, d), DOC_SPEC)
+    table = snap.SnapshotTable(spark, scratch_path(spark, f"verify-{uuid.uuid4().hex}"))
+    table.publish(docs, digest=False)
+    part = F.col("doc_id") % 10
+    table.publish(docs.where(part != 7).withColumn("n_chars", F.col("n_chars") + F.when(part == 3, 1).otherwise(0)), digest=False)
+    scored = score_rows(table.read(0), DOC_SPEC, _doc_score, BATCH_PROVENANCE).withColumns({
+        "feature_table_version": F.when(part < 2, "0").when(part < 8, "1").when(part == 8, "5"),
+        "feature_set_digest": F.when(part == 1, "other").otherwise(F.col("feature_set_digest"))})
+    return verify_scored_rows(scored, table, DOC_SPEC).select("doc_id", "feature_table_version", "verdict")
+
+
 def scoring_job(spark, d):
     """The whole job: published snapshot, registered and aliased model fitted on
     its labelled rows, unlabelled rows scored into the sink, and read back."""
@@ -673,6 +700,18 @@ def feature_drift_psi(spark, d):
     return _drift(spark, d).select("column_name", r6("psi").alias("psi"), "drift")
 
 
+def drift_by_column(spark, d):
+    """Numeric, text and high-cardinality columns of later events against a baseline fitted on earlier ones
+    and kept as a snapshot."""
+    ev = tb.transactions(spark, d).select("ts", "value", tb.nullable_value().alias("value_null"), "event_type",
+                                          F.col("user_id").cast("string").alias("user"))
+    early = F.col("ts") < F.lit(DRIFT_SPLIT).cast("timestamp_ntz")
+    later = ev.where(~early).withColumns({"value": F.col("value") * 1.5, "event_type": F.when(F.col("event_type") != "error", F.col("event_type"))})
+    table = snap.SnapshotTable(spark, scratch_path(spark, f"baseline-{uuid.uuid4().hex}"))
+    table.publish(fit_baseline(ev.where(early), ["value", "value_null"], ["event_type", "user"]), digest=False)
+    return column_drift(table.read(), later).select("column_name", "n_base", "n_cur", r6("psi").alias("psi"), "drift")
+
+
 def retrain_trigger(spark, d):
     n = new_labels(spark, d).agg(F.count(F.lit(1)).alias("n_new_labels"))
     t = mon.retrain_trigger(n, drift=_drift(spark, d))
@@ -732,12 +771,14 @@ QUERIES = {
     "impute_median": impute_median,
     "impute_mode": impute_mode,
     "category_vocab": category_vocab,
+    "order_codes": order_codes,
     "one_hot": one_hot,
     "feature_matrix": feature_matrix,
     "gbt_train_score": gbt_train_score,
     "importance_topk": importance_topk,
     "learner_quality": learner_quality,
     "batch_score": batch_score,
+    "verify_scored": verify_scored,
     "scoring_job": scoring_job,
     "row_digest": row_digest_q,
     "dataset_digest": dataset_digest_q,
@@ -750,6 +791,7 @@ QUERIES = {
     "monitor_performance": monitor_performance,
     "feature_profile": feature_profile,
     "feature_drift_psi": feature_drift_psi,
+    "drift_by_column": drift_by_column,
     "retrain_trigger": retrain_trigger,
     "retrain_by_labels": retrain_by_labels,
 }
