@@ -5,10 +5,9 @@ every earlier value and re-sorts the frame for every row: O(n²) per key,
 and a hot key is one task.  This module computes the same numbers as order
 statistics answered by a radix descent over value ranks:
 
-1. every distinct value gets its dense rank ``_rho`` (``dense_value_rank``:
-   distinct values are cut into buckets at ``percentile_approx`` boundaries,
-   a bounded per-bucket count table gives each bucket's offset, and a window
-   per bucket ranks locally; no task sees the whole domain);
+1. every non-null value gets its place ``_rho`` among its key's values
+   (``key_value_rank``: a window per key; a hot key is cut at quantiles of its
+   values and the sizes of the lower pieces are added);
 2. for a row with ``n`` earlier non-null values the wanted ranks are
    ``floor(h)`` and ``ceil(h)``, ``h = q·(n − 1)``; each is a *query row*
    that follows the row's own position in event order;
@@ -17,11 +16,13 @@ statistics answered by a radix descent over value ranks:
    query rows (prefix found so far, remaining rank) are unioned, and one
    window over ``(key, _chunk, prefix)`` ordered by ``(ts, tie, kind)``
    counts, for each digit ``d``, the earlier data rows with digit ``<= d``.
+   Ranks are those of a key, so the longest history sets the levels, not the
+   number of values in the table.
    The query takes the first digit whose count passes its remaining rank.
    A query row follows both ranks while they share a prefix and splits in two
    only when they part, so there is about one query row per event.  On the
    last level the prefix is the answer's rank and the window also carries
-   each digit's value, so no lookup join back to the dictionary is needed.
+   each digit's value, so no join by value or rank is needed.
 
 Work is O(n · levels) rows per level with no frame re-aggregation and no cap
 on history.  Hot keys use the time chunks of ``keyed``: the count of earlier
@@ -36,9 +37,6 @@ shared checkpoint folder (``session.cut_lineage``).
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,40 +44,29 @@ from quarry.operators.keyed import CHUNK, HOT, EventOrder, hot_key_chunks, hot_k
 from quarry.session import cut_lineage
 
 DIGIT_CHOICES = (4, 5, 6)
-VALUES_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
 
 UNB = Window.unboundedPreceding
 CUR = Window.currentRow
 
 
-def dense_value_rank(df: DataFrame, col: str,
-                     values_per_bucket: int = VALUES_PER_BUCKET) -> tuple[DataFrame, int]:
-    """``((_v, _rho), D)``: each distinct non-null value of ``col`` with its
-    0-based dense rank, and the number of distinct values."""
-    vals = cut_lineage(df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct(),
-                       "rank-values")
-    n_vals = vals.count()
-    n_buckets = max(1, min(MAX_BUCKETS, -(-n_vals // max(1, values_per_bucket))))
-    if n_buckets == 1:
-        bucketed = vals.withColumn("_b", F.lit(0.0))
-    else:
-        # boundaries: at most MAX_BUCKETS - 1 doubles reach the driver
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        acc = max(10_000, 8 * n_buckets)
-        cuts = vals.agg(F.percentile_approx(F.col("_v").cast("double"), probs, acc)).first()[0]
-        splits = sorted({float(c) for c in cuts if c is not None and not math.isnan(c)})
-        bucketizer = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="_vd", outputCol="_b",
-                                handleInvalid="keep")
-        bucketed = bucketizer.transform(vals.withColumn("_vd", F.col("_v").cast("double"))).drop("_vd")
-    counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_nb"))
-    # one row per bucket: bounded by MAX_BUCKETS
-    offsets = counts.select("_b", F.coalesce(F.sum("_nb").over(Window.orderBy("_b").rowsBetween(UNB, -1)),
-                                             F.lit(0)).alias("_off"))
-    local = bucketed.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_v")) - 1)
-    ranked = local.join(F.broadcast(offsets), "_b").select(
-        "_v", (F.col("_off") + F.col("_r")).cast("long").alias("_rho"))
-    return ranked, n_vals
+def key_value_rank(df: DataFrame, order: EventOrder, value: str, threshold: int | None) -> DataFrame:
+    """``key, ts, tie, _v, _rho``: the 0-based place of each row's value among its key's non-null values (equal
+    values in event order), NULL for a NULL value.  ``threshold`` is None where no key has more values."""
+    keys = [order.key, order.ts, order.tie]
+    rows = df.select(*keys, F.col(value).alias("_v"))
+    there = rows.where(F.col("_v").isNotNull())
+    place = EventOrder(order.key, "_v", order.ts)
+    size = F.col("_v").cast("double")
+    hot = None if threshold is None else hot_key_chunks(there, place, threshold, time_us=size)
+    there = with_chunks(there, place, hot, time_us=size)
+    at = F.row_number().over(Window.partitionBy(order.key, CHUNK).orderBy("_v", order.ts, order.tie)) - 1
+    ranked = there.withColumn("_rho", at.cast("long"))
+    if hot is not None:
+        sizes = there.where(F.col(HOT)).groupBy(order.key, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+        lower = sizes.select(order.key, CHUNK, F.sum("_n").over(Window.partitionBy(order.key).orderBy(CHUNK).rowsBetween(UNB, -1)).alias("_lower"))
+        ranked = join_null_safe(ranked, lower, [order.key, CHUNK]).withColumn("_rho", F.col("_rho") + F.coalesce("_lower", F.lit(0)))
+    without = rows.where(F.col("_v").isNull()).withColumn("_rho", F.lit(None).cast("long"))
+    return ranked.select(*keys, "_v", "_rho").unionByName(without)
 
 
 def _q(name: str) -> str:
@@ -95,22 +82,21 @@ def digit_plan(n_vals: int) -> tuple[int, int]:
 
 
 def prior_quantile(df: DataFrame, order: EventOrder, value: str, q: float, *,
-                   hot_threshold: int | None = None,
-                   values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+                   hot_threshold: int | None = None) -> DataFrame:
     """``(key, ts, tie, _pq)``: the q-quantile (linear interpolation, as
     ``percentile``) of the key's non-null values strictly before each row in
     ``(ts, tie)`` order; rows without earlier values are absent."""
     if not 0.0 <= q <= 1.0:
         raise ValueError(f"quantile must be in [0, 1], got {q}")
-    spark = df.sparkSession
-    hot = hot_key_chunks(df, order, hot_key_rows(spark, hot_threshold))
-    rho_tab, n_vals = dense_value_rank(df, value, values_per_bucket)
-    bits, levels = digit_plan(n_vals)
+    threshold = hot_key_rows(df.sparkSession, hot_threshold)
+    longest, most = df.groupBy(order.key).agg(F.count(F.lit(1)).alias("_a"), F.count(value).alias("_n")).agg(F.max("_a"), F.max("_n")).first()
+    hot = hot_key_chunks(df, order, threshold) if (longest or 0) > threshold else None
+    ranked = key_value_rank(df, order, value, threshold if (most or 0) > threshold else None)
+    bits, levels = digit_plan(most or 0)
     fan = 1 << bits
     keys = [order.key, order.ts, order.tie]
 
-    base = with_chunks(df.select(*keys, F.col(value).alias("_v")), order, hot)
-    base = cut_lineage(base.join(rho_tab, "_v", "left").select(*keys, CHUNK, HOT, "_v", "_rho"), "quantile-base")
+    base = cut_lineage(with_chunks(ranked, order, hot).select(*keys, CHUNK, HOT, "_v", "_rho"), "quantile-base")
     # one query row per event; _m: 2 = both ranks (lo, lo + 1) in this
     # prefix group, 0 = lo only, 1 = hi only (after the two ranks part)
     qs = base.select(*keys, CHUNK, HOT, F.lit(2).alias("_m"), F.lit(0).cast("long").alias("_pre"),

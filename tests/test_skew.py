@@ -95,14 +95,14 @@ def _prior_pct_brute(df, q):
 def test_prior_quantile_radix_equals_brute_force(spark):
     """Radix descent over value ranks = growing-frame percentile, with one key
     holding a third of all rows split into chunks, NULL values, tied values,
-    several value-rank buckets and the extreme quantiles."""
+    values cut into pieces and the extreme quantiles."""
     from quarry.operators.orderstat import prior_quantile
     ev = tb.transactions(spark, SF_MID)
     skewed = (ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
                 .withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(None))
                                       .otherwise(F.round(F.col("value") / 10))))
     for q in (0.95, 0.5, 0.0, 1.0):
-        a = prior_quantile(skewed, EV, "value", q, hot_threshold=300, values_per_bucket=3)
+        a = prior_quantile(skewed, EV, "value", q, hot_threshold=300)
         a = a.select("event_id", Q.r6("_pq").alias("p"))
         assert_same(a.toPandas(), _prior_pct_brute(skewed, q).toPandas())
 
@@ -117,19 +117,21 @@ def test_digit_plan():
         assert bits * levels >= (n - 1).bit_length()
 
 
-def test_dense_value_rank_across_buckets(spark):
-    """Bucketed dense rank = one global dense_rank (small fixture), for one
-    bucket and for many buckets (a few values each)."""
-    from pyspark.sql import Window
-    from quarry.operators.orderstat import dense_value_rank
-    ev = tb.transactions(spark, SF_MID).withColumn("value", F.round(F.col("value")))
-    want = (ev.select("value").where(F.col("value").isNotNull()).distinct()
-              .select(F.col("value").alias("_v"),
-                      (F.dense_rank().over(Window.orderBy("value")) - 1).cast("long").alias("_rho")))
-    for per_bucket in (10**9, 7):
-        got, n = dense_value_rank(ev, "value", values_per_bucket=per_bucket)
-        assert n == want.count()
-        assert_same(got.toPandas(), want.toPandas())
+def test_value_rank_across_pieces(spark):
+    """Places within a key, whole or cut into pieces of a few values, are those of sorting its values."""
+    import pandas as pd
+    from quarry.operators.orderstat import key_value_rank
+    ev = tb.transactions(spark, SF_MID).withColumns({
+        "user_id": F.when(F.col("event_id") % 3 > 0, F.lit(None)).otherwise(F.col("user_id")),
+        "value": F.when(F.col("event_id") % 5 > 0, F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).otherwise(F.round("value")))})
+    for threshold in (None, 7):
+        got = key_value_rank(ev, EV, "value", threshold).toPandas()
+        assert len(got) == ev.count() and got[got._v.isna() & got._rho.notna()].event_id.mod(11).eq(0).all()
+        ranked = got[got._rho.notna()].sort_values(["user_id", "_rho"])
+        assert len(ranked) == ev.where("value is not null").count()
+        for _, rows in ranked.groupby("user_id", dropna=False):
+            assert rows._rho.tolist() == list(range(len(rows)))
+            assert rows._v.reset_index(drop=True).equals(pd.Series(sorted(rows._v, key=lambda x: (np.isnan(x), x)), name="_v"))
 
 
 def test_prior_quantile_edge_inputs(spark):
