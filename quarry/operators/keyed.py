@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import epoch_micros
+from quarry.session import cut_lineage
 
 HOT_KEY_CONF = "quarry.skew.hotKeyRows"
 DEFAULT_HOT_KEY_ROWS = 2_000_000
@@ -101,6 +102,14 @@ def hot_row_cuts(rows: DataFrame, key: str, tile: str, offset: str, threshold: i
     return _quantile_cuts(hot, key, int(largest), threshold)
 
 
+def by_ranges(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``df`` as a written table with ``_r``: ranges of ``columns`` of about equal size that ascend with ``_r``.
+
+    Spark samples the rows for the bounds and merges small ranges; the table is
+    written because a later sample may set other bounds."""
+    return cut_lineage(df.repartitionByRange(*columns).withColumn("_r", F.spark_partition_id()), name)
+
+
 def position_in(bounds: str | Column, t: Column) -> Column:
     """Number of the ascending ``bounds`` at or before ``t``, by binary search; 0 without bounds."""
     at = F.col(bounds) if isinstance(bounds, str) else bounds

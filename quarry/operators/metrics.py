@@ -9,7 +9,7 @@
 All metrics of a call come from one table of distinct scores with positives
 and negatives (partial aggregation), so rows are scanned and scored once.
 AP and AUC need running totals over scores in descending order: the scores
-are cut into contiguous ranges at quantiles found in the same plan, per-range
+are cut into contiguous ranges (``keyed.by_ranges``), per-range
 totals give each range's offset, and a window per range gives the local
 running sum.  No step ranks all distinct scores in one task.  A NULL group is
 a group like any other.
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.keyed import join_null_safe
+from quarry.operators.keyed import by_ranges, join_null_safe
 
 EPS_LOGLOSS = 1e-15
 
@@ -64,24 +64,12 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
-#: Score ranges at least; more where the cluster shuffles into more partitions.
-MIN_BUCKETS = 64
-
-
-def running_totals(st: DataFrame, score: str, group_by=(), buckets: int | None = None) -> DataFrame:
+def running_totals(st: DataFrame, score: str, group_by=()) -> DataFrame:
     """Add ``cum_pos`` / ``cum_neg``: totals over scores >= this score, and
     ``above_pos``: positives with strictly greater score (same group)."""
     g = list(group_by)
-    buckets = buckets or max(MIN_BUCKETS, int(st.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = F.percentile_approx(F.col(score).cast("double"), probs or [0.5], max(10_000, 20 * buckets)).alias("_bounds")
-    if g:
-        bucketed = join_null_safe(st, st.groupBy(*g).agg(bounds), g, "inner")
-    else:
-        bucketed = attach_row(st, st.agg(bounds))
-    # bucket b holds scores in (bound[b-1], bound[b]]; higher bucket = higher score
-    bucketed = bucketed.withColumn(
-        "_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(score))), F.lit(-1))).drop("_bounds")
+    # higher range = higher score within a group
+    bucketed = by_ranges(st, [*g, score], "scores").withColumnRenamed("_r", "_b")
     tot = bucketed.groupBy(*g, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     wo = Window.partitionBy(*g).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select(*g, "_b", F.coalesce(F.sum("_bp").over(wo), F.lit(0)).alias("_op"),
@@ -96,9 +84,9 @@ def running_totals(st: DataFrame, score: str, group_by=(), buckets: int | None =
                       (F.col("_op") + F.col("_lp") - F.col("pos")).alias("above_pos"))
 
 
-def ranking_metrics(df: DataFrame, truth: str, score: str, group_by=(), buckets: int | None = None) -> DataFrame:
+def ranking_metrics(df: DataFrame, truth: str, score: str, group_by=()) -> DataFrame:
     """``average_precision`` and ``roc_auc`` (NULL if one class is absent)."""
-    return evaluate_binary(df, truth, score, 0.5, group_by, buckets).select(*group_by, "average_precision", "roc_auc")
+    return evaluate_binary(df, truth, score, 0.5, group_by).select(*group_by, "average_precision", "roc_auc")
 
 
 def logloss_accuracy(df: DataFrame, truth: str, score: str, threshold: float = 0.5,
@@ -112,10 +100,10 @@ def logloss_accuracy(df: DataFrame, truth: str, score: str, threshold: float = 0
 
 
 def evaluate_binary(df: DataFrame, truth: str, score: str, threshold: float = 0.5,
-                    group_by=(), buckets: int | None = None) -> DataFrame:
+                    group_by=()) -> DataFrame:
     """average_precision, f1, precision, recall, roc_auc (+ counts), from one score table."""
     g = list(group_by)
-    rt = running_totals(score_table(df, truth, score, g), score, g, buckets)
+    rt = running_totals(score_table(df, truth, score, g), score, g)
     above = F.col(score) >= F.lit(threshold)
 
     def total(cond: Column, side: str, name: str) -> Column:

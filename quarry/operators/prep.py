@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage
+from quarry.operators.keyed import by_ranges
 
 NULL_CATEGORY = "__null__"
 BUCKETS = 4096
@@ -137,14 +137,11 @@ def boolean_as_category(col: str):
 
 
 def value_ranges(df: DataFrame, columns) -> DataFrame:
-    """``column_name, value, _r``: the distinct non-null values, cut into ranges of about equal size that ascend
-    with ``_r``, as a written table.  Ranges follow the values (a sample of them sets the bounds), so values
-    with one beginning spread like any others; there are as many as shuffle partitions."""
+    """``column_name, value, _r``: the distinct non-null values, cut into ranges by value, so that values with
+    one beginning spread like any others."""
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
     domain = df.select(F.explode(cells).alias("_e")).select("_e.column_name", "_e.value").where(F.col("value").isNotNull()).distinct()
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # written, since a later sample may set other bounds
-    return cut_lineage(domain.repartitionByRange(parts, "column_name", "value").withColumn("_r", F.spark_partition_id()), "vocabulary")
+    return by_ranges(domain, ["column_name", "value"], "vocabulary")
 
 
 def vocabulary(df: DataFrame, columns) -> DataFrame:

@@ -1,5 +1,7 @@
 """Hand-worked metric values (ties, zero denominators, one class)."""
 
+import random
+
 import pytest
 
 from quarry.operators import metrics as mt
@@ -36,10 +38,32 @@ def frame(spark, y, s):
     return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(y, s))], "id int, y int, s double")
 
 
+@pytest.fixture(params=[1, 3, 64])
+def ranges(spark, request):
+    """Scores in about that many ranges: small ones are not merged."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("y,s", CASES)
-def test_ap_auc_with_ties(spark, y, s):
-    for buckets in (1, 3, 64):
-        r = mt.ranking_metrics(frame(spark, y, s), "y", "s", buckets=buckets).first()
+def test_ap_auc_with_ties(spark, ranges, y, s):
+    r = mt.ranking_metrics(frame(spark, y, s), "y", "s").first()
+    assert r["average_precision"] == pytest.approx(brute_ap(y, s), abs=1e-12)
+    assert r["roc_auc"] == pytest.approx(brute_auc(y, s), abs=1e-12)
+
+
+def test_groups_in_ranges(spark, ranges):
+    """Ranges that hold the end of one group and the beginning of the next, a NULL group among them."""
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, "a", "b"]), rnd.randrange(2), rnd.randrange(25) / 25) for _ in range(300)]
+    got = {r["g"]: r for r in mt.ranking_metrics(spark.createDataFrame(rows, "g string, y int, s double"), "y", "s", ["g"]).collect()}
+    assert set(got) == {None, "a", "b"}
+    for g, r in got.items():
+        y, s = [x[1] for x in rows if x[0] == g], [x[2] for x in rows if x[0] == g]
         assert r["average_precision"] == pytest.approx(brute_ap(y, s), abs=1e-12)
         assert r["roc_auc"] == pytest.approx(brute_auc(y, s), abs=1e-12)
 
