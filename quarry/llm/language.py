@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from quarry.llm.words import count_tokens
 from quarry.session import cut_lineage
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Bound of the labelled sample (documents), of known words and of n-grams.
+#: Bound of the labelled sample (documents), and of the known words and n-grams of each language.
 SAMPLE_DOCS, KNOWN_WORDS, KNOWN_GRAMS = 20_000, 50_000, 40_000
 GRAM, SMOOTH = 4, 0.5
 #: Words that a task keeps scored; words whose evidence makes the score certain.
@@ -53,22 +53,27 @@ def grams_of(word: str) -> list[str]:
 
 
 def _table(counts: DataFrame, key: str, langs: list[str], limit: int) -> tuple[dict[str, int], np.ndarray]:
-    """Smoothed log frequencies of the ``limit`` most frequent keys (bounded by that parameter)."""
+    """Smoothed log frequencies, in every language, of the ``limit`` most frequent keys of each language.
+
+    The limit is a language's own, so one with few documents keeps its table; ties go to the key first in order."""
     by_lang = [F.sum(F.when(F.col("grp") == g, F.col("n")).otherwise(0)).alias(f"n{i}") for i, g in enumerate(langs)]
     if not langs:
         return {}, np.zeros((0, 0))
     totals = np.array(counts.agg(*by_lang).first(), float)
-    top = counts.groupBy(key).agg(F.sum("n").alias("n"), *by_lang).orderBy(F.desc("n"), key).limit(limit).toArrow()
+    place = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("n"), key))
+    kept = counts.withColumn("place", place).filter(F.col("place") <= limit).select(key).distinct()
+    top = counts.join(kept, key, "left_semi").groupBy(key).agg(*by_lang).orderBy(key).toArrow()
     n = np.stack([top[f"n{i}"].to_numpy() for i in range(len(langs))], axis=1)
-    return {k: i for i, k in enumerate(top[key].to_pylist())}, np.log((n + SMOOTH) / (totals + SMOOTH * limit))
+    return {k: i for i, k in enumerate(top[key].to_pylist())}, np.log((n + SMOOTH) / (totals + SMOOTH * max(limit, len(n))))
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, known_words: int = KNOWN_WORDS, known_grams: int = KNOWN_GRAMS) -> Model:
-    """Fit on the documents with a text and a language, or on about ``sample_docs`` of them by a hash of the id."""
+    """Fit on the documents with a text and a language, or on about ``sample_docs`` of them by a hash of the id (of
+    the text, where the id is null)."""
     labelled = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     n = labelled.count()
     share = min(1.0, sample_docs / max(1, n))
-    sample = labelled.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    sample = labelled.filter(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), "text")), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
     words = cut_lineage(count_tokens(sample, words_of, "text", "lang"), "words")
     langs = sorted(r["grp"] for r in words.select("grp").distinct().collect())
 
