@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from quarry.plans import queries as Q  # noqa: E402
 from quarry.session import get_session  # noqa: E402
 
-HEADLINE = ["feat_all", "feat_expanding", "feat_window_counts", "feat_window_values", "asof_label_join",
+HEADLINE = ["feat_all", "feat_expanding", "feat_window_counts", "feat_window_values", "asof_label_join", "asof_available_labels",
             "average_precision", "evaluate_model", "stratified_split", "stable_split", "batch_score",
             "online_latest", "dataset_digest", "monitor_performance", "feat_p95_flag", "impute_median",
             "impute_mode", "category_vocab", "one_hot", "feature_matrix", "feature_profile",
