@@ -60,19 +60,22 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def hot_key_chunks(df: DataFrame, order: EventOrder, threshold: int,
-                   time_us: Column | None = None) -> DataFrame | None:
+                   time_us: Column | None = None, name: str | None = None) -> DataFrame | None:
     """Table ``(key, _bounds)`` of the hot keys, or None if there are none.
 
     ``_bounds``: ascending times (microseconds) at which a chunk begins; the
-    key's rows are counted first, then only hot rows are summarised.
+    key's rows are counted first, then only hot rows are summarised.  With a
+    ``name`` both steps end in a written table: each runs once, however often
+    the plan uses it, and Spark knows its size when it plans a join.
     """
+    kept = (lambda t: t) if name is None else (lambda t: cut_lineage(t, name))
     ts_us = epoch_micros(order.ts) if time_us is None else time_us
-    sizes = df.groupBy(order.key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(threshold))
+    sizes = kept(df.groupBy(order.key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(threshold)))
     largest = sizes.agg(F.max("_n")).first()[0]
     if largest is None:
         return None
     rows = join_null_safe(df.select(order.key, ts_us.alias("_t")), sizes, [order.key], "inner")
-    return _quantile_cuts(rows, order.key, int(largest), threshold)
+    return kept(_quantile_cuts(rows, order.key, int(largest), threshold))
 
 
 def _quantile_cuts(rows: DataFrame, key: str, largest: int, threshold: int) -> DataFrame:
